@@ -1,0 +1,75 @@
+"""Percentiles of very large columns from counts in signed logarithmic buckets.
+
+Bucket i > 0 holds values in (g^(i-1-OFFSET), g^(i-OFFSET)], g = (1+a)/(1-a);
+negative values mirror it at -i and zero is bucket 0, so bucket numbers
+sort as the values do. A percentile is read from the bucket that holds its
+rank, as the point whose relative distance to any value in there is at most a.
+Sketches of partitions, days or groups merge by adding the counts of equal
+buckets, and the result doesn't depend on how rows were spread: a row
+count per bucket is all that is ever shuffled, summed before the shuffle.
+
+Nulls and NaN are no values. Infinities have buckets of their own and come out
+as infinities. Values closer to zero than 1e-290 count as zero. Null group keys are
+a group. An empty input gives no rows.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+OFFSET = 1 << 26
+INFINITE = 1 << 28
+
+
+def gamma(accuracy: float) -> float:
+    return (1 + accuracy) / (1 - accuracy)
+
+
+def bucket(x: Column, accuracy: float) -> Column:
+    """The bucket number of x (int), null for no value."""
+    size = F.abs(x)
+    magnitude = F.when(size == float("inf"), F.lit(INFINITE)).otherwise(F.ceil(F.log(size) / F.lit(math.log(gamma(accuracy)))).cast("int") + OFFSET)
+    signed = F.when(size <= 1e-290, F.lit(0)).when(x > 0, magnitude).otherwise(-magnitude)
+    return F.when(x.isNotNull() & ~F.isnan(x), signed)
+
+
+def midpoint(b: Column, accuracy: float) -> Column:
+    """The value that stands for a bucket."""
+    g = gamma(accuracy)
+    size = F.pow(F.lit(g), (F.abs(b) - OFFSET).cast("double")) * F.lit(2 / (g + 1))
+    size = F.when(F.abs(b) == INFINITE, F.lit(float("inf"))).otherwise(size)
+    return F.when(b == 0, F.lit(0.0)).when(b > 0, size).otherwise(-size)
+
+
+def sketch(df: DataFrame, by: Sequence[str | Column], value: Column, accuracy: float) -> DataFrame:
+    """by..., bucket, n."""
+    out = df.select(*by, bucket(value.cast("double"), accuracy).alias("bucket")).where(F.col("bucket").isNotNull())
+    names = [c for c in out.columns if c != "bucket"]
+    return out.groupBy(*names, "bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merge(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Adds sketches up to coarser groups, or those of several loads to one."""
+    return sketches.groupBy(*by, "bucket").agg(F.sum("n").alias("n"))
+
+
+def ranked(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Adds below (values in lower buckets), upto (and in this one) and total."""
+    group = Window.partitionBy(*by)
+    upto = F.sum("n").over(group.orderBy("bucket").rangeBetween(Window.unboundedPreceding, 0))
+    out = sketches.withColumn("upto", upto).withColumn("total", F.sum("n").over(group.orderBy("bucket").rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    return out.withColumn("below", F.col("upto") - F.sum("n").over(group.orderBy("bucket").rangeBetween(0, 0)))
+
+
+def quantiles(sketches: DataFrame, by: Sequence[str], qs: dict[str, float], accuracy: float) -> DataFrame:
+    """by..., total, one column per entry of qs: the value of rank floor(q*(n-1)), within accuracy of it."""
+    r = ranked(sketches, by)
+    at = {name: F.floor(F.lit(q) * (F.col("total") - 1)) for name, q in qs.items()}
+    held = {name: (F.col("below") <= rank) & (rank < F.col("upto")) for name, rank in at.items()}
+    return r.groupBy(*by).agg(
+        F.max("total").alias("n"), *[F.max(F.when(here, midpoint(F.col("bucket"), accuracy))).alias(name) for name, here in held.items()]
+    )
