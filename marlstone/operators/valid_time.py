@@ -92,7 +92,9 @@ def as_of(events: DataFrame, entity: str, at: str, attributes: Mapping[str, Data
             "entity", F.explode(dyadic_nodes(lo, hi, levels)).alias("node"), *[(F.struct("prec", "value") if n == name else F.lit(None).cast(_kind(other))).alias(f"m{j}") for j, (n, other) in enumerate(attributes.items())]
         )
         pieces = piece if pieces is None else pieces.unionByName(piece)
-    asked = keys.distinct().select("entity", "at", F.explode(enclosing_nodes(F.col("at") - start, levels)).alias("node"))
+    # an entity has at most one entry per day here, and its sorted days make keys that lie side by side
+    days = keys.groupBy("entity").agg(F.array_sort(F.collect_set("at")).alias("at")).select("entity", F.explode("at").alias("at"))
+    asked = days.select("entity", "at", F.explode(enclosing_nodes(F.col("at") - start, levels)).alias("node"))
     met = asked.join(pieces, ["entity", "node"]).groupBy("entity", "at").agg(*[F.max(f"m{j}").alias(f"m{j}") for j in range(len(attributes))])
     met = met.select(F.col("entity").alias("_entity"), F.col("at").alias("_at"), *[F.col(f"m{j}.value").alias(n) for j, n in enumerate(attributes)])
     on = (F.col(entity) == F.col("_entity")) & (F.unix_date(F.col(at).cast("date")) == F.col("_at"))
