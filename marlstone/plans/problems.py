@@ -180,34 +180,33 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     through the bucket of v bound the shares of values < v and <= v. Only where the
     bounds leave it open are the values of that one bucket compared with v."""
     rows = materialise(_valued_once(spark, d), "valued")
+    values = _by_level(rows).select(F.xxhash64(*GROUP).alias("g"), "x")  # groups travel as 64-bit hashes of their names
     published = table(spark, d, "fact_sector_aggregates").select(
-        *GROUP, F.inline(F.array(*[F.struct(F.lit(q).alias("q"), F.col(s).cast("double").alias("v")) for s, q in STATISTICS.items()]))
+        F.struct(*GROUP).alias("names"), F.xxhash64(*GROUP).alias("g"), F.inline(F.array(*[F.struct(F.lit(q).alias("q"), F.col(s).cast("double").alias("v")) for s, q in STATISTICS.items()]))
     ).where("v is not null and not isnan(v)").distinct()
     published = published.withColumn("bucket", log_sketch.bucket(F.col("v"), FINE))
-    sketch = log_sketch.sketch(_by_level(rows), GROUP, F.col("x"), FINE)
+    sketch = log_sketch.sketch(values, ["g"], F.col("x"), FINE)
     # published values go in as rows of their own bucket that count nothing
-    marks = sketch.withColumns({"q": F.lit(None).cast("double"), "v": F.lit(None).cast("double")}).unionByName(published.withColumn("n", F.lit(0).cast("long")))
-    ranked = log_sketch.ranked(marks, GROUP).where("v is not null and total > 0")
+    marks = sketch.unionByName(published.withColumn("n", F.lit(0).cast("long")), allowMissingColumns=True)
+    ranked = log_sketch.ranked(marks, ["g"]).where("v is not null and total > 0")
     slack = F.lit(1.0) / F.col("total") + 0.02
     high = lambda below: F.col(below) / F.col("total") > F.col("q") + slack
     low = lambda upto: F.col(upto) / F.col("total") < F.col("q") - slack
     judged = ranked.withColumn("wrong", high("below") | low("upto")).withColumn("open", ~F.col("wrong") & (high("upto") | low("below")))
     judged = materialise(judged, "judged")
-    asked = judged.where("open").select(*GROUP, "bucket", "q", "v", "below", "total")
-    keys = asked.select(F.xxhash64(*GROUP, "bucket").alias("_key")).distinct()
-    values = _by_level(rows).withColumn("bucket", log_sketch.bucket(F.col("x"), FINE))
-    near = values.join(_sized(keys), F.xxhash64(*[values[c] for c in GROUP], values["bucket"]) == keys["_key"], "left_semi")
-    counted = near.join(asked, [*GROUP, "bucket"]).groupBy(*GROUP, "q", "v").agg(
+    asked = judged.where("open").select("names", "g", "bucket", "q", "v", "below", "total")
+    near = values.withColumn("bucket", log_sketch.bucket(F.col("x"), FINE)).join(_sized(asked.select("g", "bucket").distinct()), ["g", "bucket"], "left_semi")
+    counted = near.join(asked, ["g", "bucket"]).groupBy("names", "q", "v").agg(
         F.first("total").alias("total"),
         (F.first("below") + F.count_if(F.col("x") < F.col("v"))).alias("lt"),
         (F.first("below") + F.count_if(F.col("x") <= F.col("v"))).alias("le"),
     )
-    # a value in no row of its bucket needs no count: nothing lies between its bounds, so it was not open
+    # a bucket without values leaves nothing open: its bounds are equal
     settled = counted.where(high("lt") | low("le"))
-    return judged.where("wrong").select(*GROUP).unionByName(settled.select(*GROUP)).distinct().withColumn("as_of_date", F.col("as_of_date").cast("string"))
+    return judged.where("wrong").select("names.*").unionByName(settled.select("names.*")).distinct().withColumn("as_of_date", F.col("as_of_date").cast("string"))
 
 
-def _sized(df: DataFrame, rows: int = 500_000) -> DataFrame:
+def _sized(df: DataFrame, rows: int = 200_000) -> DataFrame:
     """df with a broadcast hint if a count shows it to be small; else as it is, for a shuffled join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
