@@ -1,7 +1,8 @@
 """Documents that look the same but are made of different characters.
 
 Null, empty and blank texts are in no pair; texts equal as strings neither. Rows
-are told apart by their key; further columns are ignored.
+are told apart by their key, rows of a null key are in no pair, and a repeated row adds
+nothing. Further columns are ignored. Texts travel as digests, whatever their length.
 """
 
 from __future__ import annotations
@@ -17,28 +18,32 @@ from marlstone.session import materialise
 
 
 def normalised(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, text, form): form is the consistent form of the whole text, null for null."""
+    """(id, text, form): form is the consistent form of the whole text, null for null."""
     norm = Normaliser()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
             forms = pa.array([None if t is None else norm.form(t) for t in texts.to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), texts.cast(pa.string()), forms], [key, text, "form"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), texts.cast(pa.string()), forms], ["id", "text", "form"])
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {dict(df.dtypes)[key]}, `{text}` string, form string")
+    return df.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(run, f"id {dict(df.dtypes)[key]}, text string, form string")
+
+
+def _digests(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, form, spelled): 128-bit digests of rows whose text isn't blank."""
+    rows = normalised(df, key, text).where(F.trim(F.regexp_replace("form", r"\s+", " ")) != "")
+    return materialise(rows.select("id", F.unhex(F.md5("form")).alias("form"), F.unhex(F.md5("text")).alias("spelled")), "forms")
 
 
 def pairs(df: DataFrame, key: str, text: str) -> DataFrame:
     """(a, b), a < b: each pair of rows whose texts differ and have one form.
 
-    Texts travel as 128-bit digests. Forms with a single spelling, however many
-    copies it has, are dropped by an aggregation before anything is joined; the
-    rest is joined by form, where adaptive execution splits a form that a large
-    part of all rows share.
+    Forms with a single spelling, however many copies it has, are dropped by an
+    aggregation before anything is joined; the rest is joined by form, where adaptive
+    execution splits a form that a large part of all rows share.
     """
-    digests = normalised(df, key, text).where(F.trim(F.regexp_replace("form", r"\s+", " ")) != "").select(F.col(key).alias("id"), F.unhex(F.md5("form")).alias("form"), F.unhex(F.md5(text)).alias("spelled"))
-    digests = materialise(digests, "forms")
+    digests = _digests(df, key, text)
     several = digests.groupBy("form").agg(F.min("spelled").alias("lo"), F.max("spelled").alias("hi")).where("lo != hi").select("form")
     rows = materialise(digests.join(several, "form", "left_semi"), "alike")
     other = rows.select("form", F.col("id").alias("b"), F.col("spelled").alias("spelled_b"))
@@ -47,9 +52,8 @@ def pairs(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def classes(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, class, spellings): each non-blank row with the smallest key of its look-alikes and their number of spellings."""
-    digests = normalised(df, key, text).where(F.trim(F.regexp_replace("form", r"\s+", " ")) != "").select(F.col(key).alias("id"), F.unhex(F.md5("form")).alias("form"), F.unhex(F.md5(text)).alias("spelled"))
-    digests = materialise(digests, "forms")
+    """(id, class, spellings): each non-blank row with the smallest key of its look-alikes and their number of spellings."""
+    digests = _digests(df, key, text)
     spelled = digests.groupBy("form", "spelled").agg(F.min("id").alias("first"))
     groups = spelled.groupBy("form").agg(F.min("first").alias("class"), F.count(F.lit(1)).alias("spellings"))
-    return digests.join(groups, "form").select(F.col("id").alias(key), "class", "spellings")
+    return digests.join(groups, "form").select("id", "class", "spellings")

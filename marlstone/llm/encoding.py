@@ -2,7 +2,8 @@
 
 Every row gets its ids: of its whole text, without special tokens; strings that
 look like special tokens are ordinary text. Null and empty texts get an
-empty list. Repeated rows stay repeated, and only the named columns come out.
+empty list. Repeated rows stay repeated, a null key is kept, and only the named
+columns come out. A batch goes back whenever its ids fill it, so long texts need no more memory.
 """
 
 from __future__ import annotations
@@ -36,5 +37,7 @@ def encode_corpus(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULA
                     yield pa.RecordBatch.from_arrays([keys.slice(at, i + 1 - at), lists], [key, "ids"])
                     at, ids, offsets = i + 1, [], [0]
 
+    if key == "ids":
+        raise ValueError("ids is the name of the result")
     kind = dict(df.dtypes)[key]
     return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, ids array<int>")

@@ -13,17 +13,18 @@ A document that holds no `length` consecutive words all of which are terms can't
 match; its postings aren't stored, nor are those of shorter runs.
 
 Null and empty texts hold no words. Items of fewer than `length` words can't leak.
-Repeated documents are told apart by their key, repeated item ids share a row.
+Rows of one key are searched text by text; equal rows count once. Of several items of one id each is searched.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ class Words:
         if not text:
             return []
         if self._find is None:
-            self._find = regex.compile(r"[\p{L}\p{N}][\p{L}\p{N}\p{M}]*").findall
+            self._find = re.compile(r"[^\W_]+").findall
         return self._find(self._norm.form(text).casefold())
 
 
@@ -59,6 +60,7 @@ class Items:
     ids: list[int]
     words: list[list[int]]
     terms: dict[str, int]
+    kind: str = "long"
 
     @staticmethod
     def collect(df: DataFrame, key: str, text: str) -> Items:
@@ -71,12 +73,12 @@ class Items:
                 raise ValueError(f"more than {MOST_WORDS} held-out words")
             out.ids.append(k)
             out.words.append(seq)
-        out.terms = terms
+        out.terms, out.kind = terms, dict(df.dtypes)[key]
         return out
 
 
 def postings(docs: DataFrame, key: str, text: str, items: Items, min_run: int) -> DataFrame:
-    """(term, doc, positions) of the terms that stand in runs of at least min_run terms."""
+    """(term, doc, copy, positions) of the terms that stand in runs of at least min_run terms; copy tells texts of one key apart."""
     shipped = docs.sparkSession.sparkContext.broadcast(items.terms)  # bounded by the held-out items
     words = Words()
 
@@ -100,18 +102,21 @@ def postings(docs: DataFrame, key: str, text: str, items: Items, min_run: int) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            terms, rows, flat, offsets = [], [], [], [0]
+            terms, rows, copies, flat, offsets = [], [], [], [], [0]
             for i, t in enumerate(batch.column(1)):
-                for term, at in of(t.as_py()).items():
+                found = of(text := t.as_py())
+                copy = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1 if found else 0
+                for term, at in found.items():
                     terms.append(term)
                     rows.append(i)
+                    copies.append(copy)
                     flat += at
                     offsets.append(len(flat))
             lists = pa.ListArray.from_arrays(pa.array(np.array(offsets, dtype=np.int32)), pa.array(np.array(flat, dtype=np.int32)))
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), batch.column(0).take(pa.array(rows, pa.int64())), lists], ["term", "doc", "positions"])
+            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), batch.column(0).take(pa.array(rows, pa.int64())), pa.array(copies, pa.int64()), lists], ["term", "doc", "copy", "positions"])
 
     kind = dict(docs.dtypes)[key]
-    return docs.select(key, text).where(F.col(key).isNotNull()).mapInArrow(run, f"term int, doc {kind}, positions array<int>")
+    return docs.select(key, text).where(F.col(key).isNotNull()).mapInArrow(run, f"term int, doc {kind}, copy long, positions array<int>")
 
 
 def document_frequencies(index: DataFrame) -> dict[int, int]:
@@ -120,9 +125,9 @@ def document_frequencies(index: DataFrame) -> dict[int, int]:
 
 
 def windows(items: Items, df: dict[int, int], length: int) -> list[tuple[int, int, int, int, int, int]]:
-    """(item, start, rarest term, its offset, second rarest term, its offset) of every window all of whose terms occur."""
+    """(place of the item in the list, start, rarest term, its offset, second rarest term, its offset) of every window all of whose terms occur."""
     out = []
-    for item, seq in zip(items.ids, items.words, strict=True):
+    for item, seq in enumerate(items.words):
         for s in range(len(seq) - length + 1):
             part = seq[s : s + length]
             by_rarity = sorted((df.get(t, 0), o, t) for o, t in enumerate(part))
@@ -136,25 +141,39 @@ def _frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame
     return spark.createDataFrame(list(rows), schema)
 
 
+def _code(term, position):
+    """A term at a position as one number, so that lists of them intersect."""
+    return F.shiftleft(term.cast("long"), 32) + position
+
+
 def phrase_matches(index: DataFrame, items: Items, length: int = LENGTH) -> DataFrame:
     """(doc, item, item_from, doc_from, words): every longest run of at least `length` words that an
-    item and a document share in order and without a gap. Offsets count words from 0."""
+    item and a document share in order and without a gap. Offsets count words from 0.
+
+    Seeds are summed up by diagonal (doc, item, shift) before they are shuffled, and
+    meet the postings of their document, as one list of codes, in one join; what
+    follows intersects lists within a row.
+    """
     spark = index.sparkSession
-    anchors = _frame(spark, windows(items, document_frequencies(index), length), "item long, s int, t1 int, o1 int, t2 int, o2 int")
+    anchors = _frame(spark, windows(items, document_frequencies(index), length), "item int, s int, t1 int, o1 int, t2 int, o2 int")
     # from the rarest term: each posting tells where in the document the item would begin
-    seeds = index.join(F.broadcast(anchors), F.col("term") == F.col("t1")).select("doc", "item", "s", "t2", "o2", F.explode(F.transform("positions", lambda p: p - F.col("o1"))).alias("at")).where("at >= 0")
-    second = index.select("doc", F.col("term").alias("t2"), "positions")
-    agreed = seeds.join(second, ["doc", "t2"]).where(F.array_contains("positions", F.col("at") + F.col("o2")))
-    agreed = materialise(agreed.select("doc", "item", "s", (F.col("at") - F.col("s")).alias("shift")).distinct(), "agreed")
-    # the other terms, each place of an item once however many windows ask for it
-    places = _frame(spark, [(i, p, t) for i, seq in zip(items.ids, items.words, strict=True) for p, t in enumerate(seq)], "item long, place int, term int").distinct()
-    asked = agreed.select("doc", "item", "shift", F.explode(F.sequence("s", F.col("s") + (length - 1))).alias("place")).distinct()
-    asked = asked.join(F.broadcast(places), ["item", "place"])
-    held = asked.join(index, ["doc", "term"]).where(F.array_contains("positions", F.col("place") + F.col("shift")))
-    diagonal = Window.partitionBy("doc", "item", "shift").orderBy("place")
-    runs = held.select("doc", "item", "shift", "place").distinct().withColumn("island", F.col("place") - F.row_number().over(diagonal))
-    found = runs.groupBy("doc", "item", "shift", "island").agg(F.min("place").alias("item_from"), F.count(F.lit(1)).cast("int").alias("words"))
-    return found.where(F.col("words") >= length).select("doc", "item", "item_from", (F.col("item_from") + F.col("shift")).alias("doc_from"), "words")
+    hits = index.join(F.broadcast(anchors), F.col("term") == F.col("t1"))
+    seeds = hits.select("doc", "copy", "item", "s", _code(F.col("t2"), F.col("s") + F.col("o2")).alias("second"), F.explode(F.transform("positions", lambda p: p - F.col("o1") - F.col("s"))).alias("shift"))
+    seeds = seeds.where(F.col("shift") + F.col("s") >= 0).groupBy("doc", "copy", "item", "shift").agg(F.collect_set(F.struct("s", "second")).alias("starts"))
+    held = index.select("doc", "copy", F.transform("positions", lambda p: _code(F.col("term"), p)).alias("c")).groupBy("doc", "copy").agg(F.flatten(F.collect_list("c")).alias("codes"))
+    whole = _frame(spark, [(n, i, [(t << 32) + p for p, t in enumerate(seq)]) for n, (i, seq) in enumerate(zip(items.ids, items.words, strict=True))], f"item int, name {items.kind}, places array<long>")
+    # the second rarest term must agree with that offset
+    agreed = F.filter("starts", lambda w: F.array_contains("codes", w["second"] + F.col("shift")))
+    met = seeds.join(held, ["doc", "copy"]).withColumn("starts", agreed).where(F.size("starts") > 0).join(F.broadcast(whole), "item")
+    # then all terms, each place once however many windows ask for it
+    asked = F.array_distinct(F.flatten(F.transform("starts", lambda w: F.slice("places", w["s"] + 1, length))))
+    both = F.array_intersect(F.transform(asked, lambda c: c + F.col("shift")), F.col("codes"))
+    met = met.select("doc", "copy", "item", "name", "shift", both.alias("both")).where(F.size("both") >= length)
+    runs = met.select("doc", "copy", "item", "name", "shift", F.explode(F.transform("both", lambda c: c.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int") - F.col("shift"))).alias("place"))
+    diagonal = Window.partitionBy("doc", "copy", "item", "shift").orderBy("place")
+    runs = runs.withColumn("island", F.col("place") - F.row_number().over(diagonal))
+    found = runs.groupBy("doc", "copy", "item", "name", "shift", "island").agg(F.min("place").alias("item_from"), F.count(F.lit(1)).cast("int").alias("words"))
+    return found.where(F.col("words") >= length).select("doc", F.col("name").alias("item"), "item_from", (F.col("item_from") + F.col("shift")).alias("doc_from"), "words").distinct()
 
 
 def proximity_matches(index: DataFrame, items: Items, terms: int = 3, within: int = 20) -> DataFrame:
@@ -166,9 +185,9 @@ def proximity_matches(index: DataFrame, items: Items, terms: int = 3, within: in
         rare = sorted((df.get(t, 0), t) for t in set(seq))[:terms]
         if len(rare) == terms and rare[0][0]:
             rows += [(item, k, t) for k, (_, t) in enumerate(rare)]
-    asked = F.broadcast(_frame(index.sparkSession, rows, "item long, k int, term int"))
-    hits = index.join(asked, "term").select("doc", "item", "k", F.explode("positions").alias("p"))
-    ahead = Window.partitionBy("doc", "item").orderBy("p").rangeBetween(0, within - 1)
+    asked = F.broadcast(_frame(index.sparkSession, rows, f"item {items.kind}, k int, term int"))
+    hits = index.join(asked, "term").select("doc", "copy", "item", "k", F.explode("positions").alias("p"))
+    ahead = Window.partitionBy("doc", "copy", "item").orderBy("p").rangeBetween(0, within - 1)
     seen = hits.withColumn("kinds", F.size(F.collect_set("k").over(ahead)))
     firsts = [F.min(F.when(F.col("k") == k, F.col("p"))).over(ahead) for k in range(terms)]
     seen = seen.withColumn("span", F.greatest(*firsts) - F.col("p") + 1)

@@ -28,7 +28,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_classes(spark: SparkSession, d: str) -> DataFrame:
-    return alike_pairs.classes(table(spark, d, "documents"), "doc_id", "text")
+    return alike_pairs.classes(table(spark, d, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
 
 
 QUERIES = {f.__name__: f for f in (p8_ids, p9_found, p9_evidence, p10_found, p10_classes)}
