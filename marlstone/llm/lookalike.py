@@ -18,6 +18,7 @@ other digits and the number of blanks stay as they are.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import regex
@@ -74,8 +75,10 @@ class Normaliser:
 
     def _prepare(self) -> None:
         self._fold = _folds()
+        self._folded = re.compile("[" + "".join(map(re.escape, map(chr, self._fold))) + "]+").sub
         self._masks, self._spell = _sets()
-        self._token = regex.compile(r"[\p{L}\p{M}]*[\p{Script=Cyrillic}\p{Script=Greek}][\p{L}\p{M}]*").sub
+        self._other = re.compile("[\u0370-\u052f\u1c80-\u1c8f\u1f00-\u1fff\u2de0-\u2dff\ua640-\ua69f]").search
+        self._token = regex.compile(r"[\p{L}\p{M}]+").sub
         self._memo: dict[str, str] = {}
         self._ready = True
 
@@ -111,7 +114,9 @@ class Normaliser:
             return text
         if not self._ready:
             self._prepare()
-        return self._token(lambda m: self.spelling(m[0]), unicodedata.normalize("NFC", text.translate(self._fold)))
+        text = unicodedata.normalize("NFC", self._folded(lambda m: m[0].translate(self._fold), text))
+        # tokens of Latin letters, or of scripts without look-alikes, are spelled as they are
+        return self._token(lambda m: m[0] if m[0].isascii() else self.spelling(m[0]), text) if self._other(text) else text
 
     def kinds(self, token: str) -> str:
         """single, whole (all letters exist in several scripts) or mixed, for reports."""
