@@ -1,13 +1,14 @@
 """Held-out items that leak into a corpus, by a positional inverted index.
 
-The index has one row per (term, document) with the positions of the term,
+The index has one row per (term, segment of a document) with the positions of the term,
 over the consistent, case-folded form of the text (see lookalike); words are
 maximal runs of letters and digits. Terms are those of the held-out items: their
 number doesn't grow with the corpus, so a term is a small integer. A window
 of `length` words of an item is looked up from its rarest term: each posting of it
 fixes where the window would have to start, the second rarest term's postings
 must agree with that offset, and what is left is verified term by term. Common
-words thus never bring up candidates, however many documents hold them.
+words thus bring up no candidates, however many documents hold them, unless a
+window has no others.
 
 A document that holds no `length` consecutive words all of which are terms can't
 match; its postings aren't stored, nor are those of shorter runs.
@@ -32,6 +33,9 @@ from marlstone.llm.lookalike import Normaliser
 from marlstone.session import materialise
 
 LENGTH = 12
+#: Words of a segment, and ids of a batch on its way to the JVM, at most.
+PIECE = 4096
+BATCH_WORDS = 1 << 20
 #: Held-out items are the driver's to hold; a set beyond this isn't one.
 MOST_WORDS = 20_000_000
 
@@ -77,51 +81,72 @@ class Items:
         return out
 
 
-def postings(docs: DataFrame, key: str, text: str, items: Items, min_run: int) -> DataFrame:
-    """(term, doc, copy, positions) of the terms that stand in runs of at least min_run terms; copy tells texts of one key apart."""
+def postings(docs: DataFrame, key: str, text: str, items: Items, min_run: int, overlap: int | None = None) -> DataFrame:
+    """The index: (term, doc, copy, seg, positions).
+
+    A document falls into segments: its runs of at least min_run terms, or all of it
+    where min_run is 1. Long ones are cut to PIECE words, neighbours sharing `overlap`
+    words (min_run - 1 if not given), so no row grows with a document. seg is the place
+    of a segment's first word, positions count from there. The row of term -1 holds, instead
+    of positions, the segment's terms in order. copy tells texts of one key apart.
+    """
     shipped = docs.sparkSession.sparkContext.broadcast(items.terms)  # bounded by the held-out items
-    words = Words()
+    words, step = Words(), PIECE - (min_run - 1 if overlap is None else overlap)
 
-    def of(text: str | None) -> dict[int, list[int]]:
-        found: dict[int, list[int]] = {}
+    def segments(text: str | None) -> Iterator[tuple[int, list[int]]]:
         get = shipped.value.get
         numbers = [get(w, -1) for w in words(text)]
         start, n = 0, len(numbers)
         while start < n:
-            if numbers[start] < 0:
-                start += 1
-                continue
             stop = start
-            while stop < n and numbers[stop] >= 0:
+            while stop < n and (numbers[stop] >= 0 or min_run == 1):
                 stop += 1
             if stop - start >= min_run:
-                for p in range(start, stop):
-                    found.setdefault(numbers[p], []).append(p)
-            start = stop
-        return found
+                for lo in range(start, max(start + 1, stop - PIECE + step), step):
+                    yield lo, numbers[lo : min(lo + PIECE, stop)]
+            start = stop + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            terms, rows, copies, flat, offsets = [], [], [], [], [0]
+            terms, rows, copies, segs, flat, offsets = [], [], [], [], [], [0]
+
+            def flush(batch=batch, terms=terms, rows=rows, copies=copies, segs=segs, flat=flat, offsets=offsets):
+                lists = pa.ListArray.from_arrays(pa.array(np.array(offsets, dtype=np.int32)), pa.array(np.array(flat, dtype=np.int32)))
+                out = pa.RecordBatch.from_arrays(
+                    [pa.array(terms, pa.int32()), batch.column(0).take(pa.array(rows, pa.int64())), pa.array(copies, pa.int64()), pa.array(segs, pa.int32()), lists], ["term", "doc", "copy", "seg", "positions"]
+                )
+                for x in (terms, rows, copies, segs, flat):
+                    x.clear()
+                offsets[:] = [0]
+                return out
+
             for i, t in enumerate(batch.column(1)):
-                found = of(text := t.as_py())
-                copy = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1 if found else 0
-                for term, at in found.items():
-                    terms.append(term)
-                    rows.append(i)
-                    copies.append(copy)
-                    flat += at
-                    offsets.append(len(flat))
-            lists = pa.ListArray.from_arrays(pa.array(np.array(offsets, dtype=np.int32)), pa.array(np.array(flat, dtype=np.int32)))
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), batch.column(0).take(pa.array(rows, pa.int64())), pa.array(copies, pa.int64()), lists], ["term", "doc", "copy", "positions"])
+                text, copy = t.as_py(), None
+                for seg, numbers in segments(text):
+                    if copy is None:
+                        copy = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
+                    found: dict[int, list[int]] = {}
+                    for p, term in enumerate(numbers):
+                        if term >= 0:
+                            found.setdefault(term, []).append(p)
+                    for term, at in ((-1, numbers), *found.items()):
+                        terms.append(term)
+                        rows.append(i)
+                        copies.append(copy)
+                        segs.append(seg)
+                        flat += at
+                        offsets.append(len(flat))
+                    if len(flat) > BATCH_WORDS:
+                        yield flush()
+            yield flush()
 
     kind = dict(docs.dtypes)[key]
-    return docs.select(key, text).where(F.col(key).isNotNull()).mapInArrow(run, f"term int, doc {kind}, copy long, positions array<int>")
+    return docs.select(key, text).where(F.col(key).isNotNull()).mapInArrow(run, f"term int, doc {kind}, copy long, seg int, positions array<int>")
 
 
 def document_frequencies(index: DataFrame) -> dict[int, int]:
     """By term; there are no more terms than the items have."""
-    return {r[0]: r[1] for r in index.groupBy("term").agg(F.count(F.lit(1))).collect()}
+    return {r[0]: r[1] for r in index.where("term >= 0").groupBy("term").agg(F.count(F.lit(1))).collect()}
 
 
 def windows(items: Items, df: dict[int, int], length: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -141,44 +166,45 @@ def _frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame
     return spark.createDataFrame(list(rows), schema)
 
 
-def _code(term, position):
-    """A term at a position as one number, so that lists of them intersect."""
-    return F.shiftleft(term.cast("long"), 32) + position
-
-
 def phrase_matches(index: DataFrame, items: Items, length: int = LENGTH) -> DataFrame:
     """(doc, item, item_from, doc_from, words): every longest run of at least `length` words that an
     item and a document share in order and without a gap. Offsets count words from 0.
 
-    Seeds are summed up by diagonal (doc, item, shift) before they are shuffled, and
-    meet the postings of their document, as one list of codes, in one join; what
-    follows intersects lists within a row.
+    Each posting of a window's rarest term is a seed: it fixes the offset between
+    item and segment. Seeds are gathered by (segment, item) before they are shuffled and
+    meet the segment's terms once; the second rarest term is then tested at that
+    offset, and all others where it agrees, each by one access to an array.
     """
     spark = index.sparkSession
-    anchors = _frame(spark, windows(items, document_frequencies(index), length), "item int, s int, t1 int, o1 int, t2 int, o2 int")
-    # from the rarest term: each posting tells where in the document the item would begin
-    hits = index.join(F.broadcast(anchors), F.col("term") == F.col("t1"))
-    seeds = hits.select("doc", "copy", "item", "s", _code(F.col("t2"), F.col("s") + F.col("o2")).alias("second"), F.explode(F.transform("positions", lambda p: p - F.col("o1") - F.col("s"))).alias("shift"))
-    seeds = seeds.where(F.col("shift") + F.col("s") >= 0).groupBy("doc", "copy", "item", "shift").agg(F.collect_set(F.struct("s", "second")).alias("starts"))
-    held = index.select("doc", "copy", F.transform("positions", lambda p: _code(F.col("term"), p)).alias("c")).groupBy("doc", "copy").agg(F.flatten(F.collect_list("c")).alias("codes"))
-    whole = _frame(spark, [(n, i, [(t << 32) + p for p, t in enumerate(seq)]) for n, (i, seq) in enumerate(zip(items.ids, items.words, strict=True))], f"item int, name {items.kind}, places array<long>")
-    # the second rarest term must agree with that offset
-    agreed = F.filter("starts", lambda w: F.array_contains("codes", w["second"] + F.col("shift")))
-    met = seeds.join(held, ["doc", "copy"]).withColumn("starts", agreed).where(F.size("starts") > 0).join(F.broadcast(whole), "item")
-    # then all terms, each place once however many windows ask for it
-    asked = F.array_distinct(F.flatten(F.transform("starts", lambda w: F.slice("places", w["s"] + 1, length))))
-    both = F.array_intersect(F.transform(asked, lambda c: c + F.col("shift")), F.col("codes"))
-    met = met.select("doc", "copy", "item", "name", "shift", both.alias("both")).where(F.size("both") >= length)
-    runs = met.select("doc", "copy", "item", "name", "shift", F.explode(F.transform("both", lambda c: c.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int") - F.col("shift"))).alias("place"))
-    diagonal = Window.partitionBy("doc", "copy", "item", "shift").orderBy("place")
-    runs = runs.withColumn("island", F.col("place") - F.row_number().over(diagonal))
-    found = runs.groupBy("doc", "copy", "item", "name", "shift", "island").agg(F.min("place").alias("item_from"), F.count(F.lit(1)).cast("int").alias("words"))
-    return found.where(F.col("words") >= length).select("doc", F.col("name").alias("item"), "item_from", (F.col("item_from") + F.col("shift")).alias("doc_from"), "words").distinct()
+    found = windows(items, document_frequencies(index), length)
+    second = {(i, s): (t2, o2) for i, s, _, _, t2, o2 in found}
+    anchors = _frame(spark, [(i, s, t1, o1) for i, s, t1, o1, _, _ in found], "item int, s int, t1 int, o1 int")
+    known = [
+        (i, name, seq, [second.get((i, s), (None, None))[0] for s in range(len(seq))], [second.get((i, s), (None, None))[1] for s in range(len(seq))])
+        for i, (name, seq) in enumerate(zip(items.ids, items.words, strict=True))
+    ]
+    known = _frame(spark, known, f"item int, name {items.kind}, terms array<int>, t2 array<int>, o2 array<int>")
+    segment = ["doc", "copy", "seg"]
+    hits = index.join(F.broadcast(anchors), F.col("term") == F.col("t1"))  # bounded by the held-out items
+    seeds = hits.select(*segment, "item", "s", F.explode(F.transform("positions", lambda p: p - F.col("o1") - F.col("s"))).alias("shift"))
+    seeds = seeds.where(F.col("shift") + F.col("s") >= 0).groupBy(*segment, "item").agg(F.collect_list(F.struct("s", "shift")).alias("seeds"))
+    held = index.where("term = -1").select(*segment, F.col("positions").alias("held"))
+    met = seeds.join(held, segment).join(F.broadcast(known), "item")
+    agreed = F.filter("seeds", lambda w: F.get("held", w["shift"] + w["s"] + F.get("o2", w["s"])) == F.get("t2", w["s"]))
+    offsets = F.array(*[F.lit(k) for k in range(length)])
+    whole = F.filter(agreed, lambda w: F.forall(offsets, lambda k: F.coalesce(F.get("held", w["shift"] + w["s"] + k) == F.get("terms", w["s"] + k), F.lit(False))))
+    full = met.select("doc", "copy", "item", "name", "seg", F.explode(whole).alias("w"))
+    starts = full.select("doc", "copy", "item", "name", (F.col("w.shift") + F.col("seg")).alias("shift"), F.col("w.s").alias("s")).distinct()
+    # neighbouring windows of one offset make one run
+    diagonal = ["doc", "copy", "item", "name", "shift"]
+    starts = starts.withColumn("island", F.col("s") - F.row_number().over(Window.partitionBy(*diagonal).orderBy("s")))
+    runs = starts.groupBy(*diagonal, "island").agg(F.min("s").alias("item_from"), (F.max("s") - F.min("s") + length).alias("words"))
+    return runs.select("doc", F.col("name").alias("item"), "item_from", (F.col("item_from") + F.col("shift")).alias("doc_from"), "words").distinct()
 
 
 def proximity_matches(index: DataFrame, items: Items, terms: int = 3, within: int = 20) -> DataFrame:
     """(doc, item, span): documents that hold the item's `terms` rarest terms, in any order, within `within` words;
-    span is the smallest such stretch. Needs an index with min_run 1."""
+    span is the smallest such stretch. Needs an index with min_run 1 and an overlap of within - 1."""
     df = document_frequencies(index)
     rows = []
     for item, seq in zip(items.ids, items.words, strict=True):
@@ -186,8 +212,8 @@ def proximity_matches(index: DataFrame, items: Items, terms: int = 3, within: in
         if len(rare) == terms and rare[0][0]:
             rows += [(item, k, t) for k, (_, t) in enumerate(rare)]
     asked = F.broadcast(_frame(index.sparkSession, rows, f"item {items.kind}, k int, term int"))
-    hits = index.join(asked, "term").select("doc", "copy", "item", "k", F.explode("positions").alias("p"))
-    ahead = Window.partitionBy("doc", "copy", "item").orderBy("p").rangeBetween(0, within - 1)
+    hits = index.join(asked, "term").select("doc", "copy", "seg", "item", "k", F.explode("positions").alias("p"))
+    ahead = Window.partitionBy("doc", "copy", "seg", "item").orderBy("p").rangeBetween(0, within - 1)
     seen = hits.withColumn("kinds", F.size(F.collect_set("k").over(ahead)))
     firsts = [F.min(F.when(F.col("k") == k, F.col("p"))).over(ahead) for k in range(terms)]
     seen = seen.withColumn("span", F.greatest(*firsts) - F.col("p") + 1)
