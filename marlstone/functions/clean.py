@@ -52,12 +52,12 @@ def quarter_label(d: Column | str) -> Column:
 
 
 def weekdays_between(lo: Column, hi: Column) -> Column:
-    """Mondays to Fridays in (lo, hi]; 0 if hi isn't after lo. Closed form: no list of days is made."""
+    """Mondays to Fridays in (lo, hi]; 0 if hi isn't after lo, null if one is null. Closed form: no list of days is made."""
     def upto(d: Column) -> Column:
         n = F.unix_date(d) + 3  # day 0 is then a Monday
         week = F.floor(n / 7)
         return week * 5 + F.least(n - week * 7 + 1, F.lit(5))
-    return F.greatest(upto(hi) - upto(lo), F.lit(0)).cast("int")
+    return F.when(lo.isNotNull() & hi.isNotNull(), F.greatest(upto(hi) - upto(lo), F.lit(0)).cast("int"))
 
 
 def short_number(x: Column) -> Column:
