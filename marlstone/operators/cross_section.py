@@ -71,7 +71,8 @@ def lookback(spine: DataFrame, facts: DataFrame, key: str, at: str, when: str, d
     """spine LEFT JOIN facts of the same key with when in [at - days, at], and their age in days.
 
     A fact is placed in the two blocks of days+1 days that can reach it, a spine row in its own, so the
-    join is an equi-join on (key, block) and no key's whole history meets itself.
+    join is an equi-join on (key, block) and no key's whole history meets itself. The block comes
+    out as `block`: aggregations that name it beside key and at need no further exchange.
     """
     block = days + 1
     s = spine.withColumn("_block", F.floor(F.unix_date(at) / block))
@@ -81,4 +82,5 @@ def lookback(spine: DataFrame, facts: DataFrame, key: str, at: str, when: str, d
     )
     age = F.datediff(F.col(at), F.col("_fwhen"))
     on = (F.col(key) == F.col("_fkey")) & (F.col("_block") == F.col("_fblock")) & age.between(0, days)
-    return s.join(f, on, "left").withColumn("age", age).withColumnRenamed("_fwhen", when).drop("_block", "_fblock", "_fkey")
+    # each spine row meets many facts: a merge join spreads that work by key and block, whatever the sides' sizes
+    return s.join(f.hint("merge"), on, "left").withColumn("age", age).withColumnRenamed("_fwhen", when).drop("_fblock", "_fkey").withColumnRenamed("_block", "block")

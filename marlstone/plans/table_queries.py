@@ -35,22 +35,23 @@ def lookback_signals(spark, d):
     )
     spine = t.select("k", F.trunc("d", "month").alias("at")).distinct()
     j = cs.lookback(spine, t, "k", "at", "d", 180)
+    # per actor first: distinct actors are then a count of flags, with no row copied for each distinct
     def near(c: str, n: int):
-        return F.round(F.sum(F.when(F.col("age") <= n, F.col(c)).otherwise(0.0)), 2).alias(f"net_{c}_{n}d")
-    return j.groupBy(F.col("k").alias("supplier"), F.col("at").alias("as_of_date")).agg(
-        *[near(c, n) for c in ("q", "usd") for n in (30, 90, 180)],
-        F.count_distinct(F.when(F.col("q") > 0, F.col("who"))).alias("buyers_180d"), F.count_distinct(F.when(F.col("q") < 0, F.col("who"))).alias("sellers_180d"),
-        (F.count_distinct(F.when((F.col("age") <= 30) & (F.col("q") > 0), F.col("who"))) >= 3).alias("cluster_30d"),
-    )
+        return F.sum(F.when(F.col("age") <= n, F.col(c)).otherwise(0.0)).alias(f"{c}_{n}")
+    sums = [(c, n) for c in ("q", "usd") for n in (30, 90, 180)]
+    who = j.groupBy("k", "block", "at", "who").agg(*[near(c, n) for c, n in sums], F.max(F.col("q") > 0).alias("b"), F.max(F.col("q") < 0).alias("s"), F.max((F.col("age") <= 30) & (F.col("q") > 0)).alias("b30"))
+    return who.groupBy("k", "block", "at").agg(
+        *[F.round(F.sum(f"{c}_{n}"), 2).alias(f"net_{c}_{n}d") for c, n in sums], F.count_if("b").alias("buyers_180d"), F.count_if("s").alias("sellers_180d"), (F.count_if("b30") >= 3).alias("cluster_30d")
+    ).withColumnsRenamed({"k": "supplier", "at": "as_of_date"}).drop("block")
 
 
 _DIM = """dim as (select * from (select *, upper(trim(symbol)) key from dim_company) where key is not null and key not in ('', 'NONE', 'NULL')
- qualify row_number() over (partition by key order by snapshot_date desc, last_updated desc, load_id desc) = 1)"""
+ qualify row_number() over (partition by key order by snapshot_date desc, last_updated desc, load_id desc, name desc nulls last) = 1)"""
 
 
 def _dim(spark, d) -> DataFrame:
     df = table(spark, d, "dim_company").withColumn("key", F.upper(clean.token("symbol"))).where("key is not null")
-    return rel.latest_by(df, ["key"], [F.desc("snapshot_date"), F.desc("last_updated"), F.desc("load_id")])
+    return rel.latest_by(df, ["key"], [F.desc("snapshot_date"), F.desc("last_updated"), F.desc("load_id"), F.desc_nulls_last("name")])
 
 
 @query(
@@ -96,8 +97,7 @@ def fuzzy_symbol_match(spark, d):
 
 
 @query(
-    """with s as (select symbol, fiscal_date_ending, report_date, pull_date from fact_earnings where pull_date <= date '2023-12-31'),
- f as (select symbol, fiscal_date_ending, max(pull_date) p, max_by(estimated_eps, (pull_date, coalesce(estimated_eps, -1e9))) e from fact_earnings where pull_date <= date '2023-12-31' and period_type = 'quarterly' group by 1, 2)
+    """with f as (select symbol, fiscal_date_ending, max(pull_date) p, arg_max_null(estimated_eps, (pull_date, coalesce(estimated_eps, -1e9))) e from fact_earnings where pull_date <= date '2023-12-31' and period_type = 'quarterly' group by 1, 2)
 select symbol, fiscal_date_ending, p as known_pull, e as estimate from f"""
 )
 def snapshot_asof(spark, d):
@@ -126,12 +126,12 @@ def _long(spark, d) -> DataFrame:
 
 
 @query(
-    "with x as (select 1)" + _SNAP + """ select level as grouping_level, val as group_value, metric, count(*) as n, round(avg(value), 6) as mean, round(quantile_cont(value, 0.25), 6) as p25, round(quantile_cont(value, 0.5), 6) as median, round(quantile_cont(value, 0.75), 6) as p75
+    "with x as (select 1)" + _SNAP + """ select level as grouping_level, val as group_value, metric, count(*) as n, round(avg(value), 9) as mean, round(quantile_cont(value, 0.25), 9) as p25, round(quantile_cont(value, 0.5), 9) as median, round(quantile_cont(value, 0.75), 9) as p75
  from (select unnest(['sector', 'industry']) level, unnest([sector, industry]) val, metric, value from long) where val is not null group by 1, 2, 3"""
 )
 def sector_percentiles(spark, d):
     out = cs.percentiles_by_level(_long(spark, d), ["sector", "industry"], {"p25": 0.25, "median": 0.5, "p75": 0.75})
-    return out.select("grouping_level", "group_value", "metric", "n", *[F.round(c, 6).alias(c) for c in ("mean", "p25", "median", "p75")])
+    return out.select("grouping_level", "group_value", "metric", "n", *[F.round(c, 9).alias(c) for c in ("mean", "p25", "median", "p75")])
 
 
 @query(
@@ -226,11 +226,11 @@ def melt_unpivot(spark, d):
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 
-@query("select o_orderdate::date as day, " + ", ".join(f"round(avg(o_totalprice) filter (o_orderpriority = '{p}'), 4) as p{p[0]}" for p in PRIORITIES) + " from orders group by 1")
+@query("select o_orderdate::date as day, " + ", ".join(f"round(avg(o_totalprice) filter (o_orderpriority = '{p}'), 8) as p{p[0]}" for p in PRIORITIES) + " from orders group by 1")
 def pivot_wide(spark, d):
     """Values of the pivot are given, so the plan is one pass and its columns are fixed."""
     o = table(spark, d, "orders").groupBy(F.to_date("o_orderdate").alias("day")).pivot("o_orderpriority", list(PRIORITIES)).agg(F.avg("o_totalprice"))
-    return o.select("day", *[F.round(f"`{p}`", 4).alias(f"p{p[0]}") for p in PRIORITIES])
+    return o.select("day", *[F.round(f"`{p}`", 8).alias(f"p{p[0]}") for p in PRIORITIES])
 
 
 @query(
