@@ -32,13 +32,20 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Measure:
-    """amount is summed over `windows` days; usable tells rows that count as activity."""
+    """amount is summed over `windows` days; usable tells rows that count as activity.
+
+    parts are the totals to keep: the sum, the number of amounts, the usable rows.
+    """
 
     name: str
     amount: Column
     windows: tuple[int, ...]
     usable: Column | None = None
     scale: int = 6
+    parts: tuple[str, ...] = ("sum", "n", "use")
+
+    def kind(self, part: str) -> str:
+        return f"decimal(30,{self.scale})" if part == "sum" else "long"
 
 
 def _ticks(m: Measure) -> Column:
@@ -80,16 +87,17 @@ def ledger(
 def _parts(m: Measure) -> list[tuple[str, Column]]:
     """What is totalled for a measure: amounts, how many there are, usable rows."""
     a, u = F.col(f"a_{m.name}"), F.col(f"u_{m.name}")
-    zero = F.lit(0).cast(f"decimal(30,{m.scale})")
-    return [
-        ("sum", F.coalesce(a, zero)),
-        ("n", F.when(a.isNotNull(), 1).otherwise(0).cast("long")),
-        ("use", F.coalesce(u, F.lit(0)).cast("long")),
-    ]
+    every = {"sum": F.coalesce(a, F.lit(0).cast(m.kind("sum"))), "n": F.when(a.isNotNull(), 1).otherwise(0).cast("long"), "use": F.coalesce(u, F.lit(0)).cast("long")}
+    return [(p, every[p]) for p in m.parts]
+
+
+def _totals(measures: Sequence[Measure]) -> list[tuple[Measure, int, str, str]]:
+    """(measure, window, part, column) of every total."""
+    return [(m, w, p, f"{p}_{m.name}_{w}") for m in measures for w in m.windows for p in m.parts]
 
 
 def state_columns(measures: Sequence[Measure]) -> list[str]:
-    return [f"{p}_{m.name}_{w}" for m in measures for w in m.windows for p in ("sum", "n", "use")]
+    return [c for *_, c in _totals(measures)]
 
 
 def _reach(measures: Sequence[Measure]) -> int:
@@ -107,34 +115,28 @@ def build(book: DataFrame, measures: Sequence[Measure]) -> DataFrame:
     by_day = Window.partitionBy("entity").orderBy("day")
     reach = _reach(measures)
     following = F.lead("day").over(by_day)
+    # a ledger is small beside the days it spans: the exchange is sized for what comes after it
+    tasks = int(book.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dense = (
-        book.withColumn("_until", F.coalesce(F.date_sub(following, 1), F.date_add("day", reach - 1)))
+        book.repartition(tasks, "entity")
+        .withColumn("_until", F.coalesce(F.date_sub(following, 1), F.date_add("day", reach - 1)))
         .withColumn("_ends", following.isNull())
         .withColumn("_day", F.explode(F.sequence("day", "_until")))
     )
     arrived = F.col("_day") == F.col("day")
-    parts = {f"{m.name}|{p}": (m, c) for m in measures for p, c in _parts(m)}
+    flows_in = [(m, p, f"{m.name}|{p}", c) for m in measures for p, c in _parts(m)]
     dense = dense.select(
         "entity",
         F.col("_day").alias("day"),
         (~F.col("_ends") | arrived).alias("live"),
         F.when(arrived, F.col("version")).alias("_v"),
-        *[F.when(arrived, c).otherwise(F.lit(0).cast("long" if k.split("|")[1] != "sum" else f"decimal(30,{m.scale})")).alias(k) for k, (m, c) in parts.items()],
+        *[F.when(arrived, c).otherwise(F.lit(0).cast(m.kind(p))).alias(k) for m, p, k, c in flows_in],
     )
     running = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    flows, totals = [], []
-    for k, (m, _) in parts.items():
-        name, p = k.split("|")
-        kind = "long" if p != "sum" else f"decimal(30,{m.scale})"
-        for w in m.windows:
-            flow = f"flow_{p}_{name}_{w}"
-            expiring = F.coalesce(F.lag(k, w).over(by_day), F.lit(0).cast(kind))
-            flows.append((F.col(k) - expiring).cast(kind).alias(flow))
-            totals.append(F.sum(flow).over(running).cast(kind).alias(f"{p}_{name}_{w}"))
+    flows = [(F.col(f"{m.name}|{p}") - F.coalesce(F.lag(f"{m.name}|{p}", w).over(by_day), F.lit(0).cast(m.kind(p)))).cast(m.kind(p)).alias(f"flow_{c}") for m, w, p, c in _totals(measures)]
+    totals = [F.sum(f"flow_{c}").over(running).cast(m.kind(p)).alias(c) for m, w, p, c in _totals(measures)]
     recent = by_day.rowsBetween(-(reach - 1), Window.currentRow)
-    return dense.select("*", *flows).select(
-        "entity", "day", "live", F.max("_v").over(recent).alias("version"), *totals
-    ).select("entity", "day", "live", "version", *state_columns(measures))
+    return dense.select("*", *flows).select("entity", "day", "live", F.max("_v").over(recent).alias("version"), *totals)
 
 
 def advance(state: DataFrame, book: DataFrame, day: str, measures: Sequence[Measure]) -> DataFrame:
@@ -155,13 +157,7 @@ def advance(state: DataFrame, book: DataFrame, day: str, measures: Sequence[Meas
         out = out.join(piece, "entity", "full_outer" if tag == "t" else "left")
     def zero(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit(0))
-    totals = []
-    for m in measures:
-        for w in m.windows:
-            for p in ("sum", "n", "use"):
-                kind = "long" if p != "sum" else f"decimal(30,{m.scale})"
-                t = f"{p}_{m.name}_{w}"
-                totals.append((zero(t) + zero(f"{p}_{m.name}_t") - zero(f"{p}_{m.name}_e{w}")).cast(kind).alias(t))
+    totals = [(zero(c) + zero(f"{p}_{m.name}_t") - zero(f"{p}_{m.name}_e{w}")).cast(m.kind(p)).alias(c) for m, w, p, c in _totals(measures)]
     return out.select("entity", today.alias("day"), F.lit(True).alias("live"), F.col("v_t").alias("version"), *totals)
 
 
@@ -179,7 +175,7 @@ def correct(state: DataFrame, before: DataFrame, after: DataFrame, measures: Seq
         book.select(*keys, F.lit(sign).alias("sign"), F.when(F.lit(sign > 0), F.col("version")).alias("version"), *[(c * sign).alias(f"{p}|{m.name}") for m in measures for p, c in _parts(m)])
         for book, sign in ((after, 1), (before, -1))
     ]
-    names = [(m, p) for m in measures for p in ("sum", "n", "use")]
+    names = [(m, p) for m in measures for p in m.parts]
     change = signed[0].unionByName(signed[1]).groupBy(*keys).agg(
         F.max("version").alias("version"), F.sum("sign").alias("_rows"), *[F.sum(f"{p}|{m.name}").alias(f"{p}|{m.name}") for m, p in names]
     )
@@ -188,8 +184,7 @@ def correct(state: DataFrame, before: DataFrame, after: DataFrame, measures: Seq
         moved = moved | (F.col(f"{p}|{m.name}") != 0)
     reached = change.where(moved).select("entity", "version", F.posexplode(F.expr(f"sequence(day, date_add(day, {reach - 1}))")).alias("_age", "day"), *[f"{p}|{m.name}" for m, p in names])
     def part(m: Measure, p: str, w: int) -> Column:
-        kind = "long" if p != "sum" else f"decimal(30,{m.scale})"
-        return F.when(F.col("_age") < w, F.col(f"{p}|{m.name}")).otherwise(F.lit(0)).cast(kind).alias(f"{p}_{m.name}_{w}")
+        return F.when(F.col("_age") < w, F.col(f"{p}|{m.name}")).otherwise(F.lit(0)).cast(m.kind(p)).alias(f"{p}_{m.name}_{w}")
     cols = state_columns(measures)
     old_span = before.groupBy("entity").agg(F.min("day").alias("f0"), F.max("day").alias("l0"))
     span = after.groupBy("entity").agg(F.min("day").alias("f1"), F.max("day").alias("l1")).join(old_span, "entity", "left")
@@ -199,9 +194,9 @@ def correct(state: DataFrame, before: DataFrame, after: DataFrame, measures: Seq
             else concat(if(f1 < f0, sequence(f1, date_sub(f0, 1)), array()),
                         if(l1 > l0, sequence(date_add(l0, {reach}), date_add(l1, {reach - 1})), array())) end"""
     )
-    kinds = {f"{p}_{m.name}_{w}": "long" if p != "sum" else f"decimal(30,{m.scale})" for m in measures for w in m.windows for p in ("sum", "n", "use")}
+    kinds = {c: m.kind(p) for m, _, p, c in _totals(measures)}
     added = grown.select("entity", F.explode(missing).alias("day"), F.lit(None).cast(dict(state.dtypes)["version"]).alias("version"), *[F.lit(0).cast(kinds[c]).alias(c) for c in cols])
-    effects = reached.select("entity", "day", "version", *[part(m, p, w) for m in measures for w in m.windows for p in ("sum", "n", "use")])
+    effects = reached.select("entity", "day", "version", *[part(m, p, w) for m, w, p, _ in _totals(measures)])
     rows = state.select("entity", "day", "version", *cols).unionByName(effects).unionByName(added)
     summed = rows.groupBy(*keys).agg(F.max("version").alias("version"), *[F.sum(c).cast(kinds[c]).alias(c) for c in cols])
     return (

@@ -17,15 +17,15 @@ from marlstone.sources.tables import table
 # 1 ------------------------------------------------------------------------------------------------
 
 
-def _activity(windows_volume: tuple[int, ...], windows_close: tuple[int, ...]) -> list[Measure]:
+def _activity(windows_volume: tuple[int, ...], windows_close: tuple[int, ...], parts: tuple[str, ...]) -> list[Measure]:
     return [
-        Measure("volume", F.col("volume"), windows_volume, F.col("volume") > 0, scale=0),
-        Measure("adjusted_close", F.col("adjusted_close"), windows_close, F.col("adjusted_close").isNotNull()),
+        Measure("volume", F.col("volume"), windows_volume, F.col("volume") > 0, scale=0, parts=parts),
+        Measure("adjusted_close", F.col("adjusted_close"), windows_close, F.col("adjusted_close").isNotNull(), parts=parts),
     ]
 
 
-def _revenue() -> list[Measure]:
-    return [Measure("total_revenue", F.col("total_revenue"), (120,), F.col("total_revenue").isNotNull(), scale=0)]
+def _revenue(parts: tuple[str, ...]) -> list[Measure]:
+    return [Measure("total_revenue", F.col("total_revenue"), (120,), F.col("total_revenue").isNotNull(), scale=0, parts=parts)]
 
 
 def _states(spark: SparkSession, d: str, activity: list[Measure]) -> tuple[DataFrame, DataFrame]:
@@ -34,12 +34,12 @@ def _states(spark: SparkSession, d: str, activity: list[Measure]) -> tuple[DataF
     prices = table(spark, d, "fact_prices_enriched")
     daily = rolling_state.maintain(prices, "symbol", "trade_date", activity, order, F.col("pull_date"), F.datediff("pull_date", "trade_date") > 7)
     quarters = table(spark, d, "fact_fundamentals_wide").where("period_type = 'quarterly'")
-    revenue = rolling_state.maintain(quarters, "symbol", "fiscal_date_ending", _revenue(), order, F.col("pull_date"), F.datediff("pull_date", "fiscal_date_ending") > 75)
+    revenue = rolling_state.maintain(quarters, "symbol", "fiscal_date_ending", _revenue(activity[0].parts), order, F.col("pull_date"), F.datediff("pull_date", "fiscal_date_ending") > 75)
     return daily, revenue
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    daily, revenue = _states(spark, d, _activity((7,), (30,)))
+    daily, revenue = _states(spark, d, _activity((7,), (30,), ("use",)))
     idle = F.array_compact(F.array(F.when(F.col("use_volume_7") == 0, "volume"), F.when(F.col("use_adjusted_close_30") == 0, "adjusted_close")))
     by_day = daily.where("live").select(F.col("entity").alias("symbol"), F.col("day").cast("string").alias("day"), F.explode(idle).alias("measure"))
     return by_day.unionByName(
@@ -48,7 +48,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_rolling_totals(spark: SparkSession, d: str) -> DataFrame:
-    daily, revenue = _states(spark, d, _activity((7, 30), (7, 30)))
+    daily, revenue = _states(spark, d, _activity((7, 30), (7, 30), ("sum", "n", "use")))
     def rows(name: str, w: int) -> Column:
         total, n = F.col(f"sum_{name}_{w}").cast("double"), F.col(f"n_{name}_{w}")
         return F.struct(F.lit(name).alias("measure"), F.lit(w).alias("days"), total.alias("total"), n.alias("n"), F.try_divide(total, n).alias("average"))
