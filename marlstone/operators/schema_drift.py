@@ -20,7 +20,7 @@ Keys are compared by their letters and digits only, without case.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -46,23 +46,23 @@ def records(body: Column, path: str) -> Column:
     return F.filter(as_maps, lambda r: r.isNotNull())
 
 
+# The types that JSON values have as variants.
+_TYPES = {"STRING": "string", "BOOLEAN": "boolean", "OBJECT": "object", "ARRAY": "array", "BIGINT": "number", "DOUBLE": "number", "DECIMAL": "number", "FLOAT": "number"}
+
+
 def json_type(v: Column) -> Column:
     """string, number, boolean, object or array; null for null."""
-    s = F.schema_of_variant(v)
-    return (
-        F.when(v.isNull() | F.is_variant_null(v), F.lit(None).cast("string"))
-        .when(s == "STRING", "string")
-        .when(s == "BOOLEAN", "boolean")
-        .when(s.startswith("OBJECT"), "object")
-        .when(s.startswith("ARRAY"), "array")
-        .otherwise("number")
-    )
+    names = F.create_map(*[F.lit(x) for pair in _TYPES.items() for x in pair])
+    return F.try_element_at(names, F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0))
+
 
+def seen_keys(recs: Column) -> Column:
+    """The distinct struct(key, type) of the records, in no order."""
+    return F.array_distinct(F.flatten(F.transform(recs, lambda r: F.transform(F.map_entries(r), lambda e: F.struct(e["key"].alias("key"), json_type(e["value"]).alias("type"))))))
 
-def fields_of(recs: Column) -> Column:
+
+def fields_of(seen: Column) -> Column:
     """Sorted array of struct(key, type): each key once; its type that of its non-null values."""
-    flat = F.flatten(F.transform(recs, lambda r: F.transform(F.map_entries(r), lambda e: F.struct(e["key"].alias("key"), json_type(e["value"]).alias("type")))))
-    seen = F.array_distinct(flat)
     typed = F.filter(seen, lambda x: x["type"].isNotNull())
     only_null = F.filter(seen, lambda x: x["type"].isNull() & ~F.exists(typed, lambda t: t["key"] == x["key"]))
     return F.array_sort(F.concat(typed, only_null))
@@ -95,11 +95,21 @@ def _squeeze(name: str) -> str:
     return "".join(c for c in name.lower() if c.isascii() and c.isalnum())
 
 
-def fingerprints(files: DataFrame, body: str, path: str, targets: Sequence[Field]) -> DataFrame:
-    """files with recs, fingerprint and steps; only those that hold records."""
-    out = files.withColumn("recs", records(F.col(body), path)).where(F.size("recs") > 0)
-    out = out.withColumn("_fields", fields_of(F.col("recs")))
-    return out.withColumn("fingerprint", F.xxhash64("_fields")).withColumn("steps", steps(F.col("_fields"), targets)).drop("_fields")
+def fingerprints(files: DataFrame, keep: Sequence[str], body: str, path: str) -> DataFrame:
+    """keep, recs, fields and fingerprint of each file; without records fields is empty or null.
+
+    Filter on fields only after writing or exploding: a filter is pushed down
+    and would parse every body twice.
+    """
+    out = files.select(*keep, records(F.col(body), path).alias("recs")).select("*", seen_keys(F.col("recs")).alias("_seen"))
+    out = out.select(*keep, "recs", fields_of(F.col("_seen")).alias("fields"))
+    return out.withColumn("fingerprint", F.xxhash64("fields"))
+
+
+def registry(schemas: DataFrame, targets: Sequence[Field]) -> DataFrame:
+    """fingerprint, steps: every distinct fingerprint, compiled once."""
+    known = schemas.where(F.size("fields") > 0).select("fingerprint", "fields").groupBy("fingerprint").agg(F.min("fields").alias("fields"))
+    return known.select("fingerprint", steps(F.col("fields"), targets).alias("steps"))
 
 
 def previous(df: DataFrame, series: str, position: str, carry: Sequence[str]) -> DataFrame:
@@ -119,15 +129,22 @@ def previous(df: DataFrame, series: str, position: str, carry: Sequence[str]) ->
     return out.select(*[c for c in df.columns if c not in ("_chunk", "_prev")], *[F.col(f"_prev.{c}").alias(f"prev_{c}") for c in carry])
 
 
-def changes(schemas: DataFrame, file_id: str, series: str, position: str) -> DataFrame:
-    """file_id, field, change (added, removed, renamed, retyped), with the keys and types before and after."""
-    both = previous(schemas.select(file_id, series, position, "fingerprint", "steps"), series, position, ["fingerprint", "steps"])
-    both = both.where(F.col("prev_fingerprint").isNotNull() & (F.col("prev_fingerprint") != F.col("fingerprint")))
+def changes(schemas: DataFrame, known: DataFrame, file_id: str, series: str, position: str) -> DataFrame:
+    """file_id, field, change (added, removed, renamed, retyped), with the keys and types before and after.
+
+    schemas holds the files with records, known their registry. Each distinct step from one fingerprint
+    to another is worked out once, then given to the files that took it; files that
+    changed nothing, the bulk of them, take part in no join.
+    """
+    both = previous(schemas.select(file_id, series, position, "fingerprint"), series, position, ["fingerprint"])
+    both = both.where(F.col("prev_fingerprint").isNotNull() & (F.col("prev_fingerprint") != F.col("fingerprint"))).select(file_id, "fingerprint", "prev_fingerprint")
+    moves = both.select("fingerprint", "prev_fingerprint").distinct()
+    moves = moves.join(known, "fingerprint").join(known.select(F.col("fingerprint").alias("prev_fingerprint"), F.col("steps").alias("prev_steps")), "prev_fingerprint")
     def side(c: str, s: int) -> DataFrame:
-        return both.select(file_id, F.inline(c).alias("field", "key", "type"), F.lit(s).alias("s"))
+        return moves.select("fingerprint", "prev_fingerprint", F.inline(c).alias("field", "key", "type"), F.lit(s).alias("s"))
     def of(c: str, s: int, name: str) -> Column:
         return F.max(F.when(F.col("s") == s, F.col(c))).alias(name)
-    met = side("steps", 1).unionByName(side("prev_steps", 0)).groupBy(file_id, "field").agg(
+    met = side("steps", 1).unionByName(side("prev_steps", 0)).groupBy("fingerprint", "prev_fingerprint", "field").agg(
         of("key", 1, "key"), of("key", 0, "prev_key"), of("type", 1, "type"), of("type", 0, "prev_type")
     )
     kinds = F.array(
@@ -136,7 +153,8 @@ def changes(schemas: DataFrame, file_id: str, series: str, position: str) -> Dat
         F.when(F.col("key") != F.col("prev_key"), "renamed"),
         F.when(F.col("key").isNotNull() & F.col("prev_key").isNotNull() & (F.col("type") != F.col("prev_type")), "retyped"),
     )
-    return met.withColumn("change", F.explode(F.array_compact(kinds)))
+    met = met.withColumn("change", F.explode(F.array_compact(kinds)))
+    return both.join(met, ["fingerprint", "prev_fingerprint"]).select(file_id, "field", "change", "key", "prev_key", "type", "prev_type")
 
 
 def versions(schemas: DataFrame, file_id: str, series: str, position: str) -> DataFrame:
@@ -172,12 +190,13 @@ def cast(v: Column, kind: str) -> Column:
     )
 
 
-def route(schemas: DataFrame, keep: Sequence[str], targets: Sequence[Field]) -> DataFrame:
-    """One row per record: keep, _at (its place in the file) and the target fields, renamed and cast by its file's steps."""
-    keys = F.map_from_entries(F.transform("steps", lambda s: F.struct(s["field"].alias("k"), s["key"].alias("v"))))
-    rows = schemas.withColumn("_keys", keys).select(*keep, "_keys", F.posexplode("recs").alias("_at", "_rec"))
-    return rows.select(*keep, "_at", *[cast(F.try_element_at("_rec", F.try_element_at("_keys", F.lit(t.name))), t.kind).alias(t.name) for t in targets])
-
+def route(schemas: DataFrame, known: DataFrame, keep: Sequence[str], targets: Sequence[Field]) -> DataFrame:
+    """One row per record: keep, _at (its place in the file) and the target fields, renamed and cast by its file's steps.
 
-def supported_kinds() -> Mapping[str, str]:
-    return {"text": "string", "number": "double", "date": "date"}
+    known is the registry; most files share a few fingerprints, so it is
+    broadcast where a count shows it to be small.
+    """
+    keys = known.select("fingerprint", F.map_from_entries(F.transform("steps", lambda s: F.struct(s["field"].alias("k"), s["key"].alias("v")))).alias("_keys"))
+    small = keys.limit(50_001).count() <= 50_000
+    rows = schemas.join(F.broadcast(keys) if small else keys, "fingerprint").select(*keep, "_keys", F.posexplode("recs").alias("_at", "_rec"))
+    return rows.select(*keep, "_at", *[cast(F.try_element_at("_rec", F.try_element_at("_keys", F.lit(t.name))), t.kind).alias(t.name) for t in targets])

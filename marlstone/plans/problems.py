@@ -105,19 +105,23 @@ HOLDING_FIELDS = (
 
 
 def _schemas(spark: SparkSession, d: str, keep: list[str]) -> DataFrame:
-    files = table(spark, d, "bronze_holdings_files").select(*keep, "body")
-    return schema_drift.fingerprints(files, "body", "$.holdings", HOLDING_FIELDS).drop("body")
+    return schema_drift.fingerprints(table(spark, d, "bronze_holdings_files"), keep, "body", "$.holdings")
+
+
+def _drift(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The schemas of all files with records, and the registry of their fingerprints."""
+    schemas = materialise(_schemas(spark, d, ["file_id", "symbol", "file_no"]).drop("recs"), "schemas").where(F.size("fields") > 0)
+    return schemas, materialise(schema_drift.registry(schemas, HOLDING_FIELDS), "registry")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    schemas = materialise(_schemas(spark, d, ["file_id", "symbol", "file_no"]).drop("recs"), "schemas")
-    return schema_drift.changes(schemas, "file_id", "symbol", "file_no").select("file_id", "field", "change")
+    return schema_drift.changes(*_drift(spark, d), "file_id", "symbol", "file_no").select("file_id", "field", "change")
 
 
 def p3_change_report(spark: SparkSession, d: str) -> DataFrame:
     """Every change with the keys and types on both sides and the schema version it led to."""
-    schemas = materialise(_schemas(spark, d, ["file_id", "symbol", "file_no"]).drop("recs"), "schemas")
-    found = schema_drift.changes(schemas, "file_id", "symbol", "file_no")
+    schemas, known = _drift(spark, d)
+    found = schema_drift.changes(schemas, known, "file_id", "symbol", "file_no")
     return found.join(schema_drift.versions(schemas, "file_id", "symbol", "file_no").select("file_id", "schema_version"), "file_id")
 
 
@@ -131,7 +135,7 @@ def p3_holdings(spark: SparkSession, d: str) -> DataFrame:
     """
     keep = ["file_id", "symbol", "file_no", "pull_date"]
     names = [f.name for f in HOLDING_FIELDS]
-    rows = schema_drift.route(_schemas(spark, d, keep), keep, HOLDING_FIELDS)
+    rows = schema_drift.route(_schemas(spark, d, keep), _drift(spark, d)[1], keep, HOLDING_FIELDS)
     rows = materialise(rows, "holdings")
     per_file = rows.groupBy("file_id").agg(
         F.max("report_date").alias("_date"),

@@ -31,11 +31,19 @@ BODIES = [
 
 
 def schemas(spark, bodies=BODIES):
-    return sd.fingerprints(files(spark, bodies), "body", "$.holdings", TARGETS)
+    return sd.fingerprints(files(spark, bodies), ["id", "s", "no"], "body", "$.holdings").where(F.size("fields") > 0)
+
+
+def changes(s):
+    return sd.changes(s, sd.registry(s, TARGETS), "id", "s", "no")
+
+
+def route(s):
+    return sd.route(s, sd.registry(s, TARGETS), ["id"], TARGETS)
 
 
 def test_changes(spark):
-    got = {(r.id, r.field, r.change) for r in sd.changes(schemas(spark), "id", "s", "no").collect()}
+    got = {(r.id, r.field, r.change) for r in changes(schemas(spark)).collect()}
     assert got == {
         (6, "name", "renamed"), (6, "shares", "retyped"),
         (7, "name", "renamed"), (7, "name", "retyped"), (7, "shares", "renamed"), (7, "shares", "retyped"), (7, "on", "renamed"), (7, "on", "retyped"), (7, "extra", "added"),
@@ -44,7 +52,7 @@ def test_changes(spark):
 
 
 def test_route(spark):
-    rows = sd.route(schemas(spark), ["id"], TARGETS).orderBy("id", "_at").collect()
+    rows = route(schemas(spark)).orderBy("id", "_at").collect()
     assert [(r.id, r.name, r.shares, str(r.on)) for r in rows] == [
         (0, "a", 1.0, "2024-01-31"), (6, "b", 1200.0, "2024-02-29"), (6, "c", None, "None"), (7, "d", 5.5, "2024-03-31"), (8, None, 6.0, "None"), (9, "e", 6.0, "None"),
     ]
@@ -63,9 +71,9 @@ def test_previous_over_chunks(spark):
 
 def test_nothing(spark):
     s = schemas(spark, [None, ""])
-    assert s.count() == 0 and sd.changes(s, "id", "s", "no").count() == 0 and sd.route(s, ["id"], TARGETS).count() == 0
+    assert s.count() == 0 and changes(s).count() == 0 and route(s).count() == 0
 
 
 def test_long_body(spark):
     many = body(*[{"name": "x" * 1000, "shares": i, "on": None} for i in range(2000)])
-    assert sd.route(schemas(spark, [many]), ["id"], TARGETS).agg(F.sum("shares")).first()[0] == 1999000
+    assert route(schemas(spark, [many])).agg(F.sum("shares")).first()[0] == 1999000
