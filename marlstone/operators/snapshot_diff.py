@@ -10,7 +10,7 @@ A digest is the row count and two independently seeded 64-bit sums of row
 hashes, so equal digests of unequal rows have a chance of about 2^-128.
 
 Of several rows of one key the one with the greatest `order` counts (ties: the
-greatest values). Rows with a null key or snapshot are ignored; nulls in
+greatest row hash). Rows with a null key or snapshot are ignored; nulls in
 other columns are values, equal to each other. An empty table, or a single
 snapshot, gives no changes.
 """
@@ -24,26 +24,23 @@ from pyspark.sql import functions as F
 
 from marlstone.session import materialise
 
-FANOUT_BITS = 4
+FANOUT_BITS = 5
+#: Differing leaves that are broadcast, at most; beyond that rows are joined to them by a shuffle.
+FEW = 100_000
 
 
 def normalised(df: DataFrame, snapshot: Column, key: Column, values: Sequence[Column], order: Sequence[Column], depth: int) -> DataFrame:
     """snapshot, key, leaf, h1, h2: one row per key and snapshot.
 
-    One aggregation, partial before its shuffle, so that a key repeated in a
-    third of all rows reaches one task only once per map task.
+    One aggregation of row hashes, partial before its shuffle, so that a key repeated in
+    a third of all rows reaches one task only once per map task.
     """
-    row = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], *[v.alias(f"v{i}") for i, v in enumerate(values)])
+    parts = [x for v in values for x in (v.isNull(), v)]
+    hashes = [F.xxhash64(F.lit(seed), key, *parts).alias(h) for h, seed in (("h1", 11), ("h2", 8191))]
+    row = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], *hashes)
     out = df.select(snapshot.alias("snapshot"), key.alias("key"), row.alias("row")).where("snapshot is not null and key is not null")
     out = out.groupBy("snapshot", "key").agg(F.max("row").alias("row"))
-    parts = [x for i in range(len(values)) for x in (F.col(f"row.v{i}").isNull(), F.col(f"row.v{i}"))]
-    return out.select(
-        "snapshot",
-        "key",
-        F.shiftrightunsigned(F.xxhash64("key"), 64 - depth).cast("long").alias("leaf"),
-        F.xxhash64(F.lit(11), "key", *parts).alias("h1"),
-        F.xxhash64(F.lit(8191), "key", *parts).alias("h2"),
-    )
+    return out.select("snapshot", "key", F.shiftrightunsigned(F.xxhash64("key"), 64 - depth).cast("long").alias("leaf"), "row.h1", "row.h2")
 
 
 def digests(rows: DataFrame, depth: int) -> DataFrame:
@@ -74,10 +71,10 @@ def differing_leaves(trees: DataFrame, depth: int, following: Column, known: Col
         then = here.select(following.alias("later"), "node", "n", "d1", "d2", F.lit(-1).alias("s")).where("later is not null")
         both = now.unionByName(then)
         if open_nodes is not None:
-            kids = F.explode(F.transform(F.sequence(F.lit(0), F.lit((1 << FANOUT_BITS) - 1)), lambda k: F.col("node") * (1 << FANOUT_BITS) + k))
-            both = both.join(open_nodes.select("later", kids.alias("node")), ["later", "node"], "left_semi")
+            both = both.withColumn("parent", F.shiftright("node", FANOUT_BITS)).join(open_nodes.withColumnRenamed("node", "parent"), ["later", "parent"], "left_semi")
         sums = [F.sum(F.col(c) * F.col("s")).alias(c) for c in ("n", "d1", "d2")]
-        open_nodes = both.groupBy("later", "node").agg(*sums).where("n != 0 or d1 != 0 or d2 != 0").select("later", "node")
+        # written down, so the levels below read a few nodes instead of planning all levels above again
+        open_nodes = materialise(both.groupBy("later", "node").agg(*sums).where("n != 0 or d1 != 0 or d2 != 0").select("later", "node"), "differing")
     return open_nodes
 
 
@@ -97,7 +94,8 @@ def diff(rows: DataFrame, depth: int) -> DataFrame:
     found = differing_leaves(trees, depth, following, known).withColumnRenamed("node", "leaf")
     now = rows.where(known).select(F.col("snapshot").alias("later"), "leaf", "key", F.lit(1).alias("s"), "h1", "h2")
     then = rows.select(following.alias("later"), "leaf", "key", F.lit(-1).alias("s"), "h1", "h2").where("later is not null")
-    met = now.unionByName(then).join(found, ["later", "leaf"], "left_semi").groupBy("later", "key").agg(
+    few = found.limit(FEW + 1).count() <= FEW
+    met = now.unionByName(then).join(F.broadcast(found) if few else found, ["later", "leaf"], "left_semi").groupBy("later", "key").agg(
         F.sum("s").alias("s"), F.min(F.struct("h1", "h2")).alias("lo"), F.max(F.struct("h1", "h2")).alias("hi")
     )
     change = F.when(F.col("s") > 0, "added").when(F.col("s") < 0, "removed").when(F.col("lo") != F.col("hi"), "changed")

@@ -253,7 +253,7 @@ def p5_daily_prices(spark: SparkSession, d: str) -> DataFrame:
 # 6 ------------------------------------------------------------------------------------------------
 
 DESCRIPTIVE = ("name", "exchange", "asset_type", "cik", "sector", "industry", "country", "currency", "fiscal_year_end", "listing_status")
-LEAF_BITS = 16
+LEAF_BITS = 15
 
 
 def _blank_as_null(c: str) -> Column:

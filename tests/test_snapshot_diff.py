@@ -42,7 +42,7 @@ def run(spark, rows, depth):
     return {(r.snapshot, r.key, r.change) for r in sd.diff(n, depth).collect()}
 
 
-@pytest.mark.parametrize("depth", [4, 16])
+@pytest.mark.parametrize("depth", [5, 15])
 def test_diff(spark, depth):
     rows, want = build(depth)
     assert run(spark, rows, depth) == want
@@ -51,16 +51,16 @@ def test_diff(spark, depth):
 def test_top_down_opens_only_what_differs(spark):
     rows = [(s, f"k{i}", "x", i, 1, "", "") for s in S[:2] for i in range(500)]
     rows[510] = (S[1], rows[510][1], "changed", 1, 1, "", "")
-    n = sd.normalised(spark.createDataFrame(rows, SCHEMA), F.col("snap"), F.col("key0"), [F.col("a"), F.col("b")], [F.col("at")], 12)
-    trees = sd.digests(n, 12)
+    n = sd.normalised(spark.createDataFrame(rows, SCHEMA), F.col("snap"), F.col("key0"), [F.col("a"), F.col("b")], [F.col("at")], 10)
+    trees = sd.digests(n, 10)
     step = F.create_map(F.lit(S[0]), F.lit(S[1]))[F.col("snapshot")]
-    assert sd.differing_leaves(trees, 12, step, F.col("snapshot") != F.lit(S[0])).count() == 1
+    assert sd.differing_leaves(trees, 10, step, F.col("snapshot") != F.lit(S[0])).count() == 1
 
 
 def test_null_is_not_another_value(spark):
     rows = [(S[0], "k", None, 1, 1, "", ""), (S[1], "k", "", 1, 1, "", ""), (S[0], "j", "a", None, 1, "", ""), (S[1], "j", "a", None, 1, "", "")]
-    assert run(spark, rows, 8) == {(S[1], "k", "changed")}
+    assert run(spark, rows, 5) == {(S[1], "k", "changed")}
 
 
 def test_empty_and_single(spark):
-    assert run(spark, [], 8) == set() and run(spark, [(S[0], "k", "a", 1, 1, "", "")], 8) == set()
+    assert run(spark, [], 5) == set() and run(spark, [(S[0], "k", "a", 1, 1, "", "")], 5) == set()
