@@ -8,10 +8,12 @@ columns come out. A batch goes back whenever its ids fill it, so long texts need
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 from marlstone.llm.vocabulary import Encoder, read_ranks
@@ -23,10 +25,11 @@ BATCH_IDS = 1 << 20
 
 def encode_corpus(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """(key, ids) for each row. The file at `vocabulary` is read by the driver only."""
-    shipped = df.sparkSession.sparkContext.broadcast(Encoder(read_ranks(vocabulary)))  # bounded by the vocabulary
+    # bounded by the vocabulary; by value, so that workers need no copy of this package
+    shipped = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Encoder(read_ranks(vocabulary))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = shipped.value.encode
+        encode = pickle.loads(shipped.value).encode
         for batch in batches:
             keys, at, ids, offsets = batch.column(0), 0, [], [0]
             for i, t in enumerate(batch.column(1)):
