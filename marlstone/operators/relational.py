@@ -118,6 +118,11 @@ def dominant(df: DataFrame, group: Sequence[str], value: Column, first: Column,
     return df.join(best, list(group)).where((F.col("_all") < least) | value.eqNullSafe(F.col("_keep"))).drop("_keep", "_all")
 
 
+def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: int) -> DataFrame:
+    """n rows at random, the same for the same rows and seed however they are partitioned."""
+    return df.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(n)
+
+
 def key_range(spark: SparkSession, first: str, last: str, step: str) -> DataFrame:
     """The dates from first to last in steps such as '3 months', as `at`."""
     return spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(first)), F.to_date(F.lit(last)), F.expr(f"interval {step}"))).alias("at"))

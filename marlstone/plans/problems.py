@@ -289,7 +289,7 @@ def _symbol_checks() -> list[cp.Check]:
     return [cp.Check("symbol", s, violations={"pattern": s.isNotNull() & ~(s.rlike(SYMBOL_SHAPE) & ~s.contains("\n"))})]
 
 
-def _profiles(spark: SparkSession, d: str) -> DataFrame:
+def _profiles(spark: SparkSession, d: str, all_distinct: bool = False) -> DataFrame:
     by = ["universe", "load_id"]
     prices, companies = table(spark, d, "fact_daily_prices"), table(spark, d, "dim_company")
     x = F.col("adjusted_close")
@@ -298,6 +298,8 @@ def _profiles(spark: SparkSession, d: str) -> DataFrame:
     c = cp.profile(companies, by, _symbol_checks()).withColumn("v_range", F.lit(0).cast("long"))
     mid = cp.medians(prices, by, inside).withColumn("column_name", F.lit("adjusted_close"))
     days = cp.distinct_counts(prices, by, "trade_date", F.col("trade_date"))
+    if all_distinct:
+        days = days.unionByName(cp.distinct_counts(prices, by, "adjusted_close", x))
     keys = [*by, "column_name"]
     price = p.join(_null_safe(mid), _on(p, "_m_", keys), "left").drop(*[f"_m_{k}" for k in keys])
     price = price.join(_null_safe(days), _on(price, "_m_", keys), "left").drop(*[f"_m_{k}" for k in keys])
@@ -336,7 +338,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p7_profile(spark: SparkSession, d: str) -> DataFrame:
     """The whole profile of each load and column, with the standardised difference from the load before."""
-    rows = cp.moments(materialise(_profiles(spark, d), "profiles"))
+    rows = cp.moments(materialise(_profiles(spark, d, all_distinct=True), "profiles"))
     rows = cp.against_previous(rows, "load_id", ["universe", "table_name", "column_name"], ["mean", "sd"])
     return rows.select(
         "table_name", "column_name", "universe", "load_id", "n", "nulls", "n_distinct", "v_range", "v_pattern", "median",

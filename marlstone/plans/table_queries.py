@@ -468,3 +468,19 @@ def tumbling_windows(spark, d):
 
     return hourly(table(spark, d, "events"))
 
+
+
+@query("select distinct symbol, year(fiscal_date_ending) || 'Q' || quarter(fiscal_date_ending) as label, report_date from fact_earnings where period_type = 'quarterly' and report_date between date '2024-03-01' - 60 and date '2024-03-01'")
+def forward_targets(spark, d):
+    """What was reported in the two months before a day, by quarter label: the targets of the next pull."""
+    e = table(spark, d, "fact_earnings").where("period_type = 'quarterly' and report_date between date_sub(date '2024-03-01', 60) and date '2024-03-01'")
+    return e.select("symbol", clean.quarter_label("fiscal_date_ending").alias("label"), "report_date").distinct()
+
+
+@query("select l_orderkey, l_suppkey, l_extendedprice from lineitem where l_suppkey in (select s_suppkey from supplier where s_acctbal > 5000) and l_orderkey not in (select o_orderkey from orders where o_orderstatus = 'F')")
+def semi_and_anti_filters(spark, d):
+    """Kept by membership in one set and absence from another; no column of either comes along."""
+    rich = table(spark, d, "supplier").where("s_acctbal > 5000").select(F.col("s_suppkey").alias("l_suppkey"))
+    done = table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice")
+    return li.join(rich, "l_suppkey", "left_semi").join(done, "l_orderkey", "left_anti").select("l_orderkey", "l_suppkey", "l_extendedprice")

@@ -109,3 +109,20 @@ def test_quality(spark, tmp_path, day):
         raise ValueError("x")
     row = json.loads(next((tmp_path / "m").iterdir()).read_text())
     assert (row["status"], row["calls"]) == ("failed", 2)
+
+
+def test_spreadsheet(spark, tmp_path):
+    import zipfile
+
+    from marlstone.sources.spreadsheet import read_sheet
+
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    sheet = f'''<worksheet {ns}><sheetData><row r="1"><c r="A1" t="inlineStr"><is><t>title</t></is></c></row>
+      <row r="4"><c r="A4" t="s"><v>0</v></c><c r="C4" t="s"><v>1</v></c></row>
+      <row r="5"><c r="A5" t="inlineStr"><is><t>AA</t></is></c><c r="C5"><v>1.5</v></c></row>
+      <row r="6"><c r="A6" t="s"><v>2</v></c></row><row r="8"><c r="A8" t="inlineStr"><is><t>footer</t></is></c></row></sheetData></worksheet>'''
+    shared = f"<sst {ns}><si><t>Ticker</t></si><si><t>Weight</t></si><si><t>BB</t></si></sst>"
+    with zipfile.ZipFile(tmp_path / "h.xlsx", "w") as z:
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+        z.writestr("xl/sharedStrings.xml", shared)
+    assert [tuple(r) for r in read_sheet(spark, str(tmp_path / "h.xlsx"), 4, "Ticker").collect()] == [("AA", "1.5"), ("BB", None)]

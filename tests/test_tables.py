@@ -176,3 +176,9 @@ def test_top_share(spark):
     df = spark.createDataFrame([("a", "x", 5.0), ("a", "y", 3.0), ("a", "z", 3.0), ("a", "n", None)], "s string, h string, v double")
     r = cs.top_share(df, ["s"], "v", [1, 2], [F.col("h")]).first()
     assert (r.top1, r.top2, r.total, r.members) == (5.0, 8.0, 11.0, 3)
+
+
+def test_sample_is_reproducible(spark):
+    df = spark.range(1000)
+    a, b = (sorted(r.id for r in rel.sample_rows(x, ["id"], 20, 7).collect()) for x in (df, df.repartition(13)))
+    assert a == b and len(a) == 20 and a != sorted(r.id for r in rel.sample_rows(df, ["id"], 20, 8).collect())
