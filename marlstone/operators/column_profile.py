@@ -83,7 +83,7 @@ def moments(profiles: DataFrame) -> DataFrame:
     n = F.col("s0").cast("double")
     mean = F.try_divide(F.col("s1").cast("double"), n)
     var = F.try_divide(F.col("s2").cast("double"), n) - mean * mean
-    return profiles.withColumn("mean", mean * unit).withColumn("sd", F.sqrt(F.greatest(var, F.lit(0.0))) * unit)
+    return profiles.withColumn("mean", mean * unit).withColumn("sd", F.when(var.isNotNull(), F.sqrt(F.greatest(var, F.lit(0.0)))) * unit)
 
 
 def against_previous(df: DataFrame, load: str, keys: Sequence[str], carry: Sequence[str]) -> DataFrame:

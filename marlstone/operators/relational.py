@@ -18,9 +18,15 @@ from marlstone.session import fresh_path
 from marlstone.sources.tables import table_exists
 
 
-def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], cluster: Sequence[str] = ()) -> DataFrame:
     """The first row of each key in the given order. One exchange on the keys; the rank limit is
-    applied before it too, so a key's many rows don't travel."""
+    applied before it too, so a key's many rows don't travel.
+
+    With `cluster`, some of the keys, the exchange is on those: windows over them that follow share
+    it. For series whose rows are bounded by their calendar.
+    """
+    if cluster:
+        df = df.repartition(*cluster)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 

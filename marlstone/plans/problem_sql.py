@@ -23,13 +23,16 @@ with {_ALIASES.strip()},
    from typed left join aliases a on a.k = regexp_replace(lower(typed.k), '[^a-z0-9]', '', 'g') group by all),
  pairs as (select file_id, lag(file_id) over (partition by symbol order by file_no) prev from (select distinct file_id, symbol, file_no from fields)),
  met as (select p.file_id, f.field, f.k, f.t, p.prev from pairs p join fields f using (file_id) where prev is not null),
- gone as (select p.file_id, f.field from pairs p join fields f on f.file_id = p.prev
+ gone as (select p.file_id, f.field, f.k, f.t from pairs p join fields f on f.file_id = p.prev
    where not exists (select 1 from fields g where g.file_id = p.file_id and g.field = f.field)),
  both_sides as (select m.file_id, m.field, m.k, m.t, f.k pk, f.t pt from met m left join fields f on f.file_id = m.prev and f.field = m.field)
-select file_id, field, 'added' as change from both_sides where pk is null
-union all select file_id, field, 'removed' from gone
-union all select file_id, field, 'renamed' from both_sides where pk <> k
-union all select file_id, field, 'retyped' from both_sides where pt <> t
+"""
+
+_CHANGES = """
+select file_id, field, 'added' as change, k as key, null as prev_key, t as type, null as prev_type from both_sides where pk is null
+union all select file_id, field, 'removed', null, k, null, t from gone
+union all select file_id, field, 'renamed', k, pk, t, pt from both_sides where pk <> k
+union all select file_id, field, 'retyped', k, pk, t, pt from both_sides where pt <> t
 """
 
 _LAST_VALUED = """
@@ -105,7 +108,11 @@ with {_known('')}
 select r.symbol, r.universe, strftime(r.trade_date, '%Y-%m-%d') as trade_date, s.v as shares_outstanding, strftime(f.v, '%Y-%m-%d') as fundamentals_as_of
 from fact_valuation_daily r left join s using (symbol, trade_date) left join f using (symbol, trade_date)
 """,
-    "p3_found": _DRIFT,
+    "p3_found": f"{_DRIFT} select file_id, field, change from ({_CHANGES})",
+    "p3_change_report": f"""{_DRIFT}, marks as (select file_id, symbol, file_no, list_sort(list(k || '|' || coalesce(t, ''))) fp from fields group by all),
+ turns as (select *, (fp is distinct from lag(fp) over (partition by symbol order by file_no))::int turn from marks),
+ vers as (select file_id, (sum(turn) over (partition by symbol order by file_no))::bigint as schema_version from turns)
+select * from ({_CHANGES}) join vers using (file_id)""",
     "p4_found": f"""
 with {_LAST_VALUED},
  stats as (select universe, as_of_date, grouping_level, group_value, metric, unnest([0.25, 0.5, 0.75]) q, unnest([p25, median, p75]) v from fact_sector_aggregates),
@@ -167,3 +174,13 @@ union all select 'dim_company', 'symbol', load_id, unnest([case when s_null > 0.
 """,
 }
 SQL["p7_found"] = "select * from (" + SQL["p7_found"].replace(" qualify finding is not null", "") + ") where finding is not null"
+SQL["p7_profile"] = """
+with x as (select universe, load_id, adjusted_close a, trade_date d, pull_date p,
+   case when not isnan(adjusted_close) and adjusted_close > 0 and adjusted_close < 100000 then adjusted_close end g from fact_daily_prices),
+ price as (select universe, load_id, count(*) n, count(*) - count(a) nulls, count(distinct a) n_distinct, count(*) filter (a is not null and g is null) v_range, 0 v_pattern, median(g) median,
+   sum(round(g * 10000)) / nullif(count(g), 0) / 10000 mean, stddev_pop(round(g * 10000)) / 10000 sd from x group by all),
+ q as (select a.*, (a.mean - b.mean) / nullif(sqrt((a.sd * a.sd + b.sd * b.sd) / 2), 0) shift from price a left join price b on b.universe = a.universe and b.load_id = a.load_id - 1)
+select 'fact_daily_prices' as table_name, 'adjusted_close' as column_name, universe, load_id, n, nulls, n_distinct, v_range, v_pattern::bigint as v_pattern, median, round(mean, 8) as mean, round(sd, 8) as sd, round(shift, 6) as shift from q
+union all select 'fact_daily_prices', 'trade_date', universe, load_id, count(*), count(*) - count(d), count(distinct d), count(*) filter (d > p or d < date '2000-01-01'), count(*) filter (isodow(d) >= 6), null, null, null, null from x group by all
+union all select 'dim_company', 'symbol', universe, load_id, count(*), count(*) - count(symbol), count(distinct symbol), 0, count(*) filter (symbol is not null and not regexp_full_match(symbol, '[A-Z]+(-[A-Z])?')), null, null, null, null from dim_company group by all
+"""

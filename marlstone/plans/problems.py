@@ -342,7 +342,7 @@ def p7_profile(spark: SparkSession, d: str) -> DataFrame:
     rows = cp.against_previous(rows, "load_id", ["universe", "table_name", "column_name"], ["mean", "sd"])
     return rows.select(
         "table_name", "column_name", "universe", "load_id", "n", "nulls", "n_distinct", "v_range", "v_pattern", "median",
-        F.round("mean", 6).alias("mean"), F.round("sd", 6).alias("sd"), F.round(cp.standardised_difference(), 4).alias("shift"),
+        F.round("mean", 8).alias("mean"), F.round("sd", 8).alias("sd"), F.round(cp.standardised_difference(), 6).alias("shift"),
     )
 
 

@@ -24,17 +24,17 @@ BY = "window w as (partition by symbol order by trade_date)"
 
 
 def prices(spark: SparkSession, d: str) -> DataFrame:
-    df = latest_by(table(spark, d, "fact_prices_enriched"), ["symbol", "trade_date"], [F.desc("pull_date"), F.desc("gold_built_utc")])
+    df = latest_by(table(spark, d, "fact_prices_enriched"), ["symbol", "trade_date"], [F.desc("pull_date"), F.desc("gold_built_utc")], cluster=["symbol"])
     return df.select("symbol", "trade_date", "close", F.col("adjusted_close").alias("x"), F.col("volume").cast("double").alias("v"))
 
 
 def fundamentals(spark: SparkSession, d: str) -> DataFrame:
-    return latest_by(table(spark, d, "fact_fundamentals_wide"), ["symbol", "fiscal_date_ending", "period_type"], [F.desc("pull_date"), F.desc("gold_built_utc")])
+    return latest_by(table(spark, d, "fact_fundamentals_wide"), ["symbol", "fiscal_date_ending", "period_type"], [F.desc("pull_date"), F.desc("gold_built_utc")], cluster=["symbol"])
 
 
-def daily(spark: SparkSession, d: str) -> DataFrame:
+def daily(spark: SparkSession, d: str, cluster: bool = False) -> DataFrame:
     df = table(spark, d, "fact_daily_prices").where("symbol is not null and trade_date is not null")
-    return latest_by(df, ["symbol", "trade_date"], [F.desc("pull_date"), F.desc("row_id")])
+    return latest_by(df, ["symbol", "trade_date"], [F.desc("pull_date"), F.desc("row_id")], cluster=["symbol"] if cluster else ())
 
 
 def _w():
@@ -105,7 +105,7 @@ _CLEAN = """c as (select symbol, trade_date, adjusted_close::double x, high h, l
 
 def _ohlc(spark, d):
     ok = " and ".join(f"{c} > 0 and not isnan({c})" for c in ("adjusted_close", "high", "low", "close"))
-    return daily(spark, d).where(f"{ok} and adjusted_close < 100000").select("symbol", "trade_date", "adjusted_close", "high", "low", "close")
+    return daily(spark, d, cluster=True).where(f"{ok} and adjusted_close < 100000").select("symbol", "trade_date", "adjusted_close", "high", "low", "close")
 
 
 def _indicators(spark, d, *names):
