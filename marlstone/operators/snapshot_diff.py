@@ -6,8 +6,9 @@ snapshot. Two snapshots are compared from the root down: only children of nodes
 that differ are looked at, and only rows in leaves that differ are compared.
 Digests of a snapshot can be kept; comparing it again costs no row of it.
 
-A digest is the row count and two independently seeded 64-bit sums of row
-hashes, so equal digests of unequal rows have a chance of about 2^-128.
+A digest is the row count and the exclusive or of two independently seeded 64-bit row
+hashes; keys are unique by then, so no two rows cancel out, and equal digests of
+unequal rows have a chance of about 2^-128.
 
 Of several rows of one key the one with the greatest `order` counts (ties: the
 greatest row hash). Rows with a null key or snapshot are ignored; nulls in
@@ -46,16 +47,12 @@ def normalised(df: DataFrame, snapshot: Column, key: Column, values: Sequence[Co
 def digests(rows: DataFrame, depth: int) -> DataFrame:
     """level (0 is the root), snapshot, node, n, d1, d2: every node of every snapshot's tree.
 
-    Rows are summed into leaves, leaves into all their ancestors; both sums are
-    partial before the shuffle.
+    Each row counts in its leaf and in all ancestors of that; summed up before the one shuffle.
     """
-    lowest = rows.groupBy("snapshot", F.col("leaf").alias("node")).agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(F.col(h).cast("decimal(20,0)")).alias(d) for h, d in (("h1", "d1"), ("h2", "d2"))]
-    )
     top = depth // FANOUT_BITS
-    paths = F.array(*[F.struct(F.lit(top - k).alias("level"), F.shiftright("node", FANOUT_BITS * k).alias("node")) for k in range(top + 1)])
-    climbed = lowest.select("snapshot", F.inline(paths).alias("level", "node"), "n", "d1", "d2")
-    return climbed.groupBy("level", "snapshot", "node").agg(*[F.sum(c).cast("decimal(38,0)").alias(c) for c in ("n", "d1", "d2")])
+    path = F.array(*[F.struct(F.lit(top - k).alias("level"), F.shiftright("leaf", FANOUT_BITS * k).alias("node")) for k in range(top + 1)])
+    climbed = rows.select("snapshot", F.inline(path).alias("level", "node"), "h1", "h2")
+    return climbed.groupBy("level", "snapshot", "node").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("h1").alias("d1"), F.bit_xor("h2").alias("d2"))
 
 
 def differing_leaves(trees: DataFrame, depth: int, following: Column, known: Column) -> DataFrame:
@@ -72,7 +69,7 @@ def differing_leaves(trees: DataFrame, depth: int, following: Column, known: Col
         both = now.unionByName(then)
         if open_nodes is not None:
             both = both.withColumn("parent", F.shiftright("node", FANOUT_BITS)).join(open_nodes.withColumnRenamed("node", "parent"), ["later", "parent"], "left_semi")
-        sums = [F.sum(F.col(c) * F.col("s")).alias(c) for c in ("n", "d1", "d2")]
+        sums = [F.sum(F.col("n") * F.col("s")).alias("n"), F.bit_xor("d1").alias("d1"), F.bit_xor("d2").alias("d2")]
         # written down, so the levels below read a few nodes instead of planning all levels above again
         open_nodes = materialise(both.groupBy("later", "node").agg(*sums).where("n != 0 or d1 != 0 or d2 != 0").select("later", "node"), "differing")
     return open_nodes
