@@ -33,10 +33,11 @@ def encode_corpus(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULA
         for batch in batches:
             keys, at, ids, offsets = batch.column(0), 0, [], [0]
             for i, t in enumerate(batch.column(1)):
-                ids += encode(t.as_py())
-                offsets.append(len(ids))
-                if len(ids) >= BATCH_IDS or i + 1 == batch.num_rows:
-                    lists = pa.ListArray.from_arrays(pa.array(np.array(offsets, dtype=np.int32)), pa.array(np.array(ids, dtype=np.int32)))
+                ids.append(encode(t.as_py()))
+                offsets.append(offsets[-1] + len(ids[-1]))
+                if offsets[-1] >= BATCH_IDS or i + 1 == batch.num_rows:
+                    flat = np.concatenate([np.asarray(x, dtype=np.int32) for x in ids])
+                    lists = pa.ListArray.from_arrays(pa.array(np.array(offsets, dtype=np.int32)), pa.array(flat))
                     yield pa.RecordBatch.from_arrays([keys.slice(at, i + 1 - at), lists], [key, "ids"])
                     at, ids, offsets = i + 1, [], [0]
 

@@ -20,7 +20,8 @@ Rows of one key are searched text by text; equal rows count once. Of several ite
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,12 +50,16 @@ class Words:
     def __getstate__(self):
         return {"_norm": self._norm, "_find": None}
 
-    def __call__(self, text: str | None) -> list[str]:
+    #: From this many characters on, words come one by one.
+    LONG = 1 << 20
+
+    def __call__(self, text: str | None) -> Iterable[str]:
         if not text:
             return []
         if self._find is None:
-            self._find = re.compile(r"[^\W_]+").findall
-        return self._find(self._norm.form(text).casefold())
+            self._find = re.compile(r"[^\W_]+")
+        form = self._norm.form(text).casefold()
+        return self._find.findall(form) if len(form) < self.LONG else (m[0] for m in self._find.finditer(form))
 
 
 @dataclass
@@ -95,7 +100,7 @@ def postings(docs: DataFrame, key: str, text: str, items: Items, min_run: int, o
 
     def segments(text: str | None) -> Iterator[tuple[int, list[int]]]:
         get = shipped.value.get
-        numbers = [get(w, -1) for w in words(text)]
+        numbers = array("i", [get(w, -1) for w in found] if isinstance(found := words(text), list) else (get(w, -1) for w in found))
         start, n = 0, len(numbers)
         while start < n:
             stop = start

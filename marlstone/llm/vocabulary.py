@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
+from collections.abc import Iterable, Sequence
 
 import numpy as np
 import regex
@@ -94,6 +96,8 @@ class Encoder:
     """Ids of texts. Built once by the driver and sent to the workers; its size is the vocabulary's."""
 
     MEMO = 1 << 18
+    #: From this many characters on, pre-tokens come one by one and ids are packed.
+    LONG = 1 << 20
 
     def __init__(self, ranks: dict[bytes, int]):
         missing = [b for b in range(256) if bytes([b]) not in ranks]
@@ -144,13 +148,16 @@ class Encoder:
             i = end[i]
         return out
 
-    def encode(self, text: str | None) -> list[int]:
+    def _pieces(self, text: str) -> Iterable[str]:
+        if self._split is None:
+            self._split = regex.compile(PATTERN)
+        return self._split.findall(text) if len(text) < self.LONG else (m[0] for m in self._split.finditer(text))
+
+    def encode(self, text: str | None) -> Sequence[int]:
         if not text:
             return []
-        if self._split is None:
-            self._split = regex.compile(PATTERN).findall
-        memo, out = self._memo, []
-        for piece in self._split(text):
+        memo, out = self._memo, [] if len(text) < self.LONG else array("i")
+        for piece in self._pieces(text):
             ids = memo.get(piece)
             if ids is None:
                 ids = self.word(piece.encode("utf-8", "surrogatepass"))
@@ -158,5 +165,5 @@ class Encoder:
                     if len(memo) >= self.MEMO:
                         memo.clear()
                     memo[piece] = ids
-            out += ids
+            out.extend(ids)
         return out

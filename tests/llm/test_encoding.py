@@ -37,13 +37,20 @@ def test_hash_is_perfect_and_minimal():
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=200))
 def test_equals_a_public_encoder(encoder, other, text):
-    assert encoder.encode(text) == other.encode_ordinary(text)
+    assert list(encoder.encode(text)) == other.encode_ordinary(text)
 
 
 @pytest.mark.parametrize("text", ["a" * 20000, "ab" * 5000 + "é" * 999, "<|endoftext|>", " \n\n\t x", "💻👩‍💻" * 50, "\x00\x7f", "ｆｕｌｌ", "в" * 3000])
 def test_odd_texts(encoder, other, text):
-    assert encoder.encode(text) == other.encode_ordinary(text)
-    assert other.decode(encoder.encode(text)) == text
+    assert list(encoder.encode(text)) == other.encode_ordinary(text)
+    assert other.decode(list(encoder.encode(text))) == text
+
+
+def test_long_texts_are_encoded_the_same(encoder, monkeypatch):
+    text = "Some words, 123 and é💻 " * 40
+    short = list(encoder.encode(text))
+    monkeypatch.setattr(Encoder, "LONG", 10)
+    assert list(encoder.encode(text)) == short
 
 
 def test_corpus(spark, encoder, monkeypatch):
@@ -51,7 +58,7 @@ def test_corpus(spark, encoder, monkeypatch):
     rows = [(i, t, "clash") for i, t in enumerate(["", None, "hello world", "x" * 500, "hello world", "  "])] + [(None, "y", ""), (2, "hello world", "")]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
     got = sorted((r.doc_id is None, r.doc_id or 0, list(r.ids)) for r in encoding.encode_corpus(df, "doc_id", "text").collect())
-    assert got == sorted((k is None, k or 0, encoder.encode(t)) for k, t, _ in rows)
+    assert got == sorted((k is None, k or 0, list(encoder.encode(t))) for k, t, _ in rows)
     assert encoding.encode_corpus(df.limit(0), "doc_id", "text").count() == 0
 
 

@@ -72,6 +72,13 @@ def test_runs_across_pieces(spark, monkeypatch):
     assert (got[1, 3].words, got[1, 3].doc_from) == (30, 1) and got[2, 3].words == 12
 
 
+def test_long_texts_have_the_same_words(monkeypatch):
+    text = "One, two  thréé ＦＯＵＲ five_six " * 20
+    words = list(lk.Words()(text))
+    monkeypatch.setattr(lk.Words, "LONG", 10)
+    assert list(lk.Words()(text)) == words and words[:6] == ["one", "two", "thréé", "four", "five", "six"]
+
+
 def test_empty(spark):
     assert not found(spark, [], [(1, "a b c d")]) and not found(spark, [(1, "a b c d")], []) and not found(spark, [(1, "a b c d")], [(1, "a b")])
 
