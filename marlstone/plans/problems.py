@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from marlstone.operators import column_profile as cp
 from marlstone.operators import compaction, log_sketch, rolling_state, schema_drift, snapshot_diff, valid_time
 from marlstone.operators.rolling_state import Measure
-from marlstone.session import materialise
+from marlstone.session import materialise, spread
 from marlstone.sources.price_files import price_records
 from marlstone.sources.tables import table
 
@@ -105,7 +105,7 @@ HOLDING_FIELDS = (
 
 
 def _schemas(spark: SparkSession, d: str, keep: list[str]) -> DataFrame:
-    return schema_drift.fingerprints(table(spark, d, "bronze_holdings_files"), keep, "body", "$.holdings")
+    return schema_drift.fingerprints(spread(table(spark, d, "bronze_holdings_files").select(*keep, "body")), keep, "body", "$.holdings")
 
 
 def _drift(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:

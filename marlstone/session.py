@@ -52,3 +52,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over at least one partition per core, for work that is heavy by row: a small file is one
+    split otherwise. Inputs of a cluster's size have more splits than cores and stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
