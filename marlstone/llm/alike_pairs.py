@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.llm.lookalike import Normaliser
-from marlstone.session import materialise
+from marlstone.session import materialise, spread
 
 
 def normalised(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -27,7 +27,7 @@ def normalised(df: DataFrame, key: str, text: str) -> DataFrame:
             forms = pa.array([None if t is None else norm.form(t) for t in texts.to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), texts.cast(pa.string()), forms], ["id", "text", "form"])
 
-    return df.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(run, f"id {dict(df.dtypes)[key]}, text string, form string")
+    return spread(df.select(F.col(key).alias("id"), F.col(text).alias("text"))).mapInArrow(run, f"id {dict(df.dtypes)[key]}, text string, form string")
 
 
 def _digests(df: DataFrame, key: str, text: str) -> DataFrame:

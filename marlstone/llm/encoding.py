@@ -8,8 +8,10 @@ columns come out. A batch goes back whenever its ids fill it, so long texts need
 
 from __future__ import annotations
 
+import os
 import pickle
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,16 +19,22 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 from marlstone.llm.vocabulary import Encoder, read_ranks
+from marlstone.session import spread
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Ids in one batch that goes back to the JVM.
 BATCH_IDS = 1 << 20
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str, _version: int) -> bytes:
+    return cloudpickle.dumps(Encoder(read_ranks(path)))
+
+
 def encode_corpus(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """(key, ids) for each row. The file at `vocabulary` is read by the driver only."""
     # bounded by the vocabulary; by value, so that workers need no copy of this package
-    shipped = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Encoder(read_ranks(vocabulary))))
+    shipped = df.sparkSession.sparkContext.broadcast(_encoder(vocabulary, os.stat(vocabulary).st_mtime_ns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = pickle.loads(shipped.value).encode
@@ -44,4 +52,4 @@ def encode_corpus(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULA
     if key == "ids":
         raise ValueError("ids is the name of the result")
     kind = dict(df.dtypes)[key]
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
+    return spread(df.select(key, text)).mapInArrow(run, f"`{key}` {kind}, ids array<int>")

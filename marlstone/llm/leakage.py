@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marlstone.llm.lookalike import Normaliser
-from marlstone.session import materialise
+from marlstone.session import materialise, spread
 
 LENGTH = 12
 #: Words of a segment, and ids of a batch on its way to the JVM, at most.
@@ -146,7 +146,7 @@ def postings(docs: DataFrame, key: str, text: str, items: Items, min_run: int, o
             yield flush()
 
     kind = dict(docs.dtypes)[key]
-    return docs.select(key, text).where(F.col(key).isNotNull()).mapInArrow(run, f"term int, doc {kind}, copy long, seg int, positions array<int>")
+    return spread(docs.select(key, text).where(F.col(key).isNotNull())).mapInArrow(run, f"term int, doc {kind}, copy long, seg int, positions array<int>")
 
 
 def document_frequencies(index: DataFrame) -> dict[int, int]:
