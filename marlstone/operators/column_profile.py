@@ -50,6 +50,8 @@ def _ticks(c: Check) -> Column:
 
 def profile(df: DataFrame, by: Sequence[str], checks: Sequence[Check]) -> DataFrame:
     """by..., column_name, n, nulls, v_<violation>..., lo, hi (of numbers), lo_text, hi_text (of others), s0..s3: one pass over df."""
+    if {"column_name", "scale", "n", "nulls", "_x", "bucket"} & set(by):
+        raise ValueError("a load can't be named as a column of the profile")
     names = sorted({v for c in checks for v in c.violations})
     aggs, rows = [], []
     for i, c in enumerate(checks):

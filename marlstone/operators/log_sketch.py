@@ -46,10 +46,12 @@ def midpoint(b: Column, accuracy: float) -> Column:
 
 
 def sketch(df: DataFrame, by: Sequence[str | Column], value: Column, accuracy: float) -> DataFrame:
-    """by..., bucket, n."""
-    out = df.select(*by, bucket(value.cast("double"), accuracy).alias("bucket")).where(F.col("bucket").isNotNull())
-    names = [c for c in out.columns if c != "bucket"]
-    return out.groupBy(*names, "bucket").agg(F.count(F.lit(1)).alias("n"))
+    """by..., bucket, n. The groups can't be named as the result is; other columns may have any name."""
+    out = df.select(*by, bucket(value.cast("double"), accuracy).alias("bucket"))
+    names = out.columns[:-1]
+    if {"bucket", "n"} & set(names):
+        raise ValueError("bucket and n are the names of the result")
+    return out.where("bucket is not null").groupBy(*names, "bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
 def merge(sketches: DataFrame, by: Sequence[str]) -> DataFrame:

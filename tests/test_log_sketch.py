@@ -49,3 +49,10 @@ def test_one_value_and_infinity(spark):
     df = spark.createDataFrame([("a", 5.0, 1), ("b", float("inf"), 1), ("b", float("-inf"), 1)], "g string, x double, n int")
     got = {r.g: r for r in ls.quantiles(ls.sketch(df, ["g"], F.col("x"), ACC), ["g"], {"lo": 0.0, "hi": 1.0}, ACC).collect()}
     assert abs(got["a"].lo - 5) <= 0.05 and (got["b"].lo, got["b"].hi) == (float("-inf"), float("inf"))
+
+
+def test_reserved_names(spark):
+    df = spark.createDataFrame([("a", 5.0, 1)], "bucket string, x double, n int")
+    with pytest.raises(ValueError, match="names"):
+        ls.sketch(df, ["bucket"], F.col("x"), ACC)
+    assert ls.sketch(df, [F.col("bucket").alias("g")], F.col("x"), ACC).count() == 1
