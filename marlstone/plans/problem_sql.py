@@ -184,3 +184,34 @@ select 'fact_daily_prices' as table_name, 'adjusted_close' as column_name, unive
 union all select 'fact_daily_prices', 'trade_date', universe, load_id, count(*), count(*) - count(d), count(distinct d), count(*) filter (d > p or d < date '2000-01-01'), count(*) filter (isodow(d) >= 6), null, null, null, null from x group by all
 union all select 'dim_company', 'symbol', universe, load_id, count(*), count(*) - count(symbol), count(distinct symbol), 0, count(*) filter (symbol is not null and not regexp_full_match(symbol, '[A-Z]+(-[A-Z])?')), null, null, null, null from dim_company group by all
 """
+
+_NUMBER = "try_cast(regexp_replace({}, '[,%$ ]', '', 'g') as double)"
+SQL["p3_holdings"] = f"""
+with {_ALIASES.strip()},
+ files as (select file_id, symbol, file_no, pull_date, from_json(json_extract(body, '$.holdings'), '["JSON"]') recs from bronze_holdings_files where json_valid(body)),
+ recs as (select file_id, symbol, file_no, pull_date, unnest(recs) rec, generate_subscripts(recs, 1) place from files where len(recs) > 0),
+ keys as (select file_id, place, rec, unnest(json_keys(rec)) k from recs),
+ vals as (select file_id, place, f field, json_extract(rec, '$."' || keys.k || '"') v from keys join aliases a on a.k = regexp_replace(lower(keys.k), '[^a-z0-9]', '', 'g')),
+ texts as (select file_id, place, field, case when json_type(v) = 'OBJECT' then coalesce(json_extract_string(v, '$.name'), json_extract_string(v, '$.amount')) else json_extract_string(v, '$') end t from vals),
+ wide as (select file_id, place, max(t) filter (field = 'holder_name') holder_name, {', '.join(f"{_NUMBER.format(f'max(t) filter (field = {chr(39)}{c}{chr(39)})')} {c}" for c in ('shares_held', 'shares_change', 'pct_of_portfolio', 'market_value'))},
+   max(t) filter (field = 'report_date') d from texts group by all),
+ dated as (select r.file_id, r.symbol, r.file_no, r.pull_date, w.* exclude (file_id, place, d),
+   case when d like '____-__-__' then try_cast(d as date) when d like '________' then try_strptime(d, '%Y%m%d')::date else try_strptime(d, '%m/%d/%Y')::date end report_date from recs r left join wide w using (file_id, place)),
+ per_file as (select file_id, max(report_date) fd, sum(market_value) filter (shares_held > 0) / nullif(sum(shares_held) filter (market_value is not null and shares_held > 0), 0) price from dated group by 1),
+ chain as (select file_id, lag(file_id) over (partition by symbol order by file_no) before from (select distinct file_id, symbol, file_no from dated)),
+ held as (select file_id before, holder_name, max(shares_held) h from dated where shares_held is not null group by all)
+select d.symbol, coalesce(d.holder_name, 'UNKNOWN') as holder_name, coalesce(d.shares_held, round(market_value / nullif(price, 0)), h + coalesce(shares_change, 0), h, shares_change, 0) as shares_held,
+ shares_change, pct_of_portfolio, market_value, coalesce(report_date, fd, date_trunc('quarter', pull_date)::date - 1) as report_date, pull_date, file_id
+from dated d left join per_file using (file_id) left join chain using (file_id) left join held on held.before = chain.before and held.holder_name = d.holder_name
+"""
+
+# gamma of a relative error of 0.002, as the sketch has it
+_G = repr((1 + 0.002) / (1 - 0.002))
+_MIDDLE = f"round(case when abs({{0}}) <= 1e-290 then 0.0 else sign({{0}}) * pow({_G}::double, ceil(ln(abs({{0}})) / ln({_G}::double))) * (2 / ({_G}::double + 1)) end, 9)"
+SQL["p4_percentiles"] = f"""
+with {_LAST_VALUED},
+ dated as (select universe, strftime(last_day(date_trunc('quarter', trade_date) + interval 2 month), '%Y-%m-%d') as_of_date, level, val, metric, x from cells),
+ both_scopes as (select * from dated union all select null, null, level, val, metric, x from dated),
+ ranked as (select universe, as_of_date, level grouping_level, val group_value, metric, count(*) n, list_sort(list(x)) xs from both_scopes group by all)
+select universe, as_of_date, grouping_level, group_value, metric, n, {', '.join(f"{_MIDDLE.format(f'xs[floor({q} * (n - 1))::int + 1]')} as {name}" for name, q in (('p25', 0.25), ('median', 0.5), ('p75', 0.75)))} from ranked
+"""

@@ -222,7 +222,8 @@ def p4_percentiles(spark: SparkSession, d: str) -> DataFrame:
     rest = ["grouping_level", "group_value", "metric"]
     whole = log_sketch.quantiles(log_sketch.merge(base, rest), rest, STATISTICS, FINE)
     whole = whole.withColumns({"universe": F.lit(None).cast("string"), "as_of_date": F.lit(None).cast("date")})
-    return single.unionByName(whole).withColumn("as_of_date", F.col("as_of_date").cast("string"))
+    out = single.unionByName(whole).withColumn("as_of_date", F.col("as_of_date").cast("string"))
+    return out.withColumns({name: F.round(name, 9) for name in STATISTICS})
 
 
 def p4_counts(spark: SparkSession, d: str) -> DataFrame:
