@@ -9,7 +9,12 @@ rows equals that of the rows that went in.
 The checksum is one of multisets: the number of rows and, for two independently
 seeded 64-bit row hashes, their sums, which rows in any order share and a lost,
 repeated or altered row changes (two wrong rows cancelling out in both sums
-have a chance of 2^-128). It adds up per partition before anything is shuffled.
+have a chance of 2^-128). That of the input is observed while it is written, so the input
+is evaluated once. Tasks that run again after a lost executor may be observed twice:
+only if the sums differ is the input evaluated again for a sum of its own.
+
+The target size counts shuffled bytes; columnar files come out smaller, by how well the columns
+compress. It is set in a session cloned for the write, so no other query sees it.
 
 All rows are kept, equal ones and those with nulls included. No rows give one
 empty file. Columns may have any names; maps are hashed by their sorted entries.
@@ -19,11 +24,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from marlstone.session import fresh_path
+from marlstone.sources.storage import delete, file_system, rename_into_place
 
 TARGET_BYTES = 128 << 20
 
@@ -41,63 +47,45 @@ def _row_hash(df: DataFrame, seed: int) -> Column:
     return F.xxhash64(*parts)
 
 
-def multiset_checksum(df: DataFrame) -> tuple[int, int, int]:
-    r = df.select(_row_hash(df, 17).alias("a"), _row_hash(df, 7919).alias("b")).agg(
-        F.count(F.lit(1)), *[F.coalesce(F.sum(F.col(c).cast("decimal(20,0)")), F.lit(0)) for c in "ab"]
-    ).first()
-    return int(r[0]), int(r[1]), int(r[2])
+def _sums(df: DataFrame) -> list[Column]:
+    hashes = {"a": _row_hash(df, 17), "b": _row_hash(df, 7919)}
+    return [F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(h.cast("decimal(20,0)")), F.lit(0)).alias(k) for k, h in hashes.items()]]
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+def multiset_checksum(df: DataFrame) -> tuple[int, int, int]:
+    return tuple(int(x) for x in df.agg(*_sums(df)).first())
 
 
-def rename_into_place(spark: SparkSession, staged: str, path: str) -> None:
-    """Swap a finished folder in; the old one is removed after the new one stands."""
-    fs, P = _fs(spark, path)
-    old = P(f"{path}.superseded")
-    if fs.exists(P(path)):
-        fs.rename(P(path), old)
-    fs.mkdirs(P(path).getParent())
-    if not fs.rename(P(staged), P(path)):
-        raise OSError(f"could not publish {path}")
-    if fs.exists(old):
-        fs.delete(old, True)
+def _sized(df: DataFrame, target_bytes: int) -> DataFrame:
+    """df in a clone of its session whose shuffle partitions aim at target_bytes."""
+    spark = df.sparkSession
+    clone = spark._jsparkSession.cloneSession()
+    clone.conf().set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    plan = df._jdf.queryExecution().analyzed()
+    return DataFrame(spark.sparkContext._jvm.org.apache.spark.sql.classic.Dataset.ofRows(clone, plan), SparkSession(spark.sparkContext, clone))
 
 
 def compact(df: DataFrame, path: str | None = None, by: Sequence[str] = (), sort: Sequence[str] = (), target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """Write df to few files clustered by `by` and sorted within by `sort`; returns the published table.
-
-    df is evaluated twice, once to write and once for its checksum; a source
-    that isn't the same both times therefore fails the commit.
-    """
+    """Write df to few files clustered by `by` and sorted within by `sort`; returns the published table."""
     spark = df.sparkSession
     staged = fresh_path(spark, "staged")
     path = path or fresh_path(spark, "compact")
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(target_bytes))
-    try:
-        out = df.hint("rebalance", *by)
-        if sort:
-            out = out.sortWithinPartitions(*sort)
-        out.write.parquet(staged)
-    finally:
-        spark.conf.set(key, before)
-    written = spark.read.schema(df.schema).parquet(staged)
-    was, now = multiset_checksum(df), multiset_checksum(written)
-    if was != now:
-        fs, P = _fs(spark, staged)
-        fs.delete(P(staged), True)
+    seen = Observation()
+    out = _sized(df.observe(seen, *_sums(df)), target_bytes).hint("rebalance", *by)
+    if sort:
+        out = out.sortWithinPartitions(*sort)
+    out.write.parquet(staged)
+    now = multiset_checksum(spark.read.schema(df.schema).parquet(staged))
+    was = tuple(int(seen.get[k]) for k in ("n", "a", "b"))
+    if was != now and (was := multiset_checksum(df)) != now:
+        delete(spark, staged)
         raise ChecksumMismatch(f"read {was}, wrote {now}; nothing was published")
     rename_into_place(spark, staged, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def file_sizes(spark: SparkSession, path: str) -> list[int]:
-    fs, P = _fs(spark, path)
+    fs, P = file_system(spark, path)
     files = fs.listFiles(P(path), True)
     sizes = []
     while files.hasNext():

@@ -10,11 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marlstone.operators.compaction import rename_into_place
 from marlstone.session import fresh_path
+from marlstone.sources.storage import recover, rename_into_place
 from marlstone.sources.tables import table_exists
 
 
@@ -53,6 +53,7 @@ def upsert(existing: DataFrame | None, new: DataFrame, keys: Sequence[str], orde
 def upsert_parquet(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[Column]) -> None:
     """Upsert into a Parquet folder: staged beside, then swapped in. Doing it again changes nothing."""
     spark = new.sparkSession
+    recover(spark, path)
     old = spark.read.option("mergeSchema", True).parquet(path) if table_exists(spark, path) else None
     staged = fresh_path(spark, "upsert")
     upsert(old, new, keys, order).write.parquet(staged)
@@ -65,6 +66,7 @@ def upsert_partitions(new: DataFrame, path: str, keys: Sequence[str], order: Seq
     The touched values come to the driver; partitions are years or days, so they are few.
     """
     spark = new.sparkSession
+    recover(spark, path)
     touched = [r[0] for r in new.select(partition).distinct().collect()]
     old = None
     if table_exists(spark, path):
@@ -76,6 +78,18 @@ def upsert_partitions(new: DataFrame, path: str, keys: Sequence[str], order: Seq
     return touched
 
 
+def dedup_rewrite(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[Column]) -> tuple[int, int]:
+    """Rewrite a Parquet folder with one row per key; returns the rows before and after. Doing it again changes nothing."""
+    recover(spark, path)
+    old = spark.read.option("mergeSchema", True).parquet(path)
+    seen = Observation()
+    staged = fresh_path(spark, "dedup")
+    latest_by(old.observe(seen, F.count(F.lit(1)).alias("n")), keys, order).write.parquet(staged)
+    after = spark.read.parquet(staged).count()
+    rename_into_place(spark, staged, path)
+    return int(seen.get["n"]), after
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
     """Replace the partitions present in df, leave the others. One file per
     partition and task: rows are clustered by the partition first."""

@@ -26,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marlstone.functions import whole_json
+
 RECORD = "map<string,variant>"
 CHUNK = 256
 
@@ -39,9 +41,9 @@ class Field:
     names: tuple[str, ...]
 
 
-def records(body: Column, path: str) -> Column:
-    """The objects of the array at `path`, as maps of variants; null if there is none."""
-    parsed = F.try_variant_get(F.try_parse_json(body), path, "array<variant>")
+def records(wrap: Column, body: Column, path: str) -> Column:
+    """The objects of the array at `path` of a whole document, as maps of variants; null if there is none."""
+    parsed = whole_json.member(wrap, body, path, "array<variant>")
     as_maps = F.transform(parsed, lambda r: F.try_variant_get(r, "$", RECORD))
     return F.filter(as_maps, lambda r: r.isNotNull())
 
@@ -101,7 +103,8 @@ def fingerprints(files: DataFrame, keep: Sequence[str], body: str, path: str) ->
     Filter on fields only after writing or exploding: a filter is pushed down
     and would parse every body twice.
     """
-    out = files.select(*keep, records(F.col(body), path).alias("recs")).select("*", seen_keys(F.col("recs")).alias("_seen"))
+    out = files.select(*keep, body, whole_json.wrapped(F.col(body)).alias("_doc"))
+    out = out.select(*keep, records(F.col("_doc"), F.col(body), path).alias("recs")).select("*", seen_keys(F.col("recs")).alias("_seen"))
     out = out.select(*keep, "recs", fields_of(F.col("_seen")).alias("fields"))
     return out.withColumn("fingerprint", F.xxhash64("fields"))
 

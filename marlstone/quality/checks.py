@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
@@ -10,7 +9,8 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.functions.clean import weekdays_between
+from marlstone.functions.clean import token, weekdays_between
+from marlstone.sources.storage import write_report
 
 CRITICAL, WARN, INFO = "critical", "warn", "info"
 
@@ -58,6 +58,19 @@ def coverage(name: str, wanted: DataFrame, held: DataFrame, key: str, at_least:
     return Result(f"{name}.coverage", severity, rate >= at_least, {"wanted": n, "held": met, "percent": round(rate, 4)})
 
 
+def group_coverage(name: str, snapshots: DataFrame, at: str, group: str, at_least: float, severity: str = CRITICAL) -> Result:
+    """How many rows of the latest snapshot name a group that isn't blank or a null token; with no rows the limit is missed."""
+    latest = latest_group_coverage(snapshots, at, group).first()
+    percent = latest["percent"] if latest is not None else None
+    return Result(f"{name}.{group}.coverage", severity, percent is not None and percent >= at_least, {"snapshot": str(latest[0]) if latest is not None else None, "percent": percent})
+
+
+def latest_group_coverage(snapshots: DataFrame, at: str, group: str) -> DataFrame:
+    """at, rows, named, percent of the latest snapshot: summed up per snapshot first, so only as many rows as snapshots are compared."""
+    per = snapshots.where(F.col(at).isNotNull()).groupBy(at).agg(F.count(F.lit(1)).alias("rows"), F.count(token(group)).alias("named"))
+    return per.orderBy(F.desc(at)).limit(1).withColumn("percent", F.round(F.lit(100.0) * F.col("named") / F.col("rows"), 4))
+
+
 def columns_present(name: str, df: DataFrame, needed: Sequence[str], severity: str = CRITICAL) -> Result:
     missing = sorted(set(needed) - set(df.columns))
     return Result(f"{name}.schema", severity, not missing, {"missing": missing})
@@ -80,23 +93,37 @@ def run(suite: str, checks: Mapping[str, Callable[[], Result | list[Result]]], p
     report = {"suite": suite, "seconds": round(time.time() - began, 3), "results": [asdict(r) for r in results]}
     report["failed"] = [r.name for r in results if not r.passed]
     if path:
-        with open(path, "w") as f:
-            json.dump(report, f, default=str, indent=1)
+        write_report(SparkSession.active(), report, path)
     return int(any(not r.passed and r.severity == CRITICAL for r in results)), report
 
 
+# The columns each table must have, and the limits of the checks.
+REQUIRED = {
+    "dim_company": ("symbol", "name", "sector", "industry"),
+    "fact_daily_prices": ("symbol", "trade_date", "close", "adjusted_close", "volume"),
+    "fact_fundamentals_wide": ("symbol", "fiscal_date_ending", "period_type", "total_revenue", "net_income"),
+    "fact_valuation_daily": ("symbol", "trade_date", "pe_ttm"),
+    "fact_institutional_holdings": ("symbol", "holder_name", "shares_held"),
+}
+MOST_NULLS, ACTIVE_COVERAGE, VALUED_COVERAGE, SECTOR_COVERAGE = 1.0, 80.0, 100.0, 90.0
+
+
 def suite(kind: str, t: Mapping[str, DataFrame], today: str) -> dict[str, Callable[[], Result | list[Result]]]:
     """The daily, weekly or full (both) checks over named tables."""
+    prices, dim = t["fact_daily_prices"], t["dim_company"]
     daily: dict[str, Callable[[], Result | list[Result]]] = {
-        "rows": lambda: has_rows("fact_daily_prices", t["fact_daily_prices"]),
-        "nulls": lambda: null_rate("fact_daily_prices", t["fact_daily_prices"], "adjusted_close", 2.0),
-        "fresh": lambda: freshness("fact_daily_prices", t["fact_daily_prices"], "trade_date", today),
-        "covered": lambda: coverage("prices_valued", t["fact_prices_enriched"], t["fact_valuation_daily"], "symbol", 100.0, CRITICAL),
+        "dim_rows": lambda: has_rows("dim_company", dim),
+        "price_rows": lambda: has_rows("fact_daily_prices", prices),
+        "price_key": lambda: unique("fact_daily_prices", prices, ["symbol", "trade_date"]),
+        "nulls": lambda: null_rate("fact_daily_prices", prices, "adjusted_close", MOST_NULLS),
+        "fresh": lambda: freshness("fact_daily_prices", prices, "trade_date", today),
     }
-    weekly: dict[str, Callable[[], Result | list[Result]]] = {
-        "dim": lambda: has_rows("dim_company", t["dim_company"]),
-        "key": lambda: unique("dim_company", t["dim_company"], ["symbol", "snapshot_date"]),
-        "columns": lambda: columns_present("fact_valuation_daily", t["fact_valuation_daily"], ["symbol", "trade_date", "pe_ttm"]),
+    weekly: dict[str, Callable[[], Result | list[Result]]] = {f"{n}_rows": (lambda n=n: has_rows(n, t[n], WARN)) for n in sorted(t)}
+    weekly |= {f"{n}_columns": (lambda n=n: columns_present(n, t[n], REQUIRED[n])) for n in sorted(REQUIRED) if n in t}
+    weekly |= {
+        "active": lambda: coverage("active_priced", dim.where("lower(trim(listing_status)) = 'active'"), prices, "symbol", ACTIVE_COVERAGE),
+        "valued": lambda: coverage("prices_valued", t["fact_prices_enriched"], t["fact_valuation_daily"], "symbol", VALUED_COVERAGE, CRITICAL),
+        "sectors": lambda: group_coverage("dim_company", dim, "snapshot_date", "sector", SECTOR_COVERAGE),
         "bounds": lambda: within("fact_institutional_holdings", t["fact_institutional_holdings"], "pct_of_portfolio", 0, 100),
     }
     return {"daily": daily, "weekly": weekly, "full": daily | weekly}[kind]

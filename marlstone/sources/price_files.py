@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.functions import whole_json
+
 SERIES = "Time Series (Daily)"
 # The keys of a day's record, and the columns they become.
 KEYS = {
@@ -22,16 +24,15 @@ KEYS = {
 def price_records(files: DataFrame) -> DataFrame:
     """file_id, symbol, pull_date, trade_date and the eight numbers, one row per day of a series.
 
-    A body that is null, empty, cut off, no object or without a series has no
+    A body that is null, empty, cut off, followed by anything, no object or without a series has no
     records. Values are numbers whether written as numbers or as text; what
     is neither is null. Days that aren't dates are left out.
     """
-    schema = f"struct<`{SERIES}`: map<string, struct<{', '.join(f'`{k}`: string' for k in KEYS)}>>, _corrupt: string>"
-    doc = F.from_json("body", schema, {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
-    # from_json stops after the first value; text after it, or an end that is missing, is no document
-    whole = F.rtrim("body").endswith("}") & F.col("_doc._corrupt").isNull()
-    days = files.select("file_id", "symbol", "pull_date", "body", doc.alias("_doc")).where(whole)
-    days = days.select("file_id", "symbol", "pull_date", F.explode(F.col("_doc")[SERIES]).alias("_day", "_r"))
+    ids = ["file_id", "symbol", "pull_date"]
+    docs = files.select(*ids, "body", whole_json.wrapped(F.col("body")).alias("_doc"))
+    # the test is part of the value: a filter would be pushed down and parse every body twice
+    days = docs.select(*ids, F.explode(whole_json.member(F.col("_doc"), F.col("body"), f"$['{SERIES}']", "map<string,variant>")).alias("_day", "_v"))
+    days = days.select(*ids, "_day", F.try_variant_get("_v", "$", "map<string,string>").alias("_r"))
     date = F.when(F.col("_day").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.col("_day").try_cast("date"))
-    numbers = [F.col("_r").getField(k).try_cast("double").alias(c) for k, c in KEYS.items()]
-    return days.select("file_id", "symbol", "pull_date", date.alias("trade_date"), *numbers).where("trade_date is not null")
+    numbers = [F.try_element_at("_r", F.lit(k)).try_cast("double").alias(c) for k, c in KEYS.items()]
+    return days.select(*ids, date.alias("trade_date"), *numbers).where("trade_date is not null")

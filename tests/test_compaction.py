@@ -36,7 +36,7 @@ def test_checksum_sees_loss_repeat_and_change(spark):
 
 
 def test_nothing_is_published_if_checksums_differ(spark, tmp_path, monkeypatch):
-    sums = iter([(1, 2, 3), (1, 2, 4)])
+    sums = iter([(100, 2, 3), (100, 2, 4)])  # of what was written, then, as that isn't what was observed, of the input
     monkeypatch.setattr(c, "multiset_checksum", lambda df: next(sums))
     with pytest.raises(c.ChecksumMismatch):
         c.compact(spark.range(100), str(tmp_path / "t"))
@@ -58,7 +58,32 @@ def series(**days):
 
 def test_price_records(spark):
     good = series(d2024_01_02=["1.50", 2, 1, 1.5, 1.5, "7", 0, 1], d2024_01_03=[None, "x", 1, 1, 1, 1, 0, 1])
-    bodies = [good, good[:-1], good + "]", good[:40], None, "", "{}", '{"Note": "later"}', '{"Time Series (Daily)": {}}', "[]", '{"Time Series (Daily)": null}']
+    bodies = [good, good + "}", good + good, good + "x", good + ',{"a":1}', good + "],[1", good[:-1], good + "]", good[:40], None, "", "{}", '{"Note": "later"}', '{"Time Series (Daily)": {}}', "[]", '{"Time Series (Daily)": null}']
     df = spark.createDataFrame([(i, "S", None, b, "clash") for i, b in enumerate(bodies)], "file_id int, symbol string, pull_date date, body string, open string")
     got = price_records(df).orderBy("trade_date").collect()
     assert [(r.file_id, str(r.trade_date), r.open, r.high, r.volume) for r in got] == [(0, "2024-01-02", 1.5, 2.0, 7.0), (0, "2024-01-03", None, None, 1.0)]
+
+
+def test_a_target_size_is_no_other_query_s(spark, tmp_path):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    monitor = []
+    df = spark.range(10).select("id")
+    c.compact(df, str(tmp_path / "t"), target_bytes=1 << 20)
+    monitor.append(spark.conf.get(key))
+    assert monitor == [before]
+
+
+def test_whole_documents(spark):
+    import json
+
+    import duckdb
+
+    from marlstone.functions import whole_json
+
+    bodies = ['{"a": 1}', ' {"a": 1}\n', '{"a": 1}}', '{"a": 1}{"a": 1}', '{"a": 1} x', '{"a": 1', "", " ", None, "[1]", '{"a": 1}],[1', '{"a": 1},{"a": 1}', '{"a": 1},"b"', "nul", '{"a": 01}', '{"a": "\\u00e9"}']
+    df = spark.createDataFrame([(b,) for b in bodies], "body string")
+    got = [r[0] for r in df.select("body", whole_json.wrapped(F.col("body")).alias("w")).select(whole_json.member(F.col("w"), F.col("body"), "$.a", "string")).collect()]
+    con = duckdb.connect()
+    want = [con.execute("select case when json_valid($1) then json_extract_string($1, '$.a') end", [b]).fetchone()[0] if b is not None else None for b in bodies]
+    assert got == want and json.loads(bodies[-1])["a"] == got[-1]

@@ -77,3 +77,8 @@ def test_nothing(spark):
 def test_long_body(spark):
     many = body(*[{"name": "x" * 1000, "shares": i, "on": None} for i in range(2000)])
     assert route(schemas(spark, [many])).agg(F.sum("shares")).first()[0] == 1999000
+
+
+def test_bodies_that_are_no_whole_document(spark):
+    good = body({"name": "a"})
+    assert schemas(spark, [good + "}", good + good, good + " x", good[:-1]]).count() == 0 and schemas(spark, [good + " "]).count() == 1

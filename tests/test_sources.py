@@ -3,7 +3,7 @@ import json
 import pytest
 
 from marlstone.quality import checks
-from marlstone.quality.metrics import RunMetrics
+from marlstone.quality.metrics import JobRecord
 from marlstone.sources import documents as docs
 from marlstone.sources import storage
 from marlstone.sources.tables import scan, table_exists
@@ -104,10 +104,10 @@ def test_quality(spark, tmp_path, day):
     assert checks.coverage("t", df, df, "k", 100.0).passed and not checks.columns_present("t", df, ["k", "z"]).passed
     code, report = checks.run("s", {"rows": lambda: checks.has_rows("t", df), "broken": lambda: 1 / 0}, str(tmp_path / "r.json"))
     assert code == 1 and report["failed"] == ["broken"] and json.loads((tmp_path / "r.json").read_text())["suite"] == "s"
-    with pytest.raises(ValueError, match="x"), RunMetrics("job", str(tmp_path / "m")) as m:
+    with pytest.raises(ValueError, match="x"), JobRecord(spark, "job", str(tmp_path / "m")) as m:
         m.count("calls", 2)
         raise ValueError("x")
-    row = json.loads(next((tmp_path / "m").iterdir()).read_text())
+    row = json.loads(next((tmp_path / "m").glob("*.json")).read_text())
     assert (row["status"], row["calls"]) == ("failed", 2)
 
 
@@ -126,3 +126,66 @@ def test_spreadsheet(spark, tmp_path):
         z.writestr("xl/worksheets/sheet1.xml", sheet)
         z.writestr("xl/sharedStrings.xml", shared)
     assert [tuple(r) for r in read_sheet(spark, str(tmp_path / "h.xlsx"), 4, "Ticker").collect()] == [("AA", "1.5"), ("BB", None)]
+
+
+def table(spark, path):
+    return sorted(r[0] for r in spark.read.parquet(path).collect())
+
+
+def test_publication_cut_short(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from marlstone.operators import relational as rel
+
+    path = str(tmp_path / "t")
+    rel.upsert_parquet(spark.createDataFrame([(1,), (2,)], "k int"), path, ["k"], [F.col("k")])
+    (tmp_path / "t").rename(tmp_path / "t.superseded")  # stopped between the two renames
+    rel.upsert_parquet(spark.createDataFrame([(3,)], "k int"), path, ["k"], [F.col("k")])
+    assert table(spark, path) == [1, 2, 3] and not (tmp_path / "t.superseded").exists()
+    spark.createDataFrame([(9,)], "k int").write.parquet(path + ".superseded")  # stopped before the old one was removed
+    rel.upsert_parquet(spark.createDataFrame([(4,)], "k int"), path, ["k"], [F.col("k")])
+    assert table(spark, path) == [1, 2, 3, 4] and not (tmp_path / "t.superseded").exists()
+    with pytest.raises(Exception):
+        storage.rename_into_place(spark, str(tmp_path / "nothing"), path)
+    assert table(spark, path) == [1, 2, 3, 4]
+
+
+def test_dedup_rewrite(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from marlstone.operators import relational as rel
+
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, 1), (1, 2), (2, 1), (None, 1), (None, 3)], "k int, v int").write.parquet(path)
+    assert rel.dedup_rewrite(spark, path, ["k"], [F.desc("v")]) == (5, 3)
+    assert rel.dedup_rewrite(spark, path, ["k"], [F.desc("v")]) == (3, 3)
+    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {(1, 2), (2, 1), (None, 3)}
+
+
+def test_files(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("x")
+    storage.upload(spark, str(tmp_path / "a.txt"), str(tmp_path / "b.txt"))
+    storage.download(spark, str(tmp_path / "b.txt"), str(tmp_path / "c.txt"))
+    assert (tmp_path / "c.txt").read_text() == "x" and storage.exists(spark, str(tmp_path / "b.txt"))
+    storage.delete(spark, str(tmp_path / "b.txt"))
+    assert not storage.exists(spark, str(tmp_path / "b.txt"))
+
+
+def test_group_coverage(spark, day):
+    df = spark.createDataFrame([(day("2024-01-01"), "a"), (day("2024-02-01"), "a"), (day("2024-02-01"), " None "), (None, "b")], "at date, sector string")
+    r = checks.group_coverage("t", df, "at", "sector", 60.0)
+    assert not r.passed and r.details == {"snapshot": "2024-02-01", "percent": 50.0}
+    assert checks.group_coverage("t", df, "at", "sector", 50.0).passed and not checks.group_coverage("t", df.limit(0), "at", "sector", 1.0).passed
+
+
+def test_suites(spark, day):
+    t = {
+        "dim_company": spark.createDataFrame([("A", "n", "s", "i", "Active", day("2024-01-01"))], "symbol string, name string, sector string, industry string, listing_status string, snapshot_date date"),
+        "fact_daily_prices": spark.createDataFrame([("A", day("2024-01-05"), 1.0, 1.0, 1)], "symbol string, trade_date date, close double, adjusted_close double, volume long"),
+        "fact_prices_enriched": spark.createDataFrame([("A",)], "symbol string"),
+        "fact_valuation_daily": spark.createDataFrame([("A", day("2024-01-05"), 1.0)], "symbol string, trade_date date, pe_ttm double"),
+        "fact_institutional_holdings": spark.createDataFrame([("A", "h", 1.0, 120.0)], "symbol string, holder_name string, shares_held double, pct_of_portfolio double"),
+    }
+    assert checks.run("daily", checks.suite("daily", t, "2024-01-08"))[0] == 0
+    code, report = checks.run("full", checks.suite("full", t, "2024-01-08"))
+    assert code == 1 and report["failed"] == ["fact_institutional_holdings.pct_of_portfolio.bounds"]
