@@ -1,11 +1,11 @@
-"""The text problems' queries: p8_, p9_, p10_, over whole tables and whole texts."""
+"""The queries of the problems tagged llm: p4_, p8_, p9_, p10_, over whole tables and whole texts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import alike_pairs, encoding, leakage
+from marlstone.llm import alike_pairs, encoding, leakage, percentiles
 from marlstone.sources.tables import table
 
 
@@ -31,6 +31,6 @@ def p10_classes(spark: SparkSession, d: str) -> DataFrame:
     return alike_pairs.classes(table(spark, d, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p9_found, p9_evidence, p10_found, p10_classes)}
+QUERIES = percentiles.QUERIES | {f.__name__: f for f in (p8_ids, p9_found, p9_evidence, p10_found, p10_classes)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(percentiles.SQL)

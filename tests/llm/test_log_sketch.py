@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marlstone.operators import log_sketch as ls
+from marlstone.llm import log_sketch as ls
 
 ACC = 0.01
 
@@ -56,3 +56,20 @@ def test_reserved_names(spark):
     with pytest.raises(ValueError, match="names"):
         ls.sketch(df, ["bucket"], F.col("x"), ACC)
     assert ls.sketch(df, [F.col("bucket").alias("g")], F.col("x"), ACC).count() == 1
+
+
+@pytest.mark.parametrize("acc", [1e-6, 1e-4, 0.5])
+def test_finest_and_coarsest(spark, acc):
+    xs = [-1e308, -1.0, -1e-250, -5e-324, 0.0, 5e-324, 1e-250, 1e-6, 1.0, 1.7e308]
+    df = spark.createDataFrame([(x,) for x in xs], "x double").select("x", ls.bucket(F.col("x"), acc).alias("b")).select("x", "b", ls.midpoint(F.col("b"), acc).alias("m")).orderBy("x")
+    got = df.collect()
+    assert [r.b for r in got] == sorted({r.b for r in got})
+    for r in got:
+        if abs(r.x) > 2.3e-308:
+            assert abs(r.m - r.x) <= acc * abs(r.x) * (1 + 1e-3) + abs(r.x) * 1e-9
+
+
+@pytest.mark.parametrize("acc", [1e-7, 0.0, -1.0, 0.6])
+def test_accuracy_out_of_range(acc):
+    with pytest.raises(ValueError, match="accuracy"):
+        ls.bucket(F.lit(1.0), acc)
