@@ -1,4 +1,4 @@
-"""DuckDB SQL that answers the p1_ to p7_ queries by plainer means."""
+"""DuckDB SQL that answers the p1_ to p3_ and p5_ to p7_ queries by plainer means."""
 
 from __future__ import annotations
 
@@ -35,18 +35,6 @@ union all select file_id, field, 'renamed', k, pk, t, pt from both_sides where p
 union all select file_id, field, 'retyped', k, pk, t, pt from both_sides where pt <> t
 """
 
-_LAST_VALUED = """
- once as (select universe, symbol, trade_date, sector, industry, pe_ttm, ps_ttm, pb from fact_valuation_daily
-   where symbol is not null and trade_date is not null
-   qualify row_number() over (partition by universe, symbol, trade_date order by gold_built_utc desc) = 1),
- cells as (
-   select universe, trade_date, level, val, metric, x from (
-     select universe, trade_date, unnest(['sector', 'industry']) level, unnest([sector, industry]) val, pe_ttm, ps_ttm, pb from once)
-     unpivot (x for metric in (pe_ttm, ps_ttm, pb))
-   where val is not null and not isnan(x))
-"""
-
-
 def _known(extra: str) -> str:
     return f"""
  rows as (select distinct symbol, trade_date{extra} from fact_valuation_daily),
@@ -113,21 +101,6 @@ from fact_valuation_daily r left join s using (symbol, trade_date) left join f u
  turns as (select *, (fp is distinct from lag(fp) over (partition by symbol order by file_no))::int turn from marks),
  vers as (select file_id, (sum(turn) over (partition by symbol order by file_no))::bigint as schema_version from turns)
 select * from ({_CHANGES}) join vers using (file_id)""",
-    "p4_found": f"""
-with {_LAST_VALUED},
- stats as (select universe, as_of_date, grouping_level, group_value, metric, unnest([0.25, 0.5, 0.75]) q, unnest([p25, median, p75]) v from fact_sector_aggregates),
- counts as (select s.universe, s.as_of_date, s.grouping_level, s.group_value, s.metric, q, v, count(*) n,
-    count(*) filter (x < v) lt, count(*) filter (x <= v) le
-  from stats s join cells c on c.universe = s.universe and c.level = s.grouping_level and c.val = s.group_value and c.metric = s.metric
-   and date_trunc('quarter', c.trade_date) = date_trunc('quarter', s.as_of_date)
-  where v is not null and not isnan(v) group by all)
-select distinct universe, strftime(as_of_date, '%Y-%m-%d') as as_of_date, grouping_level, group_value, metric from counts
-where lt / n > q + 1.0 / n + 0.02 or le / n < q - 1.0 / n - 0.02
-""",
-    "p4_counts": f"""
-with {_LAST_VALUED}
-select level as grouping_level, val as group_value, metric, count(*) as n, count(*) filter (x < 0) as negative from cells group by all
-""",
     "p5_found": """
 with docs as (select file_id, symbol, pull_date, json_extract(body, '$."Time Series (Daily)"') s from bronze_price_files where json_valid(body)),
  days as (select file_id, symbol, pull_date, s, unnest(json_keys(s)) k from docs where json_type(s) = 'OBJECT'),
@@ -177,12 +150,13 @@ SQL["p7_found"] = "select * from (" + SQL["p7_found"].replace(" qualify finding
 SQL["p7_profile"] = """
 with x as (select universe, load_id, adjusted_close a, trade_date d, pull_date p,
    case when not isnan(adjusted_close) and adjusted_close > 0 and adjusted_close < 100000 then adjusted_close end g from fact_daily_prices),
- price as (select universe, load_id, count(*) n, count(*) - count(a) nulls, count(distinct a) n_distinct, count(*) filter (a is not null and g is null) v_range, 0 v_pattern, median(g) median,
+ price as (select universe, load_id, count(*) n, count(*) - count(a) nulls, count(distinct a) n_distinct, count(*) filter (a is not null and g is null) v_range, 0 v_pattern, median(g) median, min(g) lo, max(g) hi,
    sum(round(g * 10000)) / nullif(count(g), 0) / 10000 mean, stddev_pop(round(g * 10000)) / 10000 sd from x group by all),
- q as (select a.*, (a.mean - b.mean) / nullif(sqrt((a.sd * a.sd + b.sd * b.sd) / 2), 0) shift from price a left join price b on b.universe = a.universe and b.load_id = a.load_id - 1)
-select 'fact_daily_prices' as table_name, 'adjusted_close' as column_name, universe, load_id, n, nulls, n_distinct, v_range, v_pattern::bigint as v_pattern, median, round(mean, 8) as mean, round(sd, 8) as sd, round(shift, 6) as shift from q
-union all select 'fact_daily_prices', 'trade_date', universe, load_id, count(*), count(*) - count(d), count(distinct d), count(*) filter (d > p or d < date '2000-01-01'), count(*) filter (isodow(d) >= 6), null, null, null, null from x group by all
-union all select 'dim_company', 'symbol', universe, load_id, count(*), count(*) - count(symbol), count(distinct symbol), 0, count(*) filter (symbol is not null and not regexp_full_match(symbol, '[A-Z]+(-[A-Z])?')), null, null, null, null from dim_company group by all
+ third as (select p.universe, p.load_id, avg(pow((round(x.g * 10000) / 10000 - p.mean) / nullif(p.sd, 0), 3)) skew from price p join x on x.universe = p.universe and x.load_id = p.load_id group by all),
+ q as (select a.*, t.skew, (a.mean - b.mean) / nullif(sqrt((a.sd * a.sd + b.sd * b.sd) / 2), 0) shift from price a left join price b on b.universe = a.universe and b.load_id = a.load_id - 1 left join third t on t.universe = a.universe and t.load_id = a.load_id)
+select 'fact_daily_prices' as table_name, 'adjusted_close' as column_name, universe, load_id, n, nulls, n_distinct, v_range, v_pattern::bigint as v_pattern, median, null as lo_text, null as hi_text, lo, hi, 0::bigint as big, round(mean, 8) as mean, round(sd, 8) as sd, round(skew, 4) as skew, round(shift, 6) as shift from q
+union all select 'fact_daily_prices', 'trade_date', universe, load_id, count(*), count(*) - count(d), count(distinct d), count(*) filter (d > p or d < date '2000-01-01'), count(*) filter (isodow(d) >= 6), null, min(d)::varchar, max(d)::varchar, null, null, 0, null, null, null, null from x group by all
+union all select 'dim_company', 'symbol', universe, load_id, count(*), count(*) - count(symbol), count(distinct symbol), 0, count(*) filter (symbol is not null and not regexp_full_match(symbol, '[A-Z]+(-[A-Z])?')), null, min(symbol), max(symbol), null, null, 0, null, null, null, null from dim_company group by all
 """
 
 _NUMBER = "try_cast(regexp_replace({}, '[,%$ ]', '', 'g') as double)"
@@ -204,14 +178,3 @@ select d.symbol, coalesce(d.holder_name, 'UNKNOWN') as holder_name, coalesce(d.s
  shares_change, pct_of_portfolio, market_value, coalesce(report_date, fd, date_trunc('quarter', pull_date)::date - 1) as report_date, pull_date, file_id
 from dated d left join per_file using (file_id) left join chain using (file_id) left join held on held.before = chain.before and held.holder_name = d.holder_name
 """
-
-# gamma of a relative error of 0.002, as the sketch has it
-_G = repr((1 + 0.002) / (1 - 0.002))
-_MIDDLE = f"round(case when abs({{0}}) <= 1e-290 then 0.0 else sign({{0}}) * pow({_G}::double, ceil(ln(abs({{0}})) / ln({_G}::double))) * (2 / ({_G}::double + 1)) end, 9)"
-SQL["p4_percentiles"] = f"""
-with {_LAST_VALUED},
- dated as (select universe, strftime(last_day(date_trunc('quarter', trade_date) + interval 2 month), '%Y-%m-%d') as_of_date, level, val, metric, x from cells),
- both_scopes as (select * from dated union all select null, null, level, val, metric, x from dated),
- ranked as (select universe, as_of_date, level grouping_level, val group_value, metric, count(*) n, list_sort(list(x)) xs from both_scopes group by all)
-select universe, as_of_date, grouping_level, group_value, metric, n, {', '.join(f"{_MIDDLE.format(f'xs[floor({q} * (n - 1))::int + 1]')} as {name}" for name, q in (('p25', 0.25), ('median', 0.5), ('p75', 0.75)))} from ranked
-"""

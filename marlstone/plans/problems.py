@@ -1,16 +1,14 @@
-"""The training-data problems that aren't about text: queries p1_ to p7_ over whole tables."""
+"""The training-data problems that aren't about text: queries p1_ to p3_ and p5_ to p7_ over whole tables."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.operators import column_profile as cp
-from marlstone.operators import compaction, log_sketch, rolling_state, schema_drift, snapshot_diff, valid_time
+from marlstone.operators import compaction, rolling_state, schema_drift, snapshot_diff, valid_time
 from marlstone.operators.rolling_state import Measure
-from marlstone.session import materialise, spread
+from marlstone.session import materialise, sized, spread
 from marlstone.sources.price_files import price_records
 from marlstone.sources.tables import table
 
@@ -153,86 +151,6 @@ def p3_holdings(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumns({"shares_held": shares, "report_date": F.coalesce("report_date", "_date", quarter_end), "holder_name": F.coalesce("holder_name", F.lit("UNKNOWN"))}).select("symbol", *names, "pull_date", "file_id")
 
 
-# 4 ------------------------------------------------------------------------------------------------
-
-METRICS = ("pe_ttm", "ps_ttm", "pb")
-LEVELS = ("sector", "industry")
-STATISTICS = {"p25": 0.25, "median": 0.5, "p75": 0.75}
-FINE = 0.002
-
-
-def _valued_once(spark: SparkSession, d: str) -> DataFrame:
-    """Each (universe, symbol, trade_date) once, its latest built row."""
-    rows = table(spark, d, "fact_valuation_daily").where("symbol is not null and trade_date is not null")
-    best = F.max(F.struct("gold_built_utc", *METRICS, *LEVELS))
-    out = rows.groupBy("universe", "symbol", "trade_date").agg(best.alias("b"))
-    quarter = F.last_day(F.add_months(F.trunc("trade_date", "quarter"), 2))
-    return out.select("universe", quarter.alias("as_of_date"), *[F.col(f"b.{c}").alias(c) for c in (*METRICS, *LEVELS)])
-
-
-def _by_level(rows: DataFrame) -> DataFrame:
-    """universe, as_of_date, grouping_level, group_value, metric, x: six rows per input row."""
-    cells = F.array(*[F.struct(F.lit(g).alias("grouping_level"), F.col(g).alias("group_value"), F.lit(m).alias("metric"), F.col(m).alias("x")) for g in LEVELS for m in METRICS])
-    return rows.select("universe", "as_of_date", F.inline(cells)).where("group_value is not null and x is not null and not isnan(x)")
-
-
-GROUP = ["universe", "as_of_date", "grouping_level", "group_value", "metric"]
-
-
-def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    """Sketches tell for nearly all published statistics whether they are wrong: the counts below and
-    through the bucket of v bound the shares of values < v and <= v. Only where the
-    bounds leave it open are the values of that one bucket compared with v."""
-    rows = materialise(_valued_once(spark, d), "valued")
-    values = _by_level(rows).select(F.xxhash64(*GROUP).alias("g"), "x")  # groups travel as 64-bit hashes of their names
-    published = table(spark, d, "fact_sector_aggregates").select(
-        F.struct(*GROUP).alias("names"), F.xxhash64(*GROUP).alias("g"), F.inline(F.array(*[F.struct(F.lit(q).alias("q"), F.col(s).cast("double").alias("v")) for s, q in STATISTICS.items()]))
-    ).where("v is not null and not isnan(v)").distinct()
-    published = published.withColumn("bucket", log_sketch.bucket(F.col("v"), FINE))
-    sketch = log_sketch.sketch(values, ["g"], F.col("x"), FINE)
-    # published values go in as rows of their own bucket that count nothing
-    marks = sketch.unionByName(published.withColumn("n", F.lit(0).cast("long")), allowMissingColumns=True)
-    ranked = log_sketch.ranked(marks, ["g"]).where("v is not null and total > 0")
-    slack = F.lit(1.0) / F.col("total") + 0.02
-    high = lambda below: F.col(below) / F.col("total") > F.col("q") + slack
-    low = lambda upto: F.col(upto) / F.col("total") < F.col("q") - slack
-    judged = ranked.withColumn("wrong", high("below") | low("upto")).withColumn("open", ~F.col("wrong") & (high("upto") | low("below")))
-    judged = materialise(judged, "judged")
-    asked = judged.where("open").select("names", "g", "bucket", "q", "v", "below", "total")
-    near = values.withColumn("bucket", log_sketch.bucket(F.col("x"), FINE)).join(_sized(asked.select("g", "bucket").distinct()), ["g", "bucket"], "left_semi")
-    counted = near.join(asked, ["g", "bucket"]).groupBy("names", "q", "v").agg(
-        F.first("total").alias("total"),
-        (F.first("below") + F.count_if(F.col("x") < F.col("v"))).alias("lt"),
-        (F.first("below") + F.count_if(F.col("x") <= F.col("v"))).alias("le"),
-    )
-    # a bucket without values leaves nothing open: its bounds are equal
-    settled = counted.where(high("lt") | low("le"))
-    return judged.where("wrong").select("names.*").unionByName(settled.select("names.*")).distinct().withColumn("as_of_date", F.col("as_of_date").cast("string"))
-
-
-def _sized(df: DataFrame, rows: int = 200_000) -> DataFrame:
-    """df with a broadcast hint if a count shows it to be small; else as it is, for a shuffled join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
-def p4_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    """p25, median and p75 within 0.2 % per sector and industry: of each quarter and universe, and of all."""
-    base = materialise(log_sketch.sketch(_by_level(_valued_once(spark, d)), GROUP, F.col("x"), FINE), "sketches")
-    single = log_sketch.quantiles(base, GROUP, STATISTICS, FINE)
-    rest = ["grouping_level", "group_value", "metric"]
-    whole = log_sketch.quantiles(log_sketch.merge(base, rest), rest, STATISTICS, FINE)
-    whole = whole.withColumns({"universe": F.lit(None).cast("string"), "as_of_date": F.lit(None).cast("date")})
-    out = single.unionByName(whole).withColumn("as_of_date", F.col("as_of_date").cast("string"))
-    return out.withColumns({name: F.round(name, 9) for name in STATISTICS})
-
-
-def p4_counts(spark: SparkSession, d: str) -> DataFrame:
-    """What the sketches count, exactly comparable: values per group, from merged bucket counts."""
-    base = log_sketch.sketch(_by_level(_valued_once(spark, d)), GROUP, F.col("x"), 0.01)
-    total = log_sketch.merge(base, ["grouping_level", "group_value", "metric"])
-    return total.groupBy("grouping_level", "group_value", "metric").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("bucket") < 0, F.col("n")).otherwise(0)).alias("negative"))
-
-
 # 5 ------------------------------------------------------------------------------------------------
 
 
@@ -275,57 +193,59 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 SYMBOL_SHAPE = "^[A-Z]+(-[A-Z])?$"
 
 
-def _price_checks() -> list[cp.Check]:
+def _in_range() -> Column:
+    x = F.col("adjusted_close")
+    return F.when(~F.isnan(x) & (x > 0) & (x < 100000), x)
+
+
+def _price_checks(distinct: bool) -> list[cp.Check]:
     x, t = F.col("adjusted_close"), F.col("trade_date")
-    outside = x.isNotNull() & (F.isnan(x) | (x <= 0) | (x >= 100000))
     return [
-        cp.Check("adjusted_close", x, number=F.when(~outside, x), violations={"range": outside}),
+        cp.Check("adjusted_close", x, number=_in_range(), violations={"range": x.isNotNull() & _in_range().isNull()}, distinct=distinct),
         cp.Check("trade_date", t, violations={"range": (t > F.col("pull_date")) | (t < F.lit("2000-01-01").cast("date")), "pattern": F.weekday(t) >= 5}),
     ]
 
 
 def _symbol_checks() -> list[cp.Check]:
     s = F.col("symbol")
-    # \z-like: a final line end must not slip past the anchor
+    # \\z-like: a final line end must not slip past the anchor
     return [cp.Check("symbol", s, violations={"pattern": s.isNotNull() & ~(s.rlike(SYMBOL_SHAPE) & ~s.contains("\n"))})]
 
 
-def _profiles(spark: SparkSession, d: str, all_distinct: bool = False) -> DataFrame:
-    by = ["universe", "load_id"]
-    prices, companies = table(spark, d, "fact_daily_prices"), table(spark, d, "dim_company")
-    x = F.col("adjusted_close")
-    inside = F.when(~F.isnan(x) & (x > 0) & (x < 100000), x)
-    p = cp.profile(prices, by, _price_checks())
-    c = cp.profile(companies, by, _symbol_checks()).withColumn("v_range", F.lit(0).cast("long"))
-    mid = cp.medians(prices, by, inside).withColumn("column_name", F.lit("adjusted_close"))
-    days = cp.distinct_counts(prices, by, "trade_date", F.col("trade_date"))
-    if all_distinct:
-        days = days.unionByName(cp.distinct_counts(prices, by, "adjusted_close", x))
-    keys = [*by, "column_name"]
-    price = p.join(_null_safe(mid), _on(p, "_m_", keys), "left").drop(*[f"_m_{k}" for k in keys])
-    price = price.join(_null_safe(days), _on(price, "_m_", keys), "left").drop(*[f"_m_{k}" for k in keys])
-    symbols = cp.distinct_counts(companies, by, "symbol", F.col("symbol"))
-    company = c.join(_null_safe(symbols), _on(c, "_m_", keys), "left").drop(*[f"_m_{k}" for k in keys]).withColumn("median", F.lit(None).cast("double"))
-    return price.withColumn("table_name", F.lit("fact_daily_prices")).unionByName(company.withColumn("table_name", F.lit("dim_company")))
-
+LOAD = ["universe", "load_id"]
+TABLE_LOAD = ["table_name", *LOAD]
 
-def _null_safe(df: DataFrame) -> DataFrame:
-    return df.withColumnsRenamed({k: f"_m_{k}" for k in ("universe", "load_id", "column_name")})
 
-
-def _on(df: DataFrame, prefix: str, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [df[k].eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+def _cells(spark: SparkSession, d: str, all_distinct: bool) -> DataFrame:
+    """The cells of both tables, each read once."""
+    names = ["v_range", "v_pattern"]
+    price = cp.cells(table(spark, d, "fact_daily_prices"), LOAD, _price_checks(all_distinct), names)
+    company = cp.cells(table(spark, d, "dim_company"), LOAD, _symbol_checks(), names)
+    both = price.withColumn("table_name", F.lit("fact_daily_prices")).unionByName(company.withColumn("table_name", F.lit("dim_company")))
+    return materialise(both, "cells")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    rows = cp.against_previous(materialise(_profiles(spark, d), "profiles"), "load_id", ["universe", "table_name", "column_name"], ["median", "n_distinct"])
-    def moved(c: str, up: float, down: float) -> Column:
-        return (F.col(c) > F.col(f"prev_{c}") * up) | (F.col(c) < F.col(f"prev_{c}") * down)
-    shift = (
-        F.when(F.col("column_name") == "adjusted_close", moved("median", 4.0, 0.25))
-        .when(F.col("column_name") == "trade_date", moved("n_distinct", 2.0, 0.5))
-        .otherwise((F.col("n_distinct") * 2 > F.col("prev_n_distinct") * 3) | (F.col("n_distinct") * 3 < F.col("prev_n_distinct") * 2))
-    )
+    """A median that may have moved by the power sums is bounded by its bucket; the table is read again, for the
+    values of one bucket of the loads concerned, only if that leaves a load open."""
+    parts = _cells(spark, d, all_distinct=False)
+    keys = ["universe", "table_name", "column_name"]
+    rows = cp.against_previous(cp.moments(cp.profile(parts, TABLE_LOAD)), "load_id", keys, ["mean", "sd", "med_lo", "med_hi", "n_distinct"])
+    surely, unsure = cp.median_moved(4.0, 0.25)
+    may = cp.may_differ(4.0, 0.25) & (F.col("column_name") == "adjusted_close")
+    rows = materialise(rows.withColumns({"moved": may & surely, "open": may & unsure}), "profiles")
+    unsettled = rows.where("open").select(*LOAD)
+    if not unsettled.isEmpty():
+        asked = unsettled.unionByName(unsettled.withColumn("load_id", F.col("load_id") - 1)).distinct()
+        wanted = cp.middle(parts.where("column_name = 'adjusted_close'"), LOAD).join(asked, LOAD, "left_semi")
+        values = cp.number_values(table(spark, d, "fact_daily_prices"), LOAD, _in_range())
+        exact = cp.settle(values, sized(materialise(wanted, "middle-buckets")), LOAD)
+        exact = cp.against_previous(exact, "load_id", ["universe"], ["median"]).where("median > prev_median * 4 or median < prev_median / 4")
+        exact = exact.select(*LOAD, F.lit("adjusted_close").alias("column_name"), F.lit(True).alias("_exact"))
+        rows = rows.join(exact, [*LOAD, "column_name"], "left").withColumn("moved", F.col("moved") | (F.col("open") & F.coalesce("_exact", F.lit(False))))
+    days = (F.col("n_distinct") > F.col("prev_n_distinct") * 2) | (F.col("n_distinct") * 2 < F.col("prev_n_distinct"))
+    names = (F.col("n_distinct") * 2 > F.col("prev_n_distinct") * 3) | (F.col("n_distinct") * 3 < F.col("prev_n_distinct") * 2)
+    shift = F.when(F.col("column_name") == "adjusted_close", F.col("moved")).when(F.col("column_name") == "trade_date", days).otherwise(names)
     findings = F.array_compact(
         F.array(
             F.when(F.col("nulls") * 10 > F.col("n"), "null_rate"),
@@ -339,12 +259,15 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p7_profile(spark: SparkSession, d: str) -> DataFrame:
     """The whole profile of each load and column, with the standardised difference from the load before."""
-    rows = cp.moments(materialise(_profiles(spark, d, all_distinct=True), "profiles"))
-    rows = cp.against_previous(rows, "load_id", ["universe", "table_name", "column_name"], ["mean", "sd"])
+    parts = _cells(spark, d, all_distinct=True)
+    numbers = parts.where("column_name = 'adjusted_close'")
+    medians = cp.settle(cp.cell_values(numbers, LOAD), cp.middle(numbers, LOAD), LOAD).withColumn("column_name", F.lit("adjusted_close"))
+    rows = cp.against_previous(cp.moments(cp.profile(parts, TABLE_LOAD)), "load_id", ["universe", "table_name", "column_name"], ["mean", "sd"])
+    rows = rows.join(medians, [*LOAD, "column_name"], "left")
     return rows.select(
-        "table_name", "column_name", "universe", "load_id", "n", "nulls", "n_distinct", "v_range", "v_pattern", "median",
-        F.round("mean", 8).alias("mean"), F.round("sd", 8).alias("sd"), F.round(cp.standardised_difference(), 6).alias("shift"),
+        "table_name", "column_name", "universe", "load_id", "n", "nulls", "n_distinct", "lo_text", "hi_text", "lo", "hi", "v_range", "v_pattern", "median", "big",
+        F.round("mean", 8).alias("mean"), F.round("sd", 8).alias("sd"), F.round("skew", 4).alias("skew"), F.round(cp.standardised_difference(), 6).alias("shift"),
     )
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_rolling_totals, p2_found, p2_known_at_event, p3_found, p3_change_report, p3_holdings, p4_found, p4_percentiles, p4_counts, p5_found, p5_daily_prices, p6_found, p7_found, p7_profile)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_rolling_totals, p2_found, p2_known_at_event, p3_found, p3_change_report, p3_holdings, p5_found, p5_daily_prices, p6_found, p7_found, p7_profile)}

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(app: str = "marlstone", cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -59,3 +60,9 @@ def spread(df: DataFrame) -> DataFrame:
     split otherwise. Inputs of a cluster's size have more splits than cores and stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def sized(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """df with a broadcast hint if a count shows it to be small; else as it is, for a shuffled join. For written frames,
+    which a count doesn't compute again."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
