@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,11 +31,14 @@ def _revenue(parts: tuple[str, ...]) -> list[Measure]:
 def _states(spark: SparkSession, d: str, activity: list[Measure]) -> tuple[DataFrame, DataFrame]:
     """Rows pulled later than usual after their date come in as corrections of the state."""
     order = [F.col("pull_date"), F.col("gold_built_utc")]
+    def state(rows: DataFrame, day: str, measures: list[Measure], usual: int) -> DataFrame:
+        return rolling_state.maintain(rows, "symbol", day, measures, order, F.col("pull_date"), F.datediff("pull_date", day) > usual)
     prices = table(spark, d, "fact_prices_enriched")
-    daily = rolling_state.maintain(prices, "symbol", "trade_date", activity, order, F.col("pull_date"), F.datediff("pull_date", "trade_date") > 7)
     quarters = table(spark, d, "fact_fundamentals_wide").where("period_type = 'quarterly'")
-    revenue = rolling_state.maintain(quarters, "symbol", "fiscal_date_ending", _revenue(activity[0].parts), order, F.col("pull_date"), F.datediff("pull_date", "fiscal_date_ending") > 75)
-    return daily, revenue
+    with ThreadPoolExecutor(2) as pool:  # two independent states: the jobs of one fill the gaps of the other
+        daily = pool.submit(state, prices, "trade_date", activity, 7)
+        revenue = pool.submit(state, quarters, "fiscal_date_ending", _revenue(activity[0].parts), 75)
+        return daily.result(), revenue.result()
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -46,9 +51,9 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_rolling_totals(spark: SparkSession, d: str) -> DataFrame:
-    daily, revenue = _states(spark, d, _activity((7, 30), (7, 30), ("sum", "n", "use")))
+    daily, revenue = _states(spark, d, _activity((7, 30), (7, 30), ("sum", "n", "use", "over")))
     def rows(name: str, w: int) -> Column:
-        total, n = F.col(f"sum_{name}_{w}").cast("double"), F.col(f"n_{name}_{w}")
+        total, n = F.when(F.col(f"over_{name}_{w}") == 0, F.col(f"sum_{name}_{w}").cast("double")), F.col(f"n_{name}_{w}")
         return F.struct(F.lit(name).alias("measure"), F.lit(w).alias("days"), total.alias("total"), n.alias("n"), F.try_divide(total, n).alias("average"))
     def long(state: DataFrame, pairs: list[tuple[str, int]]) -> DataFrame:
         return state.where("live").select(F.col("entity").alias("symbol"), F.col("day").cast("string").alias("day"), F.inline(F.array(*[rows(m, w) for m, w in pairs])))

@@ -48,7 +48,7 @@ def expected(data):
                 inside = [d - dt.timedelta(days=k) for k in range(w)]
                 vals = [best[s, e][1 + i] for e in inside if (s, e) in best]
                 vals = [y for y in vals if y is not None]
-                row += [Decimal(sum(vals)), len(vals), sum(use[s, e][i] for e in inside if (s, e) in use)]
+                row += [Decimal(sum(vals)), len(vals), sum(use[s, e][i] for e in inside if (s, e) in use), 0]
             out[s, d] = tuple(row)
             d += dt.timedelta(days=1)
     return out
@@ -93,13 +93,43 @@ def test_advance_is_one_step_of_build(spark):
     want = {k: v for k, v in expected(data).items()}
     for i in (1, 8, 30):
         d = D + dt.timedelta(days=i)
-        step = got(rs.advance(state, b, d.isoformat(), measures()))
+        step = got(rs.advance(state, b, F.lit(d), measures()))
         for (s, e), v in want.items():
-            if e == d:
+            if e == d and (s, d) in step:
                 assert step[s, d] == v
+        assert {s for s, e in want if e == d} >= {s for s, _ in step} >= {r[0] for r in data if r[1] == d}
 
 
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert rs.build(book(df), measures()).count() == 0
     assert rs.maintain(df, "sym", "d", measures(), [F.col("pulled")], F.col("pulled"), F.lit(None).cast("boolean")).count() == 0
+
+
+def test_corrections_of_spans(spark):
+    """Entities that begin earlier, end later (beyond the expiry of what was there), come or go."""
+    day = lambda i: D + dt.timedelta(days=i)
+    def rows_of(pairs):
+        return [(e, day(i), 5, 1.0, day(60), "", "") for e, i in pairs]
+    old = rows_of([("A", 10), ("A", 12), ("B", 3), ("C", 5), ("C", 6), ("F", 1)])
+    new = rows_of([("A", 4), ("A", 12), ("A", 40), ("B", 3), ("C", 6), ("N", 9)])
+    before, after = (book(spark.createDataFrame(x, SCHEMA)) for x in (old, new))
+    assert got(rs.correct(rs.build(before, measures()), before, after, measures())) == expected(new)
+
+
+def test_large_amounts(spark):
+    big = [Measure("x", F.col("x"), (3,))]
+    data = [("A", D + dt.timedelta(days=i), 1, x, D, "", "") for i, x in enumerate([5e22, 1.0, 1e30, 2.0, 3.0, 4.0, None])]
+    b = rs.ledger(spark.createDataFrame(data, SCHEMA), "sym", "d", big, [F.col("pulled")], F.col("pulled"))
+    got = {r.day.day: (float(r.sum_x_3), r.n_x_3, r.over_x_3) for r in rs.build(b, big).where("live").collect()}
+    assert got[1] == (5e22, 1, 0) and got[2] == (5e22 + 1, 2, 0) and got[3][1:] == (2, 1) and got[6] == (9.0, 3, 0) and got[7] == (7.0, 2, 0)
+
+
+def test_unreached_rows_pass_without_a_shuffle(spark):
+    late = F.datediff("pulled", "d") > 10
+    out = rs.maintain(spark.createDataFrame(rows(), SCHEMA), "sym", "d", measures(), [F.col("pulled")], F.col("pulled"), late)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "PartitionFilters" in line and "NOT stale" in line)
+    depth = scan.index("FileScan")
+    above = [line for line in plan[: plan.index(scan)].splitlines() if "Exchange" in line and len(line) - len(line.lstrip(" :+-")) < depth]
+    assert not above
