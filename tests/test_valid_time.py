@@ -66,3 +66,25 @@ def test_half_open_and_precedence(spark):
     vers = [("A", day(0), day(5), 1, ""), ("A", day(3), day(8), 2, ""), ("A", day(1), day(20), 3, "")]
     out = {x.t: x.known and x.known.v for x in run(spark, [("A", day(i), 0, "") for i in (4, 5, 7, 8, 20, 30)], vers).collect()}
     assert out == {day(4): None, day(5): 1, day(7): 1, day(8): 2, day(20): 2, day(30): 2}
+
+
+def test_values_of_later_the_same_day_are_not_known(spark):
+    at = lambda i, h: dt.datetime(2024, 1, 1 + i, h)
+    iv = vt.first_known(spark.createDataFrame([("A", at(1, 15), 1), ("A", at(1, 8), 0)], "e string, k timestamp, v int"), "e", F.col("k"), [F.col("k")], [F.col("v")])
+    for kind, times in (("timestamp", [at(1, 7), at(1, 9), at(1, 15), at(2, 0)]), ("timestamp_ntz", [at(1, 7), at(1, 9), at(1, 15), at(2, 0)]), ("date", [day(1), day(1), day(2), day(2)])):
+        ev = spark.createDataFrame([("A", t, i) for i, t in enumerate(times)], f"e string, t {kind}, i int")
+        got = [r.known and r.known.v for r in vt.as_of(ev, "e", "t", {"known": iv}).orderBy("i").collect()]
+        assert got == ([None, 0, 1, 1] if kind != "date" else [None, None, 1, 1])
+
+
+def test_timestamps_against_brute_force(spark):
+    r = random.Random(8)
+    base = dt.datetime(2023, 12, 25)
+    moment = lambda: base + dt.timedelta(seconds=r.randrange(20 * 86400))
+    vers = [(r.choice(["A", "A", "B"]), moment(), r.randrange(100)) for _ in range(300)]
+    events = [(r.choice(["A", "A", "B", "Z"]), r.choice(vers)[1] if r.random() < 0.3 else moment()) for _ in range(400)]
+    iv = vt.first_known(spark.createDataFrame(vers, "e string, k timestamp, v int"), "e", F.col("k"), [F.col("v")], [F.col("v").alias("v")])
+    for grain in (vt.DAY, 3600):
+        for x in vt.as_of(spark.createDataFrame(events, "e string, t timestamp"), "e", "t", {"known": iv}, grain).collect():
+            ok = [v for e, k, v in vers if e == x.e and k <= x.t]
+            assert (x.known and x.known.v) == (max(ok) if ok else None)
