@@ -176,8 +176,8 @@ def p5_daily_prices(spark: SparkSession, d: str) -> DataFrame:
 
 # 6 ------------------------------------------------------------------------------------------------
 
+# The columns whose changes are reported.
 DESCRIPTIVE = ("name", "exchange", "asset_type", "cik", "sector", "industry", "country", "currency", "fiscal_year_end", "listing_status")
-LEAF_BITS = 15
 
 
 def _blank_as_null(c: str) -> Column:
@@ -188,8 +188,8 @@ def _blank_as_null(c: str) -> Column:
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     companies = table(spark, d, "dim_company")
     values = [_blank_as_null(c) for c in DESCRIPTIVE] + [F.col("ipo_date"), F.col("delisted_date")]
-    rows = snapshot_diff.normalised(companies, F.col("snapshot_date"), _blank_as_null("symbol"), values, [F.col("last_updated")], LEAF_BITS)
-    out = snapshot_diff.diff(rows, LEAF_BITS)
+    rows = snapshot_diff.normalised(companies, F.col("snapshot_date"), _blank_as_null("symbol"), values, [F.col("last_updated")])
+    out = snapshot_diff.diff(snapshot_diff.digest(rows))
     return out.select(F.col("snapshot").cast("string").alias("snapshot_date"), F.col("key").alias("symbol"), "change")
 
 

@@ -36,31 +36,49 @@ def build(seed):
     return rows, want
 
 
-def run(spark, rows, depth):
-    df = spark.createDataFrame(rows, SCHEMA)
-    n = sd.normalised(df, F.col("snap"), F.col("key0"), [F.col("a"), F.col("b")], [F.col("at")], depth)
-    return {(r.snapshot, r.key, r.change) for r in sd.diff(n, depth).collect()}
+def hashed(spark, rows):
+    return sd.normalised(spark.createDataFrame(rows, SCHEMA), F.col("snap"), F.col("key0"), [F.col("a"), F.col("b")], [F.col("at")])
 
 
-@pytest.mark.parametrize("depth", [5, 15])
+def found(df):
+    return {(r.snapshot, r.key, r.change) for r in df.collect()}
+
+
+def run(spark, rows, depth=None):
+    return found(sd.diff(sd.digest(hashed(spark, rows), depth)))
+
+
+@pytest.mark.parametrize("depth", [5, 15, None])
 def test_diff(spark, depth):
-    rows, want = build(depth)
+    rows, want = build(7)
     assert run(spark, rows, depth) == want
 
 
+def test_kept_digests_are_added_to(spark):
+    rows, want = build(9)
+    first = sd.digest(hashed(spark, [r for r in rows if r[0] and r[0] <= S[1]]))
+    assert found(sd.diff(first)) == {w for w in want if w[0] <= S[1]}
+    both = sd.digest(hashed(spark, [r for r in rows if r[0] and r[0] > S[1]]), earlier=first)
+    assert found(sd.diff(both)) == want and found(sd.diff(both, since=S[1])) == {w for w in want if w[0] > S[1]} and found(sd.diff(both, since=S[3])) == set()
+    with pytest.raises(ValueError, match="before"):
+        sd.digest(hashed(spark, rows), earlier=first)
+
+
+def test_depth_grows_with_the_keys():
+    assert [sd.depth_for(n) for n in (0, 100, 10_000, 10**9)] == [5, 5, 10, 30]
+
+
 def test_top_down_opens_only_what_differs(spark):
     rows = [(s, f"k{i}", "x", i, 1, "", "") for s in S[:2] for i in range(500)]
     rows[510] = (S[1], rows[510][1], "changed", 1, 1, "", "")
-    n = sd.normalised(spark.createDataFrame(rows, SCHEMA), F.col("snap"), F.col("key0"), [F.col("a"), F.col("b")], [F.col("at")], 10)
-    trees = sd.digests(n, 10)
-    step = F.create_map(F.lit(S[0]), F.lit(S[1]))[F.col("snapshot")]
-    assert sd.differing_leaves(trees, 10, step, F.col("snapshot") != F.lit(S[0])).count() == 1
+    d = sd.digest(hashed(spark, rows), 10)
+    assert sd.differing_leaves(d.trees, 10, d.names).count() == 1
 
 
 def test_null_is_not_another_value(spark):
     rows = [(S[0], "k", None, 1, 1, "", ""), (S[1], "k", "", 1, 1, "", ""), (S[0], "j", "a", None, 1, "", ""), (S[1], "j", "a", None, 1, "", "")]
-    assert run(spark, rows, 5) == {(S[1], "k", "changed")}
+    assert run(spark, rows) == {(S[1], "k", "changed")}
 
 
 def test_empty_and_single(spark):
-    assert run(spark, [], 5) == set() and run(spark, [(S[0], "k", "a", 1, 1, "", "")], 5) == set()
+    assert run(spark, []) == set() and run(spark, [(S[0], "k", "a", 1, 1, "", "")]) == set()
