@@ -20,7 +20,7 @@ Keys are compared by their letters and digits only, without case.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,11 +34,13 @@ CHUNK = 256
 
 @dataclass(frozen=True)
 class Field:
-    """A target field: kind is text, number or date; names are the keys it may have."""
+    """A target field: kind is text, number or date; names are the keys it may have, defaults the
+    rules, by name and in order, that fill it where key or value is missing."""
 
     name: str
     kind: str
     names: tuple[str, ...]
+    defaults: tuple[str, ...] = ()
 
 
 def records(wrap: Column, body: Column, path: str) -> Column:
@@ -74,27 +76,31 @@ def squeezed(key: Column) -> Column:
     return F.lower(F.regexp_replace(key, "[^A-Za-z0-9]", ""))
 
 
-def _take(fields: Column, t: Field) -> Column:
-    """The one key that stands for t, by the order of its names."""
-    names = F.array(*[F.lit(n) for n in dict.fromkeys(_squeeze(n) for n in (t.name, *t.names))])
-    mine = F.filter(fields, lambda x: F.array_contains(names, squeezed(x["key"])))
-    best = F.array_min(F.transform(mine, lambda x: F.struct(F.array_position(names, squeezed(x["key"])).alias("rank"), x["key"].alias("key"), x["type"].alias("type"))))
-    return F.struct(F.lit(t.name).alias("field"), best["key"].alias("key"), best["type"].alias("type"))
+def _tagged(fields: Column, targets: Sequence[Field]) -> Column:
+    """The fields with what each key may stand for: t (target, and its place among the target's names), or null."""
+    known = {n: (t.name, i) for t in reversed(targets) for i, n in enumerate(squeezed_names(t))}
+    lookup = F.create_map(*[x for n, (target, i) in known.items() for x in (F.lit(n), F.struct(F.lit(target).alias("target"), F.lit(i).alias("place")))])
+    def tag(x: Column) -> Column:
+        t = F.try_element_at(lookup, squeezed(x["key"]))
+        return F.struct(x["key"].alias("key"), x["type"].alias("type"), t["target"].alias("target"), F.struct(x["key"] != t["target"], t["place"], x["key"]).alias("rank"))
+    return F.transform(fields, tag)
 
 
-def steps(fields: Column, targets: Sequence[Field]) -> Column:
+def steps(tagged: Column) -> Column:
     """array of struct(field, key, type): the rename and cast rule of each field in a fingerprint.
 
-    Targets come under their own names, all other keys under theirs.
+    Targets come under their own names, all other keys under theirs. Of two keys for one target the target's own
+    name is taken, else the first in the list of its names. tagged should be a column, as each of its elements is looked at for each.
     """
-    taken = [_take(fields, t) for t in targets]
-    own = F.filter(F.array(*taken), lambda s: s["key"].isNotNull())
-    other = F.filter(fields, lambda x: ~F.exists(own, lambda o: o["key"] == x["key"]))
-    return F.concat(own, F.transform(other, lambda x: F.struct(x["key"].alias("field"), x["key"].alias("key"), x["type"].alias("type"))))
+    def rule(x: Column) -> Column:
+        beaten = F.exists(tagged, lambda y: F.coalesce((y["target"] == x["target"]) & (y["rank"] < x["rank"]), F.lit(False)))
+        return F.struct(F.when(x["target"].isNotNull() & ~beaten, x["target"]).otherwise(x["key"]).alias("field"), x["key"].alias("key"), x["type"].alias("type"))
+    return F.transform(tagged, rule)
 
 
-def _squeeze(name: str) -> str:
-    return "".join(c for c in name.lower() if c.isascii() and c.isalnum())
+def squeezed_names(t: Field) -> list[str]:
+    """The keys of a field as they are compared, in order of preference."""
+    return list(dict.fromkeys("".join(c for c in n.lower() if c.isascii() and c.isalnum()) for n in (t.name, *t.names)))
 
 
 def fingerprints(files: DataFrame, keep: Sequence[str], body: str, path: str) -> DataFrame:
@@ -110,9 +116,16 @@ def fingerprints(files: DataFrame, keep: Sequence[str], body: str, path: str) ->
 
 
 def registry(schemas: DataFrame, targets: Sequence[Field]) -> DataFrame:
-    """fingerprint, steps: every distinct fingerprint, compiled once."""
+    """fingerprint, steps (rename and cast), defaults (field, rules of each target): every distinct fingerprint, compiled once.
+
+    Fingerprints are few bytes and costly to compile, so they are dealt out over all tasks.
+    """
+    tasks = int(schemas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     known = schemas.where(F.size("fields") > 0).select("fingerprint", "fields").groupBy("fingerprint").agg(F.min("fields").alias("fields"))
-    return known.select("fingerprint", steps(F.col("fields"), targets).alias("steps"))
+    known = known.repartition(tasks, F.xxhash64("fingerprint")).select("fingerprint", _tagged(F.col("fields"), targets).alias("_tagged"))
+    known = known.select("fingerprint", steps(F.col("_tagged")).alias("steps"))
+    rules = F.array(*[F.struct(F.lit(t.name).alias("field"), F.array(*map(F.lit, t.defaults)).cast("array<string>").alias("rules")) for t in targets])
+    return known.withColumn("defaults", rules)
 
 
 def previous(df: DataFrame, series: str, position: str, carry: Sequence[str]) -> DataFrame:
@@ -203,3 +216,8 @@ def route(schemas: DataFrame, known: DataFrame, keep: Sequence[str], targets: Se
     small = keys.limit(50_001).count() <= 50_000
     rows = schemas.join(F.broadcast(keys) if small else keys, "fingerprint").select(*keep, "_keys", F.posexplode("recs").alias("_at", "_rec"))
     return rows.select(*keep, "_at", *[cast(F.try_element_at("_rec", F.try_element_at("_keys", F.lit(t.name))), t.kind).alias(t.name) for t in targets])
+
+
+def fill(rows: DataFrame, targets: Sequence[Field], rules: Mapping[str, Column]) -> DataFrame:
+    """rows with the default rules of each target applied; all rules see the values as they were routed."""
+    return rows.withColumns({t.name: F.coalesce(t.name, *[rules[r] for r in t.defaults]) for t in targets if t.defaults})

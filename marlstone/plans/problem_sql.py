@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-_ALIASES = """
-  aliases(k, f) as (values ('holdername','holder_name'),('name','holder_name'),('institution','holder_name'),('investor','holder_name'),('filer','holder_name'),
-    ('sharesheld','shares_held'),('shares','shares_held'),('position','shares_held'),('qtyheld','shares_held'),
-    ('shareschange','shares_change'),('change','shares_change'),('deltashares','shares_change'),
-    ('pctofportfolio','pct_of_portfolio'),('percentageofportfolio','pct_of_portfolio'),('pctportfolio','pct_of_portfolio'),
-    ('marketvalue','market_value'),('value','market_value'),('mktvalusd','market_value'),
-    ('reportdate','report_date'),('asof','report_date'),('periodofreport','report_date'))
-"""
+from marlstone.operators.schema_drift import squeezed_names
+from marlstone.plans.holdings import HOLDING_FIELDS
+
+_ALIASES = "aliases(k, f) as (values " + ", ".join(f"('{k}', '{f.name}')" for f in HOLDING_FIELDS for k in squeezed_names(f)) + ")"
 
 _DRIFT = f"""
-with {_ALIASES.strip()},
+with {_ALIASES},
  recs as (select file_id, symbol, file_no, unnest(from_json(json_extract(body, '$.holdings'), '["JSON"]')) rec
    from bronze_holdings_files where json_valid(body)),
  keys as (select file_id, symbol, file_no, rec, unnest(json_keys(rec)) k from recs),
@@ -161,7 +157,7 @@ union all select 'dim_company', 'symbol', universe, load_id, count(*), count(*)
 
 _NUMBER = "try_cast(regexp_replace({}, '[,%$ ]', '', 'g') as double)"
 SQL["p3_holdings"] = f"""
-with {_ALIASES.strip()},
+with {_ALIASES},
  files as (select file_id, symbol, file_no, pull_date, from_json(json_extract(body, '$.holdings'), '["JSON"]') recs from bronze_holdings_files where json_valid(body)),
  recs as (select file_id, symbol, file_no, pull_date, unnest(recs) rec, generate_subscripts(recs, 1) place from files where len(recs) > 0),
  keys as (select file_id, place, rec, unnest(json_keys(rec)) k from recs),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marlstone.operators import column_profile as cp
 from marlstone.operators import compaction, rolling_state, schema_drift, snapshot_diff, valid_time
 from marlstone.operators.rolling_state import Measure
+from marlstone.plans.holdings import HOLDING_FIELDS
 from marlstone.session import materialise, sized, spread
 from marlstone.sources.price_files import price_records
 from marlstone.sources.tables import table
@@ -96,25 +97,19 @@ def p2_known_at_event(spark: SparkSession, d: str) -> DataFrame:
 
 # 3 ------------------------------------------------------------------------------------------------
 
-# The keys under which the six fields have come so far.
-HOLDING_FIELDS = (
-    schema_drift.Field("holder_name", "text", ("holderName", "Holder Name", "name", "institution", "investor", "filer", "holder", "institution_name", "investor_name", "owner_name", "organization")),
-    schema_drift.Field("shares_held", "number", ("sharesHeld", "Shares Held", "shares", "position", "qty_held", "quantity", "shares_owned")),
-    schema_drift.Field("shares_change", "number", ("sharesChange", "Shares Change", "change", "delta_shares", "change_in_shares", "shares_delta")),
-    schema_drift.Field("pct_of_portfolio", "number", ("pctPortfolio", "percentage_of_portfolio", "percent_of_portfolio", "pctOfPortfolio", "portfolio_pct", "portfolio_percent", "weight")),
-    schema_drift.Field("market_value", "number", ("marketValue", "Market Value", "value", "mkt_val_usd", "mkt_value", "value_usd")),
-    schema_drift.Field("report_date", "date", ("reportDate", "Report Date", "asOf", "as_of_date", "period_of_report", "date_reported", "reported_date")),
-)
-
 
 def _schemas(spark: SparkSession, d: str, keep: list[str]) -> DataFrame:
     return schema_drift.fingerprints(spread(table(spark, d, "bronze_holdings_files").select(*keep, "body")), keep, "body", "$.holdings")
 
 
+def _registry(schemas: DataFrame) -> DataFrame:
+    return materialise(schema_drift.registry(schemas, HOLDING_FIELDS), "registry")
+
+
 def _drift(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """The schemas of all files with records, and the registry of their fingerprints."""
     schemas = materialise(_schemas(spark, d, ["file_id", "symbol", "file_no"]).drop("recs"), "schemas").where(F.size("fields") > 0)
-    return schemas, materialise(schema_drift.registry(schemas, HOLDING_FIELDS), "registry")
+    return schemas, _registry(schemas)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -129,31 +124,26 @@ def p3_change_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_holdings(spark: SparkSession, d: str) -> DataFrame:
-    """The table of all files. The default steps, in this order:
-
-    report_date    the other records of the file, else the last quarter end before pull_date
-    shares_held    market_value over the file's price per share (other records), else the
-                   holder's shares in the file before plus shares_change, else shares_change, else 0
-    holder_name    'UNKNOWN'
-    """
+    """The table of all files, each body parsed once; gaps are filled by the fields' default rules."""
     keep = ["file_id", "symbol", "file_no", "pull_date"]
     names = [f.name for f in HOLDING_FIELDS]
-    rows = schema_drift.route(_schemas(spark, d, keep), _drift(spark, d)[1], keep, HOLDING_FIELDS)
-    rows = materialise(rows, "holdings")
+    schemas = materialise(_schemas(spark, d, keep), "records").where(F.size("fields") > 0)
+    rows = materialise(schema_drift.route(schemas, _registry(schemas), keep, HOLDING_FIELDS), "holdings")
     per_file = rows.groupBy("file_id").agg(
         F.max("report_date").alias("_date"),
         F.try_divide(F.sum(F.when(F.col("shares_held") > 0, F.col("market_value"))), F.sum(F.when(F.col("market_value").isNotNull() & (F.col("shares_held") > 0), F.col("shares_held")))).alias("_price"),
     )
-    quarter_end = F.date_sub(F.trunc("pull_date", "quarter"), 1)
     # the holder's last known shares come by an equi-join on the file before, never by sorting a holder's history
     order = schema_drift.previous(rows.select("file_id", "symbol", "file_no").distinct(), "symbol", "file_no", ["file_id"]).select("file_id", F.col("prev_file_id").alias("_before"))
     held = rows.where("holder_name is not null and shares_held is not null").groupBy(F.col("file_id").alias("_before"), "holder_name").agg(F.max("shares_held").alias("_held"))
     rows = rows.join(per_file, "file_id").join(order, "file_id")
     gaps = rows.where("shares_held is null").join(held, ["_before", "holder_name"], "left")
     whole = rows.where("shares_held is not null").withColumn("_held", F.lit(None).cast("double"))
-    shares = F.coalesce("shares_held", F.round(F.try_divide("market_value", "_price")), F.col("_held") + F.coalesce("shares_change", F.lit(0.0)), "_held", "shares_change", F.lit(0.0))
-    out = whole.unionByName(gaps.select(*whole.columns))
-    return out.withColumns({"shares_held": shares, "report_date": F.coalesce("report_date", "_date", quarter_end), "holder_name": F.coalesce("holder_name", F.lit("UNKNOWN"))}).select("symbol", *names, "pull_date", "file_id")
+    rules = {
+        "value_over_price": F.round(F.try_divide("market_value", "_price")), "held_before_plus_change": F.col("_held") + F.coalesce("shares_change", F.lit(0.0)), "held_before": F.col("_held"),
+        "change_alone": F.col("shares_change"), "none_held": F.lit(0.0), "rest_of_file": F.col("_date"), "last_quarter_end": F.date_sub(F.trunc("pull_date", "quarter"), 1), "unknown": F.lit("UNKNOWN"),
+    }
+    return schema_drift.fill(whole.unionByName(gaps.select(*whole.columns)), HOLDING_FIELDS, rules).select("symbol", *names, "pull_date", "file_id")
 
 
 # 5 ------------------------------------------------------------------------------------------------

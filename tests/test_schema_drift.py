@@ -82,3 +82,18 @@ def test_long_body(spark):
 def test_bodies_that_are_no_whole_document(spark):
     good = body({"name": "a"})
     assert schemas(spark, [good + "}", good + good, good + " x", good[:-1]]).count() == 0 and schemas(spark, [good + " "]).count() == 1
+
+
+def test_defaults_are_steps_of_the_registry(spark):
+    targets = (sd.Field("name", "text", ("holder",), ("nobody",)), sd.Field("shares", "number", ("qty",), ("twice", "none")), TARGETS[2])
+    s = schemas(spark, [body({"holder": None, "qty": None}, {"holder": "a", "qty": 2})])
+    known = sd.registry(s, targets)
+    assert {(d.field, tuple(d.rules)) for d in known.first().defaults} == {("name", ("nobody",)), ("shares", ("twice", "none")), ("on", ())}
+    rows = sd.route(s, known, ["id"], targets)
+    out = sd.fill(rows, targets, {"nobody": F.lit("-"), "twice": F.lit(None).cast("double"), "none": F.lit(0.0)}).orderBy("_at").collect()
+    assert [(r.name, r.shares, r.on) for r in out] == [("-", 0.0, None), ("a", 2.0, None)]
+
+
+def test_two_keys_for_one_field(spark):
+    rows = route(schemas(spark, [body({"Name": "x", "name": "y", "holder": "z"}), body({"Holder Name": "h", "holder": "z"}), body({"NAME": "n", "Name": "m"})])).orderBy("id").collect()
+    assert [r.name for r in rows] == ["y", "z", "n"]
