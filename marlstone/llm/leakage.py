@@ -1,17 +1,19 @@
 """Held-out items that leak into a corpus, by a positional inverted index.
 
-The index has one row per (term, segment of a document) with the positions of the term,
-over the consistent, case-folded form of the text (see lookalike); words are
-maximal runs of letters and digits. Terms are those of the held-out items: their
-number doesn't grow with the corpus, so a term is a small integer. A window
-of `length` words of an item is looked up from its rarest term: each posting of it
-fixes where the window would have to start, the second rarest term's postings
-must agree with that offset, and what is left is verified term by term. Common
-words thus bring up no candidates, however many documents hold them, unless a
-window has no others.
-
-A document that holds no `length` consecutive words all of which are terms can't
-match; its postings aren't stored, nor are those of shorter runs.
+The index holds every word of the corpus. It is cut into blocks of neighbouring documents, each small enough
+for one task: a row per (block, term) lists the places of the term, counted through the block, and one row per block
+says where each document begins. Texts are indexed in their consistent, case-folded form (see lookalike); words are
+maximal runs of letters and digits. The index knows nothing of the items: it is stored once and
+searched by any number of them, for phrases and for proximity.
+
+A window of `length` words of an item is found by intersecting lists: that of its rarest term in the block, moved
+back by the term's offset, with that of the second rarest, moved likewise, and what is left with the others, in
+order of rarity. A window with a term that the block lacks is dropped by a look at the counts, and
+windows that share their two rarest places share that intersection, so common
+words bring up no candidates, however many documents hold them, unless a window has no others.
+
+Only postings of the items' terms are read into a search, and only by block; no list grows with the corpus. Held-out items
+are shipped to all tasks; a set of more than MOST_WORDS words is searched part by part.
 
 Null and empty texts hold no words. Items of fewer than `length` words can't leak.
 Rows of one key are searched text by text; equal rows count once. Of several items of one id each is searched.
@@ -21,24 +23,27 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterable, Iterator, Sequence
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.llm.lookalike import Normaliser
-from marlstone.session import materialise, spread
+from marlstone.session import materialise, sized, spread
 
 LENGTH = 12
-#: Words of a segment, and ids of a batch on its way to the JVM, at most.
-PIECE = 4096
-BATCH_WORDS = 1 << 20
-#: Held-out items are the driver's to hold; a set beyond this isn't one.
-MOST_WORDS = 20_000_000
+WITHIN = 20
+#: Words of a block.
+BLOCK = 1 << 19
+#: Words of the items of one search at most; more are searched in several.
+MOST_WORDS = 5_000_000
 
 
 class Words:
@@ -64,169 +69,277 @@ class Words:
 
 @dataclass
 class Items:
-    """The held-out items as term numbers."""
+    """Held-out items as numbers of their terms."""
 
-    ids: list[int]
-    words: list[list[int]]
+    ids: list
+    words: list[np.ndarray]
     terms: dict[str, int]
-    kind: str = "long"
+    kind: str
 
     @staticmethod
     def collect(df: DataFrame, key: str, text: str) -> Items:
-        words, out, terms = Words(), Items([], [], {}), {}
-        n = 0
-        for k, t in df.select(key, text).where(f"`{key}` is not null").toLocalIterator():
-            seq = [terms.setdefault(w, len(terms)) for w in words(t)]
-            n += len(seq)
-            if n > MOST_WORDS:
-                raise ValueError(f"more than {MOST_WORDS} held-out words")
+        words, out = Words(), Items([], [], {}, dict(df.dtypes)[key])
+        for k, t in df.select(key, text).where(F.col(key).isNotNull()).toLocalIterator():
             out.ids.append(k)
-            out.words.append(seq)
-        out.terms, out.kind = terms, dict(df.dtypes)[key]
+            out.words.append(np.array([out.terms.setdefault(w, len(out.terms)) for w in words(t)], dtype=np.int64))
         return out
 
 
-def postings(docs: DataFrame, key: str, text: str, items: Items, min_run: int, overlap: int | None = None) -> DataFrame:
-    """The index: (term, doc, copy, seg, positions).
+def parts(df: DataFrame, key: str, text: str) -> list[DataFrame]:
+    """The items in as many parts as the driver and the tasks can hold one after the other; a word has a character and a blank at least."""
+    chars = df.agg(F.sum(F.length(text) + 1)).first()[0] or 0
+    n = -(-chars // (2 * MOST_WORDS)) or 1
+    return [df.where(F.pmod(F.xxhash64(key, text), F.lit(n)) == i) for i in range(n)]
+
+
+def postings(docs: DataFrame, key: str, text: str, reach: int = max(LENGTH, WITHIN)) -> DataFrame:
+    """The index: (block, term, places, docs, copies, froms).
 
-    A document falls into segments: its runs of at least min_run terms, or all of it
-    where min_run is 1. Long ones are cut to PIECE words, neighbours sharing `overlap`
-    words (min_run - 1 if not given), so no row grows with a document. seg is the place
-    of a segment's first word, positions count from there. The row of term -1 holds, instead
-    of positions, the segment's terms in order. copy tells texts of one key apart.
+    The row of a null term is the block's directory: document docs[i] (copies tells texts of one key apart) has its
+    word froms[i] at places[i] of the block, and its further words after it. Documents lie `reach` places apart, so no phrase and
+    no stretch of up to `reach` words runs from one into the next. A document that a block can't hold continues in the next one,
+    repeating `reach` words.
     """
-    shipped = docs.sparkSession.sparkContext.broadcast(items.terms)  # bounded by the held-out items
-    words, step = Words(), PIECE - (min_run - 1 if overlap is None else overlap)
-
-    def segments(text: str | None) -> Iterator[tuple[int, list[int]]]:
-        get = shipped.value.get
-        numbers = array("i", [get(w, -1) for w in found] if isinstance(found := words(text), list) else (get(w, -1) for w in found))
-        start, n = 0, len(numbers)
-        while start < n:
-            stop = start
-            while stop < n and (numbers[stop] >= 0 or min_run == 1):
-                stop += 1
-            if stop - start >= min_run:
-                for lo in range(start, max(start + 1, stop - PIECE + step), step):
-                    yield lo, numbers[lo : min(lo + PIECE, stop)]
-            start = stop + 1
+    kind, block, words = dict(docs.dtypes)[key], BLOCK, Words()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made = TaskContext.get().partitionId(), 0
+        vocabulary: defaultdict[str, int] = defaultdict()
+        vocabulary.default_factory = vocabulary.__len__
+        codes, places, directory, end = array("i"), array("i"), ([], [], [], []), 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal made, end
+            number, where = np.frombuffer(codes, dtype=np.int32), np.frombuffer(places, dtype=np.int32)
+            order = np.argsort(number, kind="stable")
+            starts = np.concatenate([[0], np.cumsum(np.bincount(number, minlength=len(vocabulary)))])
+            ids, copies, begins, froms = directory
+            n = len(vocabulary)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, starts[-1] + len(begins)), pa.int32()), pa.array(np.append(where[order], np.array(begins, dtype=np.int32)), pa.int32()))
+            def only_last(values: list, of: pa.DataType) -> pa.Array:
+                return pa.array([None] * n + [values], pa.list_(of))
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n + 1, (task << 32) + made), pa.int64()), pa.array([*vocabulary, None], pa.string()), lists, only_last(ids, id_type), only_last(copies, pa.int64()), only_last(froms, pa.int32())],
+                ["block", "term", "places", "docs", "copies", "froms"],
+            )
+            vocabulary.clear()
+            del number, where
+            codes[:], places[:] = array("i"), array("i")
+            for x in directory:
+                x.clear()
+            made, end = made + 1, 0
+            return out
+
+        id_type = None
         for batch in batches:
-            terms, rows, copies, segs, flat, offsets = [], [], [], [], [], [0]
-
-            def flush(batch=batch, terms=terms, rows=rows, copies=copies, segs=segs, flat=flat, offsets=offsets):
-                lists = pa.ListArray.from_arrays(pa.array(np.array(offsets, dtype=np.int32)), pa.array(np.array(flat, dtype=np.int32)))
-                out = pa.RecordBatch.from_arrays(
-                    [pa.array(terms, pa.int32()), batch.column(0).take(pa.array(rows, pa.int64())), pa.array(copies, pa.int64()), pa.array(segs, pa.int32()), lists], ["term", "doc", "copy", "seg", "positions"]
-                )
-                for x in (terms, rows, copies, segs, flat):
-                    x.clear()
-                offsets[:] = [0]
-                return out
-
-            for i, t in enumerate(batch.column(1)):
-                text, copy = t.as_py(), None
-                for seg, numbers in segments(text):
-                    if copy is None:
-                        copy = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
-                    found: dict[int, list[int]] = {}
-                    for p, term in enumerate(numbers):
-                        if term >= 0:
-                            found.setdefault(term, []).append(p)
-                    for term, at in ((-1, numbers), *found.items()):
-                        terms.append(term)
-                        rows.append(i)
-                        copies.append(copy)
-                        segs.append(seg)
-                        flat += at
-                        offsets.append(len(flat))
-                    if len(flat) > BATCH_WORDS:
+            id_type = batch.column(0).type
+            ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            for i, t in enumerate(texts):
+                value = t.as_py()
+                found = words(value)
+                found = found if isinstance(found, list) else list(found)
+                if not found:
+                    continue
+                copy = xxhash.xxh3_64_intdigest(value.encode("utf-8", "surrogatepass")) >> 1
+                done = 0
+                while True:
+                    room = max(block - len(codes), reach + 1)
+                    piece = found[done : done + room] if done or len(found) > room else found
+                    for column, x in zip(directory, (ids[i], copy, end, done), strict=True):
+                        column.append(x)
+                    codes.extend([vocabulary[w] for w in piece])
+                    places.extend(range(end, end + len(piece)))
+                    end += len(piece) + reach
+                    full, last = len(codes) >= block, done + len(piece) >= len(found)
+                    if full:
                         yield flush()
+                    if last:
+                        break
+                    done += len(piece) - reach
+        if codes:
             yield flush()
 
-    kind = dict(docs.dtypes)[key]
-    return spread(docs.select(key, text).where(F.col(key).isNotNull())).mapInArrow(run, f"term int, doc {kind}, copy long, seg int, positions array<int>")
+    schema = f"block long, term string, places array<int>, docs array<{kind}>, copies array<long>, froms array<int>"
+    return spread(docs.select(key, text).where(F.col(key).isNotNull())).mapInArrow(run, schema)
+
+
+def _held(sorted_list: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which of the wanted are in the list."""
+    at = np.searchsorted(sorted_list, wanted)
+    at[at == len(sorted_list)] = 0
+    return sorted_list[at] == wanted
+
+
+class Block:
+    """The postings of the items' terms in one block, by number of the term."""
+
+    def __init__(self, table: pa.Table, terms: dict[str, int]):
+        self.lists: dict[int, np.ndarray] = {}
+        self.counts = np.zeros(len(terms), dtype=np.int64)
+        table = table.combine_chunks()
+        places = table.column("places").chunk(0)
+        ends, values = places.offsets.to_numpy(), places.values.to_numpy(zero_copy_only=False)
+        for row, term in enumerate(table.column("term").to_pylist()):
+            held = values[ends[row] : ends[row + 1]].astype(np.int64)
+            if term is not None:
+                n = terms[term]
+                self.lists[n], self.counts[n] = held, len(held)
+            else:
+                self.begins = held
+                self.docs, self.copies, self.froms = (table.column(c)[row].as_py() for c in ("docs", "copies", "froms"))
+
+    def document(self, place: int) -> tuple[int, int]:
+        """(its place in the directory, the word's offset in the text)."""
+        i = int(np.searchsorted(self.begins, place, side="right")) - 1
+        return i, self.froms[i] + place - int(self.begins[i])
+
+    def windows(self, seq: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(s, where the item's word 0 would lie) of the windows seq[s:s+length] that occur."""
+        if len(seq) < length:
+            return
+        counts = np.lib.stride_tricks.sliding_window_view(self.counts[seq], length)
+        at = np.flatnonzero(counts.min(axis=1))
+        if not len(at):
+            return
+        order = np.argsort(counts[at], axis=1, kind="stable") + at[:, None]
+        rarest: dict[tuple[int, int], list[int]] = {}
+        for row, pair in enumerate(zip(order[:, 0].tolist(), order[:, min(1, length - 1)].tolist(), strict=True)):
+            rarest.setdefault(pair, []).append(row)
+        for (a, b), rows in rarest.items():
+            shifts = self.lists[seq[a]] - a
+            shifts = shifts[_held(self.lists[seq[b]], shifts + b)]
+            if not len(shifts):
+                continue
+            for row in rows:
+                left = shifts
+                for k in order[row, 2:].tolist():
+                    left = left[_held(self.lists[seq[k]], left + k)]
+                    if not len(left):
+                        break
+                else:
+                    yield int(at[row]), left
+
+    def runs(self, seq: np.ndarray, length: int) -> Iterator[tuple[int, int, int, int]]:
+        """(place in the directory, item_from, doc_from, words) of the longest runs."""
+        by_shift: dict[int, list[int]] = {}
+        for s, shifts in self.windows(seq, length):
+            for shift in shifts.tolist():
+                by_shift.setdefault(shift, []).append(s)
+        for shift, starts in by_shift.items():
+            starts.sort()
+            first = before = starts[0]
+            for s in [*starts[1:], None]:
+                if s is None or s > before + 1:
+                    i, offset = self.document(shift + first)
+                    yield i, first, offset, before - first + length
+                    first = s
+                before = s
+
+    def spans(self, terms: list[int], within: int) -> Iterator[tuple[int, int]]:
+        """(place in the directory, span) of the smallest stretch that holds all terms, per document."""
+        if any(t not in self.lists for t in terms):
+            return
+        starts = np.unique(np.concatenate([self.lists[t] for t in terms]))
+        far = np.iinfo(np.int64).max // 2
+        ends = np.max([np.append(self.lists[t], far)[np.searchsorted(self.lists[t], starts)] for t in terms], axis=0)
+        good = ends - starts < within
+        best: dict[int, int] = {}
+        for p, e in zip(starts[good].tolist(), ends[good].tolist(), strict=True):
+            i, _ = self.document(p)
+            best[i] = min(best.get(i, far), e - p + 1)
+        yield from best.items()
+
+
+def _numbered(index: DataFrame, items: Items, column: str, values: list, kind: pa.DataType | None) -> DataFrame:
+    """(item, column): a short list as a written frame."""
+    table = pa.table({"item": pa.array(range(len(values)), pa.int64()), column: pa.array(values, kind)})
+    return materialise(index.sparkSession.createDataFrame(table), column)
+
+
+def _held_terms(index: DataFrame, items: Items) -> DataFrame:
+    terms = _numbered(index, items, "term", list(items.terms), pa.string()).select("term")
+    return index.join(sized(terms), "term", "left_semi")
+
+
+def _search(index: DataFrame, items: Items, of: Callable[[Block], Iterator[tuple]], columns: str) -> DataFrame:
+    """(doc, copy, name, columns...) of the rows (place in the directory, number of the item, long...) that `of` makes of each block."""
+    kind = dict(index.dtypes)["docs"].removeprefix("array<").removesuffix(">")
+    shipped = index.sparkSession.sparkContext.broadcast(items.terms)  # at most MOST_WORDS
+    names = [c.split()[0] for c in columns.split(", ")]
+
+    def run(table: pa.Table) -> pa.Table:
+        block = Block(table, shipped.value)
+        rows = list(of(block))
+        ids = pa.array([block.docs[r[0]] for r in rows], table.schema.field("docs").type.value_type)
+        rest = [pa.array([r[i] for r in rows], pa.int64()) for i in range(1, 2 + len(names))]
+        return pa.table([ids, pa.array([block.copies[r[0]] for r in rows], pa.int64()), *rest], names=["doc", "copy", "item", *names])
+
+    blocks = _held_terms(index, items).unionByName(index.where("term is null"))
+    found = blocks.groupBy("block").applyInArrow(run, f"doc {kind}, copy long, item long, {columns}")
+    called = _numbered(index, items, "name", items.ids, None).select("item", F.col("name").cast(items.kind).alias("name"))
+    return found.join(sized(called), "item")
 
 
-def document_frequencies(index: DataFrame) -> dict[int, int]:
-    """By term; there are no more terms than the items have."""
-    return {r[0]: r[1] for r in index.where("term >= 0").groupBy("term").agg(F.count(F.lit(1))).collect()}
-
-
-def windows(items: Items, df: dict[int, int], length: int) -> list[tuple[int, int, int, int, int, int]]:
-    """(place of the item in the list, start, rarest term, its offset, second rarest term, its offset) of every window all of whose terms occur."""
+def phrase_matches(index: DataFrame, items: Items, length: int = LENGTH) -> DataFrame:
+    """(doc, item, item_from, doc_from, words): every longest run of at least `length` words that an
+    item and a document share in order and without a gap. Offsets count words from 0. The index must reach as far as `length`."""
+    sequences = index.sparkSession.sparkContext.broadcast(items.words)
+
+    def of(block: Block) -> Iterator[tuple]:
+        for n, seq in enumerate(sequences.value):
+            for i, item_from, doc_from, words in block.runs(seq, length):
+                yield i, n, item_from, doc_from, words
+
+    found = _search(index, items, of, "item_from long, doc_from long, words long")
+    # runs of one diagonal that overlap, in two blocks, or touch are one
+    diagonal = ["doc", "copy", "item", "name", F.col("doc_from") - F.col("item_from")]
+    w = Window.partitionBy(*diagonal).orderBy("item_from", "words")
+    end = F.max(F.col("item_from") + F.col("words") - length).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    found = found.withColumn("_new", F.when(F.col("item_from") <= end + 1, 0).otherwise(1))
+    found = found.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = found.groupBy(*diagonal[:4], (F.col("doc_from") - F.col("item_from")).alias("shift"), "_run").agg(F.min("item_from").alias("item_from"), F.min("doc_from").alias("doc_from"), (F.max(F.col("item_from") + F.col("words")) - F.min("item_from")).alias("words"))
+    return runs.select("doc", F.col("name").alias("item"), *[F.col(c).cast("int").alias(c) for c in ("item_from", "doc_from", "words")]).distinct()
+
+
+def rarest(index: DataFrame, items: Items, terms: int) -> list[list[int]]:
+    """Per item the numbers of its rarest terms by occurrences in the corpus, ties by the word; none if it has fewer or lacks one there.
+    There are no more counts than the items have terms."""
+    counts = dict(_held_terms(index, items).groupBy("term").agg(F.sum(F.size("places"))).collect())
+    by_number = list(items.terms)
     out = []
-    for item, seq in enumerate(items.words):
-        for s in range(len(seq) - length + 1):
-            part = seq[s : s + length]
-            by_rarity = sorted((df.get(t, 0), o, t) for o, t in enumerate(part))
-            if by_rarity[0][0]:
-                (_, o1, t1), (_, o2, t2) = by_rarity[0], next((x for x in by_rarity[1:] if x[2] != by_rarity[0][2]), by_rarity[0])
-                out.append((item, s, t1, o1, t2, o2))
+    for seq in items.words:
+        order = sorted((counts.get(by_number[t], 0), by_number[t], t) for t in set(seq.tolist()))[:terms]
+        out.append([t for _, _, t in order] if len(order) == terms and order[0][0] else [])
     return out
 
 
-def _frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
+def proximity_matches(index: DataFrame, items: Items, terms: int = 3, within: int = WITHIN) -> DataFrame:
+    """(doc, item, span): documents that hold the item's `terms` rarest terms, in any order, within `within` words;
+    span is the smallest such stretch. The index must reach as far as `within`."""
+    chosen = index.sparkSession.sparkContext.broadcast(rarest(index, items, terms))
 
+    def of(block: Block) -> Iterator[tuple]:
+        for n, few in enumerate(chosen.value):
+            for i, span in block.spans(few, within) if few else ():
+                yield i, n, span
 
-def phrase_matches(index: DataFrame, items: Items, length: int = LENGTH) -> DataFrame:
-    """(doc, item, item_from, doc_from, words): every longest run of at least `length` words that an
-    item and a document share in order and without a gap. Offsets count words from 0.
+    found = _search(index, items, of, "span long")
+    return found.groupBy("doc", F.col("name").alias("item")).agg(F.min("span").cast("int").alias("span"))
 
-    Each posting of a window's rarest term is a seed: it fixes the offset between
-    item and segment. Seeds are gathered by (segment, item) before they are shuffled and
-    meet the segment's terms once; the second rarest term is then tested at that
-    offset, and all others where it agrees, each by one access to an array.
-    """
-    spark = index.sparkSession
-    found = windows(items, document_frequencies(index), length)
-    second = {(i, s): (t2, o2) for i, s, _, _, t2, o2 in found}
-    anchors = _frame(spark, [(i, s, t1, o1) for i, s, t1, o1, _, _ in found], "item int, s int, t1 int, o1 int")
-    known = [
-        (i, name, seq, [second.get((i, s), (None, None))[0] for s in range(len(seq))], [second.get((i, s), (None, None))[1] for s in range(len(seq))])
-        for i, (name, seq) in enumerate(zip(items.ids, items.words, strict=True))
-    ]
-    known = _frame(spark, known, f"item int, name {items.kind}, terms array<int>, t2 array<int>, o2 array<int>")
-    segment = ["doc", "copy", "seg"]
-    hits = index.join(F.broadcast(anchors), F.col("term") == F.col("t1"))  # bounded by the held-out items
-    seeds = hits.select(*segment, "item", "s", F.explode(F.transform("positions", lambda p: p - F.col("o1") - F.col("s"))).alias("shift"))
-    seeds = seeds.where(F.col("shift") + F.col("s") >= 0).groupBy(*segment, "item").agg(F.collect_list(F.struct("s", "shift")).alias("seeds"))
-    held = index.where("term = -1").select(*segment, F.col("positions").alias("held"))
-    met = seeds.join(held, segment).join(F.broadcast(known), "item")
-    agreed = F.filter("seeds", lambda w: F.get("held", w["shift"] + w["s"] + F.get("o2", w["s"])) == F.get("t2", w["s"]))
-    offsets = F.array(*[F.lit(k) for k in range(length)])
-    whole = F.filter(agreed, lambda w: F.forall(offsets, lambda k: F.coalesce(F.get("held", w["shift"] + w["s"] + k) == F.get("terms", w["s"] + k), F.lit(False))))
-    full = met.select("doc", "copy", "item", "name", "seg", F.explode(whole).alias("w"))
-    starts = full.select("doc", "copy", "item", "name", (F.col("w.shift") + F.col("seg")).alias("shift"), F.col("w.s").alias("s")).distinct()
-    # neighbouring windows of one offset make one run
-    diagonal = ["doc", "copy", "item", "name", "shift"]
-    starts = starts.withColumn("island", F.col("s") - F.row_number().over(Window.partitionBy(*diagonal).orderBy("s")))
-    runs = starts.groupBy(*diagonal, "island").agg(F.min("s").alias("item_from"), (F.max("s") - F.min("s") + length).alias("words"))
-    return runs.select("doc", F.col("name").alias("item"), "item_from", (F.col("item_from") + F.col("shift")).alias("doc_from"), "words").distinct()
-
-
-def proximity_matches(index: DataFrame, items: Items, terms: int = 3, within: int = 20) -> DataFrame:
-    """(doc, item, span): documents that hold the item's `terms` rarest terms, in any order, within `within` words;
-    span is the smallest such stretch. Needs an index with min_run 1 and an overlap of within - 1."""
-    df = document_frequencies(index)
-    rows = []
-    for item, seq in zip(items.ids, items.words, strict=True):
-        rare = sorted((df.get(t, 0), t) for t in set(seq))[:terms]
-        if len(rare) == terms and rare[0][0]:
-            rows += [(item, k, t) for k, (_, t) in enumerate(rare)]
-    asked = F.broadcast(_frame(index.sparkSession, rows, f"item {items.kind}, k int, term int"))
-    hits = index.join(asked, "term").select("doc", "copy", "seg", "item", "k", F.explode("positions").alias("p"))
-    ahead = Window.partitionBy("doc", "copy", "seg", "item").orderBy("p").rangeBetween(0, within - 1)
-    seen = hits.withColumn("kinds", F.size(F.collect_set("k").over(ahead)))
-    firsts = [F.min(F.when(F.col("k") == k, F.col("p"))).over(ahead) for k in range(terms)]
-    seen = seen.withColumn("span", F.greatest(*firsts) - F.col("p") + 1)
-    return seen.where(F.col("kinds") == terms).groupBy("doc", "item").agg(F.min("span").alias("span"))
+
+def _by_parts(held_out: DataFrame, item_key: str, item_text: str, search: Callable[[Items], DataFrame]) -> DataFrame:
+    found = [search(Items.collect(part, item_key, item_text)) for part in parts(held_out, item_key, item_text)]
+    return reduce(DataFrame.unionByName, found)
 
 
 def leaks(docs: DataFrame, key: str, text: str, held_out: DataFrame, item_key: str, item_text: str, length: int = LENGTH) -> DataFrame:
     """(doc, item, item_from, doc_from, words) of a corpus; the index is written before it is searched."""
-    items = Items.collect(held_out, item_key, item_text)
-    index = materialise(postings(docs, key, text, items, length), "postings")
-    return phrase_matches(index, items, length)
+    index = materialise(postings(docs, key, text, length), "postings")
+    return _by_parts(held_out, item_key, item_text, lambda items: phrase_matches(index, items, length)).distinct()
+
+
+def near(docs: DataFrame, key: str, text: str, held_out: DataFrame, item_key: str, item_text: str, terms: int = 3, within: int = WITHIN) -> DataFrame:
+    """(doc, item, span) of a corpus: where an item's rarest terms lie close together."""
+    index = materialise(postings(docs, key, text, within), "postings")
+    found = _by_parts(held_out, item_key, item_text, lambda items: proximity_matches(index, items, terms, within))
+    return found.groupBy("doc", "item").agg(F.min("span").alias("span"))

@@ -65,11 +65,39 @@ def test_long_text_and_hot_words(spark):
     assert set(found(spark, [(1, long), (2, "the the the the")], [(5, "alpha beta gamma delta"), (6, "the the the the")])) == {(1, 5), (1, 6), (2, 6)}
 
 
-def test_runs_across_pieces(spark, monkeypatch):
-    monkeypatch.setattr(lk, "PIECE", 8)
+def test_runs_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lk, "BLOCK", 8)
     item = " ".join(f"t{i}" for i in range(30))
-    got = found(spark, [(1, "x " + item + " y"), (2, " ".join(f"t{i}" for i in range(5, 17)))], [(3, item)])
-    assert (got[1, 3].words, got[1, 3].doc_from) == (30, 1) and got[2, 3].words == 12
+    got = found(spark, [(1, "x " + item + " y"), (2, " ".join(f"t{i}" for i in range(5, 17))), (3, "t0 t1"), (4, "t2 t3 t4")], [(3, item)])
+    assert (got[1, 3].words, got[1, 3].doc_from) == (30, 1) and got[2, 3].words == 12 and len(got) == 2
+
+
+def test_small_blocks_against_brute_force(spark, monkeypatch):
+    r = random.Random(12)
+    vocab = [f"w{i}" for i in range(9)]
+    items = [(i, " ".join(r.choices(vocab, k=r.randrange(3, 14)))) for i in range(10)]
+    docs = [(i, " ".join(r.choices([*vocab, "zz"], k=r.randrange(0, 70)))) for i in range(120)]
+    want = brute(docs, items, 4)
+    for size in (5, 17, 64):
+        monkeypatch.setattr(lk, "BLOCK", size)
+        assert set(found(spark, docs, items)) == want
+
+
+def test_items_searched_part_by_part(spark, monkeypatch):
+    r = random.Random(14)
+    vocab = [f"w{i}" for i in range(9)]
+    items = [(i, " ".join(r.choices(vocab, k=12))) for i in range(12)]
+    docs = [(i, " ".join(r.choices(vocab, k=40))) for i in range(60)]
+    monkeypatch.setattr(lk, "MOST_WORDS", 40)
+    assert len(lk.parts(frames(spark, docs, items)[1], "item", "t")) > 3
+    assert set(found(spark, docs, items)) == brute(docs, items, 4)
+
+
+def test_one_index_serves_phrases_of_any_length(spark):
+    d, i = frames(spark, [(1, "a b c d e f"), (2, "c d x e f")], [(9, "b c d e")])
+    index, items = lk.postings(d, "id", "t").cache(), lk.Items.collect(i, "item", "t")
+    got = {n: {r.doc for r in lk.phrase_matches(index, items, n).collect()} for n in (1, 2, 3, 4)}
+    assert got == {1: {1, 2}, 2: {1, 2}, 3: {1}, 4: {1}}
 
 
 def test_long_texts_have_the_same_words(monkeypatch):
@@ -84,7 +112,24 @@ def test_empty(spark):
 
 
 def test_proximity(spark):
-    d, i = frames(spark, [(1, "rare1 x x rare2 x rare3"), (2, "rare1" + " x" * 30 + " rare2 rare3"), (3, "rare3 rare1 rare2"), (4, "rare1 rare2")], [(9, "rare1 rare2 rare3")])
-    items = lk.Items.collect(i, "item", "t")
-    got = {r.doc: r.span for r in lk.proximity_matches(lk.postings(d, "id", "t", items, 1, 9), items, 3, 10).collect()}
+    d, i = frames(spark, [(1, "rare1 x x rare2 x rare3"), (2, "rare1" + " x" * 30 + " rare2 rare3"), (3, "rare3 rare1 rare2"), (4, "rare1 rare2")], [(9, "rare1 rare2 rare3"), (8, "rare1 nowhere rare2"), (7, "two words")])
+    got = {r.doc: r.span for r in lk.near(d, "id", "t", i, "item", "t", 3, 10).collect()}
     assert got == {1: 6, 3: 3}
+
+
+def test_proximity_against_brute_force(spark, monkeypatch):
+    r = random.Random(15)
+    vocab = [f"w{i}" for i in range(14)]
+    docs = [(i, " ".join(r.choices(vocab, weights=range(1, 15), k=r.randrange(0, 60)))) for i in range(80)]
+    items = [(i, " ".join(r.sample(vocab, k=r.randrange(2, 8)))) for i in range(8)]
+    split = {d: t.split() for d, t in docs}
+    often = {w: sum(t.count(w) for t in split.values()) for w in vocab}
+    want = {}
+    for i, t in items:
+        few = sorted(set(t.split()), key=lambda w: (often[w], w))[:3]
+        for d, words in split.items():
+            spans = [n for n in range(3, 9) for s in range(len(words) - n + 1) if len(few) == 3 and set(few) <= set(words[s : s + n])]
+            if spans:
+                want[d, i] = min(spans)
+    d, i = frames(spark, docs, items)
+    assert {(r.doc, r.item): r.span for r in lk.near(d, "id", "t", i, "item", "t", 3, 8).collect()} == want and want

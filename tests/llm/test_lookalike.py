@@ -17,7 +17,7 @@ def test_alike(a, b):
     assert a != b and N.form(a) == N.form(b)
 
 
-@pytest.mark.parametrize(("a", "b"), [("Case", "case"), ("cafe", "café"), ("m²", "m2"), ("a  b", "a b"), ("one two", "one too"), ("a\nb", "a b"), ("½", "1/2"), ("12", "13"), ("и", "u"), ("ж", "x"), ("αβγ", "abg")])
+@pytest.mark.parametrize(("a", "b"), [("Case", "case"), ("cafe", "café"), ("m²", "m2"), ("a  b", "a b"), ("one two", "one too"), ("a\nb", "a b"), ("½", "1/2"), ("12", "13"), ("и", "u"), ("ж", "x"), ("αβγ", "abg"), ("𝟏", "1"), ("ψ", "y")])
 def test_really_different(a, b):
     assert N.form(a) != N.form(b)
 
@@ -26,22 +26,41 @@ def test_resolution():
     assert N.spelling("tоne") == "tone" and N.spelling("Кoмпaния") == "Компания"
     assert N.spelling("сор") == "cop"  # wholly of look-alikes
     assert N.spelling("жzо") == "жzo"  # truly mixed
-    assert N.kinds("tоne") == "mixed" and N.kinds("сор") == "whole" and N.kinds("tone") != "mixed"
+    assert N.kind("tоne") == "mixed" and N.kind("сор") == "whole" and N.kind("tone") == N.kind("Компания") == "single" and N.kinds("tоne сор é") == (1, 1)
 
 
 def test_any_disguise_has_the_same_form():
     r = random.Random(3)
     alike = {}
     for row in LOOKALIKES:
-        cs = [c for c in row if c != "-"]
-        for c in cs:
-            alike[c] = cs
+        for c in row:
+            alike[c] = row
     for word in ("Investment", "Хроника", "Ποσοστο", "COPE", "объёмный", "naïve", "Zürich"):
         for _ in range(40):
             other = "".join(r.choice(alike.get(c, [c])) for c in word)
             assert N.form(other) == N.form(word) and N.form(N.form(other)) == N.form(other)
 
 
+def test_every_letter_and_script_pair():
+    """Each look-alike of each letter stands for it, alone in a word and in a word of its own script."""
+    for row in LOOKALIKES:
+        for a in row:
+            for b in row:
+                assert N.form(f"b{a}g rest") == N.form(f"b{b}g rest") and N.form(a) == N.form(b)
+
+
+@pytest.mark.parametrize(("a", "b"), [
+    ("papa", "ραρα"), ("tu ky", "τυ κγ"), ("go", "ɡo"), ("i", "ı"), ("Bold 𝑡ext", "𝐁𝐨𝐥𝐝 text"), ("a b", "a\u2028b"), ("xy", "x\U000e0041y"), ("xy", "x\U000e0101y"), ("on", "օո"), ("AB", "ᎪᏴ"), ("LISU", "ꓡꓲꓢꓴ"), ("ⲟⲭ", "ox"), ("5 μm", "5 µm"),
+])
+def test_alike_beyond_cyrillic(a, b):
+    assert a != b and N.form(a) == N.form(b)
+
+
+def test_emoji_sequences_stay_apart():
+    assert N.form("👨\u200d👩\u200d👧") != N.form("👨👩👧") and N.form("🏴\U000e0067\U000e0062\U000e007f") != N.form("🏴")
+    assert N.form("👨\u200d👩") == N.form("👨\u200d👩\u200b") and N.form("a\u200db") == "ab"
+
+
 def test_pairs(spark):
     rows = [(1, "tone a"), (2, "tоne a"), (3, "tone a"), (4, None), (5, ""), (6, "  "), (7, "  "), (8, "other"), (9, "ｔｏｎｅ a"), (2, "tоne a"), (None, "t​one a")]
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], "id long, text string, form string")
