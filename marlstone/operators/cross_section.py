@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marlstone.operators.column_profile import bucket
+from marlstone.session import materialise
+
 
 def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Long form (ids, metric, value) in one scan; nulls and NaN are left out."""
@@ -14,13 +17,36 @@ def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str]) -> DataFrame:
     return out.where("value is not null and not isnan(value)")
 
 
-def percentiles_by_level(long: DataFrame, levels: Sequence[str], qs: dict[str, float]) -> DataFrame:
+def percentiles_by_level(long: DataFrame, levels: Sequence[str], qs: dict[str, float], keep: Sequence[str] = ()) -> DataFrame:
     """Exact percentiles per level and metric by one expansion into grouping sets. A null group is no group."""
     cells = F.array(*[F.struct(F.lit(g).alias("grouping_level"), F.col(g).alias("group_value")) for g in levels])
-    rows = long.select(F.inline(cells), "metric", "value").where("group_value is not null")
-    return rows.groupBy("grouping_level", "group_value", "metric").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), *[F.percentile("value", F.lit(q)).alias(n) for n, q in qs.items()]
-    )
+    rows = long.select(*keep, F.inline(cells), "metric", "value").where("group_value is not null")
+    return exact_quantiles(rows, [*keep, "grouping_level", "group_value", "metric"], F.col("value"), qs)
+
+
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: Column, qs: dict[str, float]) -> DataFrame:
+    """by..., n, mean and the interpolated quantiles of the values that are neither null, NaN nor infinite.
+
+    No group's values meet in one task: counts of buckets tell which hold the ranks asked for, and only the values of
+    those buckets, each once with its count, are ranked. df is read twice. Groups with a null key are left out.
+    """
+    x = value.cast("double")
+    xs = df.select(*by, F.when(F.abs(x) < float("inf"), x).alias("_x")).where(" and ".join(f"`{c}` is not null" for c in (*by, "_x"))).withColumn("_b", bucket(F.col("_x")))
+    counts = xs.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_k"), F.sum("_x").alias("_s"))
+    w = Window.partitionBy(*by)
+    counts = counts.withColumns({"_below": F.sum("_k").over(w.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_k"), "n": F.sum("_k").over(w), "mean": F.sum("_s").over(w)})
+    counts = counts.withColumn("mean", F.col("mean") / F.col("n"))
+    place = {name: F.lit(q) * (F.col("n") - 1) for name, q in qs.items()}
+    ends = [(name, side, r(p).cast("long")) for name, p in place.items() for side, r in (("lo", F.floor), ("hi", F.ceil))]
+    asked = F.lit(False)
+    for _, _, r in ends:
+        asked = asked | ((F.col("_below") <= r) & (r < F.col("_below") + F.col("_k")))
+    met = xs.join(counts.where(asked).select(*by, "_b", "_below", "n", "mean"), [*by, "_b"]).groupBy(*by, "_b", "_below", "n", "mean", "_x").agg(F.count(F.lit(1)).alias("_k"))
+    upto = F.sum("_k").over(Window.partitionBy(*by, "_b").orderBy("_x")) + F.col("_below")
+    met = met.withColumn("_upto", upto).withColumn("_from", upto - F.col("_k"))
+    found = met.groupBy(*by).agg(F.max("n").alias("n"), F.max("mean").alias("mean"), *[F.max(F.when((F.col("_from") <= r) & (r < F.col("_upto")), F.col("_x"))).alias(f"{name}|{side}") for name, side, r in ends])
+    between = {name: F.col(f"{name}|lo") + (F.col(f"{name}|hi") - F.col(f"{name}|lo")) * (place[name] - F.floor(place[name])) for name in qs}
+    return found.select(*by, "n", "mean", *[v.alias(name) for name, v in between.items()])
 
 
 def relative_standing(long: DataFrame, group: str) -> DataFrame:
@@ -35,17 +61,23 @@ def relative_standing(long: DataFrame, group: str) -> DataFrame:
 def peers(members: DataFrame, series: DataFrame, key: str, time: str, value: str, size: str, groups: tuple[str, str], most: int, max_log_ratio: float, least_overlap: int, weights: tuple[float, float]) -> DataFrame:
     """(key, peer, rank, narrow_match, log_ratio, correlation, score): the most similar members.
 
-    Candidates share the narrow group, or, where it offers fewer than `most`, the wide
-    one, and are of like size. Correlations are taken over common times of candidate
-    pairs only: no wide matrix is built.
+    Candidates share the narrow group and are of like size; a member whose narrow group offers fewer than
+    `most` takes those of the wide one instead, matches in the narrow group first. Both joins are on the group and a
+    band of size, and only members that need it are joined by the wide group. Correlations are taken over common times of candidate
+    pairs only: no wide matrix is built. Members without a positive size or a wide group have no peers and are none.
     """
     wide, narrow = groups
     a = members.select(F.col(key).alias("key"), F.col(wide).alias("w"), F.col(narrow).alias("n"), F.col(size).alias("s")).where("s > 0 and w is not null")
-    b = a.select(F.col("key").alias("peer"), "w", F.col("n").alias("pn"), F.col("s").alias("ps"))
-    pairs = a.join(b, "w").where("key != peer").withColumn("log_ratio", F.log10(F.col("ps") / F.col("s"))).where(F.abs("log_ratio") <= max_log_ratio)
-    pairs = pairs.withColumn("narrow_match", F.coalesce(F.col("n") == F.col("pn"), F.lit(False)))
-    enough = F.sum(F.col("narrow_match").cast("int")).over(Window.partitionBy("key")) >= most
-    pairs = pairs.withColumn("_narrow", enough).where(~F.col("_narrow") | F.col("narrow_match"))
+    a = a.withColumn("_band", F.floor(F.log10("s") / max_log_ratio))
+    b = a.select(F.col("key").alias("peer"), F.col("w").alias("pw"), F.col("n").alias("pn"), F.col("s").alias("ps"), F.explode(F.array(F.col("_band") - 1, F.col("_band"), F.col("_band") + 1)).alias("_pband"))
+    def candidates(of: DataFrame, group: str, other: str) -> DataFrame:
+        met = of.join(b, (F.col(group) == F.col(other)) & (F.col("_band") == F.col("_pband"))).where("key != peer")
+        met = met.withColumn("log_ratio", F.log10(F.col("ps") / F.col("s"))).where(F.abs("log_ratio") <= max_log_ratio)
+        return met.select("key", "peer", "log_ratio", F.coalesce(F.col("n") == F.col("pn"), F.lit(False)).alias("narrow_match"))
+    close = candidates(a, "n", "pn").withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy("key"))).where(F.col("_k") >= most).drop("_k")
+    close = materialise(close, "close-candidates")
+    thin = a.join(close.select("key").distinct(), "key", "left_anti")
+    pairs = materialise(close.unionByName(candidates(thin, "w", "pw")), "candidates")
     x = series.select(F.col(key).alias("key"), F.col(time).alias("t"), F.col(value).alias("x"))
     y = x.select(F.col("key").alias("peer"), "t", F.col("x").alias("y"))
     # a symmetric measure: each unordered pair once

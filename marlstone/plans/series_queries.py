@@ -109,7 +109,7 @@ def _ohlc(spark, d):
 
 
 def _indicators(spark, d, *names):
-    out = ts.indicators(_ohlc(spark, d), "symbol", "trade_date", "close", "high", "low", "adjusted_close")
+    out = ts.with_indicators(_ohlc(spark, d), "symbol", "trade_date", "close", "high", "low", "adjusted_close")
     return out.select("symbol", "trade_date", *[F.round(n, 4).alias(n) for n in names])
 
 

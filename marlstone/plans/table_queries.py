@@ -45,23 +45,23 @@ def lookback_signals(spark, d):
     ).withColumnsRenamed({"k": "supplier", "at": "as_of_date"}).drop("block")
 
 
-_DIM = """dim as (select * from (select *, upper(trim(symbol)) key from dim_company) where key is not null and key not in ('', 'NONE', 'NULL')
+DIM = """dim as (select * from (select *, upper(trim(symbol)) key from dim_company) where key is not null and key not in ('', 'NONE', 'NULL')
  qualify row_number() over (partition by key order by snapshot_date desc, last_updated desc, load_id desc, name desc nulls last) = 1)"""
 
 
-def _dim(spark, d) -> DataFrame:
+def companies(spark, d) -> DataFrame:
     df = table(spark, d, "dim_company").withColumn("key", F.upper(clean.token("symbol"))).where("key is not null")
     return rel.latest_by(df, ["key"], [F.desc("snapshot_date"), F.desc("last_updated"), F.desc("load_id"), F.desc_nulls_last("name")])
 
 
 @query(
-    f"""with {_DIM}, {PX}, last as (select symbol, max(trade_date) d, max_by(close, trade_date) c from px group by 1)
+    f"""with {DIM}, {PX}, last as (select symbol, max(trade_date) d, max_by(close, trade_date) c from px group by 1)
 select key as symbol, coalesce(case when upper(trim(name)) not in ('', 'NONE', 'NULL') then trim(name) end, key) as name, c * shares_outstanding as cap, l.d as priced_on from dim left join last l on l.symbol = key"""
 )
 def dimension_spine(spark, d):
     """The dimension, kept whole, beside the latest price; blanks filled from a second source."""
     last = prices(spark, d).groupBy(F.col("symbol").alias("key")).agg(F.max("trade_date").alias("priced_on"), F.max_by("close", "trade_date").alias("c"))
-    return _dim(spark, d).join(last, "key", "left").select(F.col("key").alias("symbol"), F.coalesce(clean.first_truthy("name"), "key").alias("name"), (F.col("c") * F.col("shares_outstanding")).alias("cap"), "priced_on")
+    return companies(spark, d).join(last, "key", "left").select(F.col("key").alias("symbol"), F.coalesce(clean.first_truthy("name"), "key").alias("name"), (F.col("c") * F.col("shares_outstanding")).alias("cap"), "priced_on")
 
 
 @query("select * from (select symbol, snapshot_date, name from dim_company where ipo_date <= snapshot_date and (delisted_date is null or delisted_date > snapshot_date))")
@@ -364,7 +364,7 @@ def scalar_functions(spark, d):
 
 
 @query(
-    f"""with {_DIM}, p as (select symbol, min(trade_date) lo, max(trade_date) hi, count(distinct trade_date) n from fact_daily_prices where trade_date is not null group by 1),
+    f"""with {DIM}, p as (select symbol, min(trade_date) lo, max(trade_date) hi, count(distinct trade_date) n from fact_daily_prices where trade_date is not null group by 1),
  a as (select key as symbol, greatest(coalesce(ipo_date, date '2023-06-01'), date '2023-06-01') wanted, lo, hi, coalesce(n, 0) n from dim left join p on p.symbol = key)
 select symbol, wanted as wanted_from, lo as first_date, hi as last_date, n as observed, n = 0 as missing, greatest(coalesce(lo - wanted, 0), 0)::int as start_gap,
  case when n = 0 then 'no data' when lo > wanted + 30 then 'starts late' when hi < date '2024-06-01' then 'ends early' else 'covered' end as cause from a"""
@@ -372,7 +372,7 @@ select symbol, wanted as wanted_from, lo as first_date, hi as last_date, n as ob
 def coverage_audit(spark, d):
     p = table(spark, d, "fact_daily_prices").where("trade_date is not null").groupBy(F.col("symbol").alias("key")).agg(F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"), F.count_distinct("trade_date").alias("n"))
     floor = F.lit("2023-06-01").cast("date")
-    a = _dim(spark, d).join(p, "key", "left").select(F.col("key").alias("symbol"), F.greatest(F.coalesce("ipo_date", floor), floor).alias("wanted_from"), F.col("lo").alias("first_date"), F.col("hi").alias("last_date"), F.coalesce("n", F.lit(0)).alias("observed"))
+    a = companies(spark, d).join(p, "key", "left").select(F.col("key").alias("symbol"), F.greatest(F.coalesce("ipo_date", floor), floor).alias("wanted_from"), F.col("lo").alias("first_date"), F.col("hi").alias("last_date"), F.coalesce("n", F.lit(0)).alias("observed"))
     cause = F.when(F.col("observed") == 0, "no data").when(F.col("first_date") > F.date_add("wanted_from", 30), "starts late").when(F.col("last_date") < F.lit("2024-06-01").cast("date"), "ends early").otherwise("covered")
     return a.withColumns({"missing": F.col("observed") == 0, "start_gap": F.greatest(F.coalesce(F.datediff("first_date", "wanted_from"), F.lit(0)), F.lit(0)), "cause": cause})
 

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from marlstone.session import guard
+
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    guard(spark)
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
