@@ -69,7 +69,11 @@ def short_number(x: Column) -> Column:
     return F.coalesce(out, F.when(x.isNotNull(), F.format_string("%.1f", x)))
 
 
-def jitter_days(key: Column | str, ttl: int, fraction: float = 0.15, least_ttl: int = 20) -> Column:
+# The share of a term that may vary, and the shortest term that does.
+JITTER, LEAST_TTL = 0.15, 20
+
+
+def jitter_days(key: Column | str, ttl: int, fraction: float = JITTER, least_ttl: int = LEAST_TTL) -> Column:
     """A whole number in [-m, m], m = round(ttl * fraction), fixed by the key; none for short terms."""
     if ttl < least_ttl:
         return F.lit(0)
@@ -77,6 +81,14 @@ def jitter_days(key: Column | str, ttl: int, fraction: float = 0.15, least_ttl:
     return (F.pmod(F.crc32(F.encode(key, "utf-8")), F.lit(2 * m + 1)) - m).cast("int")
 
 
+def symbol_list(symbols: Sequence[str]) -> list[str]:
+    """Symbols fit for an IN list: letters and digits, with dots and dashes between; others are refused."""
+    for s in symbols:
+        if not s.replace(".", "").replace("-", "").isalnum():
+            raise ValueError(f"not a symbol: {s!r}")
+    return list(symbols)
+
+
 def none_counts(schema: Sequence[tuple[str, str]]) -> list[Column]:
     """Per text column the number of rows with the text None."""
     return [F.count_if(F.col(f"`{n}`") == "None").alias(n) for n, t in schema if t == "string"]

@@ -108,6 +108,13 @@ def not_yet(new: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
     return new.join(done.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def deep_enough(first: DataFrame, listed: DataFrame, key: str, first_date: str, listing_date: str, floor: str) -> DataFrame:
+    """first with listing_date and skip: whether a series reaches back to `floor` or to its listing, so a full load has nothing to add."""
+    out = first.join(listed.select(key, listing_date), key, "left")
+    deep = (F.col(first_date) <= F.lit(floor).cast("date")) | F.coalesce(F.col(first_date) <= F.col(listing_date), F.lit(False))
+    return out.withColumn("skip", deep)
+
+
 def above_high_water(new: DataFrame, done: DataFrame, mark: str) -> DataFrame:
     """Rows beyond the greatest mark so far; all, if there is none. The mark is a scalar subquery's
     one row, so nothing is read twice and no value travels through the driver."""

@@ -218,6 +218,26 @@ def peer_sets(companies: DataFrame, returns: DataFrame, today: str) -> DataFrame
     return out.select(F.col("key").alias("symbol"), F.col("rank").cast("long").alias("peer_rank"), F.col("peer").alias("peer_symbol"), "peer_name", F.col("narrow_match").alias("industry_match"), F.col("log_ratio").alias("log_cap_ratio"), F.col("correlation").alias("return_corr_2y"), "score")
 
 
+def peers_or_fallback(wanted: DataFrame, candidates: DataFrame, sets: DataFrame, override: Sequence[str] = (), most: int = PEERS) -> DataFrame:
+    """(symbol, peer_symbol, place, source) for one company (symbol, sector, industry, size): a list given by hand, else its
+    stored set, else the candidates of its industry, then its sector, whose size is nearest."""
+    me = wanted.limit(1)
+    by_hand = [s.upper() for s in override][:most]
+    if by_hand:
+        rows = F.posexplode(F.array(*[F.lit(s) for s in by_hand])).alias("_at", "peer_symbol")
+        return me.select("symbol", rows).select("symbol", "peer_symbol", (F.col("_at") + 1).cast("long").alias("place"), F.lit("by hand").alias("source"))
+    mine = F.broadcast(me)  # one row
+    stored = sets.join(mine.select("symbol"), "symbol").where(F.col("peer_rank") <= most).select("symbol", "peer_symbol", F.col("peer_rank").cast("long").alias("place"), F.lit("stored").alias("source"))
+    alone = me.join(sets.select("symbol").distinct(), "symbol", "left_anti")
+    own = alone.select("symbol", F.col("sector").alias("_sector"), F.col("industry").alias("_industry"), F.col("size").alias("_size"))
+    same = F.coalesce(F.col("industry") == F.col("_industry"), F.lit(False))
+    near = candidates.select(F.col("symbol").alias("peer_symbol"), "sector", "industry", "size").crossJoin(F.broadcast(own)).where(F.col("peer_symbol") != F.col("symbol"))
+    near = near.withColumns({"_same": same, "_far": F.round(F.abs(F.log10(F.col("size") / F.col("_size"))), 9)}).where((F.col("_far") <= MAX_LOG_RATIO) & (F.col("_same") | (F.col("sector") == F.col("_sector"))))
+    top = near.orderBy(F.desc("_same"), "_far", "peer_symbol").limit(most)
+    place = F.row_number().over(Window.partitionBy("symbol").orderBy(F.desc("_same"), "_far", "peer_symbol")).cast("long")
+    return stored.unionByName(top.select("symbol", "peer_symbol", place.alias("place"), F.lit("inline").alias("source")))
+
+
 # texts ----------------------------------------------------------------------------------------------
 
 

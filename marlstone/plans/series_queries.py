@@ -46,9 +46,9 @@ def latest_snapshot_dedup(spark, d):
     return daily(spark, d).select("row_id", "symbol", "trade_date", "pull_date", "volume")
 
 
-@query(f"with {PX} select symbol, trade_date, " + ", ".join(f"round(x / nullif(lag(x, {k}) over w, 0) - 1, 8) as return_{k}" for k in (1, 5, 21, 63, 126, 200)) + f" from px {BY}")
+@query(f"with {PX} select symbol, trade_date, " + ", ".join(f"round(x / nullif(lag(x, {k}) over w, 0) - 1, 8) as return_{k}" for k in (1, 5, 21, 63, 126, 200, 252)) + f" from px {BY}")
 def period_returns(spark, d):
-    return prices(spark, d).select("symbol", "trade_date", *[F.round(ts.change(F.col("x"), _w(), k), 8).alias(f"return_{k}") for k in (1, 5, 21, 63, 126, 200)])
+    return prices(spark, d).select("symbol", "trade_date", *[F.round(ts.change(F.col("x"), _w(), k), 8).alias(f"return_{k}") for k in (1, 5, 21, 63, 126, 200, 252)])
 
 
 @query(
@@ -149,16 +149,16 @@ BENCHMARK = "IDXBM"
 
 
 @query(
-    f"""with {PX}, r as (select symbol, trade_date, {', '.join(f"x / nullif(lag(x, {k}) over w, 0) - 1 r{k}" for k in (63, 126))} from px {BY}),
- b as (select trade_date, r63 b63, r126 b126 from r where symbol = '{BENCHMARK}')
-select symbol, trade_date, round((1 + r63) / nullif(1 + b63, 0) - 1, 8) as strength_63, round((1 + r126) / nullif(1 + b126, 0) - 1, 8) as strength_126 from r left join b using (trade_date)"""
+    f"""with {PX}, r as (select symbol, trade_date, {', '.join(f"x / nullif(lag(x, {k}) over w, 0) - 1 r{k}" for k in (63, 126, 252))} from px {BY}),
+ b as (select trade_date, r63 b63, r126 b126, r252 b252 from r where symbol = '{BENCHMARK}')
+select symbol, trade_date, round((1 + r63) / nullif(1 + b63, 0) - 1, 8) as strength_63, round((1 + r126) / nullif(1 + b126, 0) - 1, 8) as strength_126, round((1 + r252) / nullif(1 + b252, 0) - 1, 8) as strength_252 from r left join b using (trade_date)"""
 )
 def relative_strength(spark, d):
-    r = prices(spark, d).select("symbol", "trade_date", *[ts.change(F.col("x"), _w(), k).alias(f"r{k}") for k in (63, 126)])
+    r = prices(spark, d).select("symbol", "trade_date", *[ts.change(F.col("x"), _w(), k).alias(f"r{k}") for k in (63, 126, 252)])
     # one row per day, whatever the number of symbols; the planner broadcasts it when its size allows
-    b = r.where(F.col("symbol") == BENCHMARK).select("trade_date", F.col("r63").alias("b63"), F.col("r126").alias("b126"))
+    b = r.where(F.col("symbol") == BENCHMARK).select("trade_date", F.col("r63").alias("b63"), F.col("r126").alias("b126"), F.col("r252").alias("b252"))
     j = r.join(b, "trade_date", "left")
-    return j.select("symbol", "trade_date", *[F.round(ratio(1 + F.col(f"r{k}"), 1 + F.col(f"b{k}")) - 1, 8).alias(f"strength_{k}") for k in (63, 126)])
+    return j.select("symbol", "trade_date", *[F.round(ratio(1 + F.col(f"r{k}"), 1 + F.col(f"b{k}")) - 1, 8).alias(f"strength_{k}") for k in (63, 126, 252)])
 
 
 @query(f"with {PX} select symbol, trade_date, round(x / first_value(x) over (partition by symbol order by trade_date) * 100, 6) as base100 from px where x is not null")

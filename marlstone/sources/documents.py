@@ -181,6 +181,11 @@ def parse(files: DataFrame, spec: Rows, keep: Sequence[str] = ("symbol", "pull_d
     return out
 
 
+def first_listed(rows: DataFrame, keys: Sequence[str], place: str = "place") -> DataFrame:
+    """The row that comes first in its list; of lists that run newest first, the latest."""
+    return latest_by(rows, keys, [F.asc(place)])
+
+
 def news_tickers(files: DataFrame) -> DataFrame:
     """url, ticker, relevance, score, label: the second level of a feed; each (url, ticker) once, the latest pull's."""
     inner = f"struct<url: string, `{TICKERS}`: array<struct<ticker: string, relevance_score: string, ticker_sentiment_score: string, ticker_sentiment_label: string>>>"

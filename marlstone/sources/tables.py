@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +26,9 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return bool(spark.read.parquet(path).columns)
     except AnalysisException:
         return False
+
+
+def register_views(spark: SparkSession, root: str, names: Sequence[str]) -> None:
+    """Tables as temporary views of their names, for SQL texts."""
+    for name in names:
+        table(spark, root, name).createOrReplaceTempView(name)
