@@ -1,7 +1,7 @@
 """Totals over trailing calendar periods, held as a versioned daily state.
 
-The state has one row per entity and calendar day. Day d follows from day d-1
-by one step:
+The state has one row per entity and calendar day; its version is the greatest of the ledger rows up to that day,
+or of a later correction that reached it. Day d follows from day d-1 by one step:
 
     total(d) = total(d-1) + arrival(d) - arrival(d-W)
 
@@ -142,7 +142,7 @@ def build(book: DataFrame, measures: Sequence[Measure], through: Column | None =
     dense = dense.withColumn("_day", F.explode(F.sequence("day", "_until")))
     arrived = F.col("_day") == F.col("day")
     flows_in = [(m, p, f"{m.name}|{p}", c) for m in measures for p, c in _parts(m)]
-    marks = [F.when(arrived & stale, 1).alias("_stale")] if stale is not None else []
+    marks = [F.when(arrived & stale, F.col("_day")).alias("_stale")] if stale is not None else []
     dense = dense.select(
         "entity",
         F.col("_day").alias("day"),
@@ -154,9 +154,9 @@ def build(book: DataFrame, measures: Sequence[Measure], through: Column | None =
     running = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     flows = [(F.col(f"{m.name}|{p}") - F.coalesce(F.lag(f"{m.name}|{p}", w).over(by_day), F.lit(0).cast(m.kind(p)))).cast(m.kind(p)).alias(f"flow_{c}") for m, w, p, c in _totals(measures)]
     totals = [F.sum(f"flow_{c}").over(running).cast(m.kind(p)).alias(c) for m, w, p, c in _totals(measures)]
-    recent = by_day.rowsBetween(-(reach - 1), Window.currentRow)
-    reached = [F.max("_stale").over(recent).isNotNull().alias("stale")] if stale is not None else []
-    return dense.select("*", *flows).select(*KEYS, "live", F.max("_v").over(recent).alias("version"), *totals, *reached)
+    # only frames that grow: one that slides is added up anew for each row
+    reached = [F.coalesce(F.datediff("day", F.max("_stale").over(running)) < reach, F.lit(False)).alias("stale")] if stale is not None else []
+    return dense.select("*", *flows).select(*KEYS, "live", F.max("_v").over(running).alias("version"), *totals, *reached)
 
 
 def advance(state: DataFrame, book: DataFrame, day: Column, measures: Sequence[Measure]) -> DataFrame:
@@ -202,7 +202,8 @@ def _moved(measures: Sequence[Measure]) -> Column:
 def _amended(effects: DataFrame, rows: DataFrame, measures: Sequence[Measure], how: str) -> DataFrame:
     """The reached rows with the effects added and the new version."""
     old = rows.select(*KEYS, F.col("live"), F.col("version").alias("_v"), *[F.col(c).alias(f"old_{c}") for c in state_columns(measures)])
-    met = effects.join(old, KEYS, how)
+    # days of an entity shrink to little when shuffled: no side is to be broadcast for that
+    met = effects.join(old.hint("merge"), KEYS, how)
     def added(m: Measure, p: str, c: str) -> Column:
         return (F.coalesce(F.col(f"old_{c}"), F.lit(0)) + F.coalesce(F.col(c), F.lit(0))).cast(m.kind(p)).alias(c)
     return met.select(*KEYS, "live", F.coalesce(F.greatest("version", "_v"), "version", "_v").alias("version"), *[added(m, p, c) for m, _, p, c in _totals(measures)])
@@ -268,11 +269,11 @@ def maintain(df: DataFrame, entity: str, day: str, measures: Sequence[Measure],
     today = F.lit(last).cast("date")
     rows = f"{path}/rows"
     first = build(in_time, measures, F.date_sub(today, 1), F.col("changed"))
-    first.write.partitionBy("stale").parquet(rows)
+    first.write.parquet(rows)
     stored = spark.read.schema(first.schema).parquet(rows)
     reached = book.where(F.col("changed") & (F.col("day") > F.date_sub(today, _reach(measures)))).select("entity", F.lit(True).alias("stale")).distinct()
     step = advance(stored, in_time, today, measures).join(reached, "entity", "left").withColumn("stale", F.coalesce("stale", F.lit(False)))
-    step.write.partitionBy("stale").mode("append").parquet(rows)
+    step.select(*first.columns).write.mode("append").parquet(rows)
     effects = _effects(book.where("changed"), measures)
     cols = [*KEYS, "live", "version", *state_columns(measures)]
     stored = spark.read.schema(first.schema).parquet(rows)

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -129,7 +130,7 @@ def test_unreached_rows_pass_without_a_shuffle(spark):
     late = F.datediff("pulled", "d") > 10
     out = rs.maintain(spark.createDataFrame(rows(), SCHEMA), "sym", "d", measures(), [F.col("pulled")], F.col("pulled"), late)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    scan = next(line for line in plan.splitlines() if "PartitionFilters" in line and "NOT stale" in line)
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and re.search(r"DataFilters: \[[^\]]*NOT stale", line))
     depth = scan.index("FileScan")
     above = [line for line in plan[: plan.index(scan)].splitlines() if "Exchange" in line and len(line) - len(line.lstrip(" :+-")) < depth]
     assert not above
