@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 POWERS = (1, 2, 3)
 #: Relative width of a bucket, and what keeps the bucket numbers of small values positive.
-WIDTH = 0.01
+WIDTH = 0.05
 SHIFT = 1 << 20
 COUNTED = ("n", "nulls", "s0", "big")
 RESERVED = {"column_name", "bucket", "key", "lo", "hi", *COUNTED}

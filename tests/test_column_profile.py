@@ -37,7 +37,7 @@ def test_counts_and_exact_sums(spark, distinct):
         assert [int(p.s1), int(p.s2), int(p.s3)] == [sum(t**k for t in ticks) for k in (1, 2, 3)]
         mean, sd = statistics.mean(good), statistics.pstdev(good)
         assert p["mean"] == pytest.approx(mean) and p.sd == pytest.approx(sd) and p["skew"] == pytest.approx(sum(((v - mean) / sd) ** 3 for v in good) / len(good))
-        assert (p.lo, p.hi) == (min(good), max(good)) and p.med_lo <= statistics.median(good) <= p.med_hi <= p.med_lo * 1.03
+        assert (p.lo, p.hi) == (min(good), max(good)) and p.med_lo <= statistics.median(good) <= p.med_hi <= p.med_lo * 1.11
         assert p.n_distinct == (len({str(r[1]) for r in mine if r[1] is not None}) if distinct else None)
         texts = [r[2] for r in mine if r[2] is not None]
         t = out[load, "s"]
