@@ -41,7 +41,7 @@ from marlstone.session import materialise, sized, spread
 LENGTH = 12
 WITHIN = 20
 #: Words of a block.
-BLOCK = 1 << 19
+BLOCK = 1 << 21
 #: Words of the items of one search at most; more are searched in several.
 MOST_WORDS = 5_000_000
 
