@@ -70,33 +70,36 @@ def ewm(x: np.ndarray, alpha: float, least: int) -> np.ndarray:
 INDICATORS = "ema_12 double, ema_26 double, macd double, macd_signal double, macd_hist double, rsi_14 double, atr_14 double"
 
 
-def with_indicators(df: DataFrame, key: str, time: str, close: str, high: str, low: str, adjusted: str, keep: Sequence[str] = ()) -> DataFrame:
-    """key, time, the columns to keep and the recursive indicators; df holds (key, time) once.
+def with_indicators(df: DataFrame, key: str, time: str, close: str, high: str, low: str, adjusted: str, keep: Sequence[str] = (), names: Sequence[str] = tuple(c.split()[0] for c in INDICATORS.split(", "))) -> DataFrame:
+    """key, time, the columns to keep and the recursive indicators named; df holds (key, time) once.
 
     A recursion has no frame, so the rows of a key are folded in one Arrow batch;
     there is at most one row per key and day. An average loss of zero leaves the
     strength index null. The first true range is high less low.
     """
-    kinds = dict(df.dtypes)
+    kinds, asked = dict(df.dtypes), set(names)
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(time, kind="stable")
-        a = g["_a"].to_numpy(float)
         out = g[[key, time, *keep]].copy()
-        e12, e26 = ewm(a, 2 / 13, 12), ewm(a, 2 / 27, 26)
-        macd = e12 - e26
-        signal = ewm(macd, 2 / 10, 9)
-        step = np.diff(a, prepend=np.nan)
-        gain, loss = ewm(np.where(np.isnan(step), np.nan, np.maximum(step, 0)), 1 / 14, 14), ewm(np.where(np.isnan(step), np.nan, np.maximum(-step, 0)), 1 / 14, 14)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            rsi = np.where(loss == 0, np.nan, 100 - 100 / (1 + gain / loss))
-        before = np.concatenate([[np.nan], g["_c"].to_numpy(float)[:-1]]) if len(g) else a
-        h, lo = g["_h"].to_numpy(float), g["_l"].to_numpy(float)
-        true_range = np.fmax(np.fmax(np.abs(h - lo), np.abs(h - before)), np.abs(lo - before))
-        for name, v in (("ema_12", e12), ("ema_26", e26), ("macd", macd), ("macd_signal", signal), ("macd_hist", macd - signal), ("rsi_14", rsi), ("atr_14", ewm(true_range, 1 / 14, 14))):
-            out[name] = v
-        return out
+        made: dict[str, np.ndarray] = {}
+        a = g["_a"].to_numpy(float)
+        if asked & {"ema_12", "ema_26", "macd", "macd_signal", "macd_hist"}:
+            made["ema_12"], made["ema_26"] = ewm(a, 2 / 13, 12), ewm(a, 2 / 27, 26)
+            made["macd"] = made["ema_12"] - made["ema_26"]
+            made["macd_signal"] = ewm(made["macd"], 2 / 10, 9)
+            made["macd_hist"] = made["macd"] - made["macd_signal"]
+        if "rsi_14" in asked:
+            step = np.diff(a, prepend=np.nan)
+            gain, loss = (ewm(np.where(np.isnan(step), np.nan, np.maximum(x, 0)), 1 / 14, 14) for x in (step, -step))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                made["rsi_14"] = np.where(loss == 0, np.nan, 100 - 100 / (1 + gain / loss))
+        if "atr_14" in asked:
+            before = np.concatenate([[np.nan], g["_c"].to_numpy(float)[:-1]]) if len(g) else a
+            h, lo = g["_h"].to_numpy(float), g["_l"].to_numpy(float)
+            made["atr_14"] = ewm(np.fmax(np.fmax(np.abs(h - lo), np.abs(h - before)), np.abs(lo - before)), 1 / 14, 14)
+        return out.assign(**{n: made[n] for n in names})
 
     narrow = df.select(key, time, *keep, F.col(adjusted).cast("double").alias("_a"), F.col(high).cast("double").alias("_h"), F.col(low).cast("double").alias("_l"), F.col(close).cast("double").alias("_c"))
-    out = narrow.groupBy(key).applyInPandas(run, ", ".join(f"`{c}` {kinds[c]}" for c in (key, time, *keep)) + f", {INDICATORS}")
-    return out.select(key, time, *keep, *[F.nanvl(F.col(c.split()[0]), F.lit(None).cast("double")).alias(c.split()[0]) for c in INDICATORS.split(", ")])
+    out = narrow.groupBy(key).applyInPandas(run, ", ".join(f"`{c}` {kinds[c]}" for c in (key, time, *keep)) + "".join(f", {n} double" for n in names))
+    return out.select(key, time, *keep, *[F.nanvl(F.col(n), F.lit(None).cast("double")).alias(n) for n in names])

@@ -110,7 +110,7 @@ _PRICED = f"""{DP}, c0 as (select symbol, trade_date, open, high, low, close, ad
  c4 as (select *, list(macd) filter (macd is not null) over w ms from c3 window w as (partition by symbol order by trade_date)),
  c5 as (select *, case when n >= 34 then {_fold('ms', 2 / 10)} end macd_signal, case when n >= 15 then {_fold('ups', 1 / 14)} end up, case when n >= 15 then {_fold('downs', 1 / 14)} end down from c4),
  bench as (select trade_date, return_63d b63, return_126d b126, return_252d b252 from c1 where symbol = '{BENCHMARK}')"""
-_WIDTHS = {c: 4 for c in ("ema_12", "ema_26", "macd", "macd_signal", "macd_hist", "rsi_14", "atr_14", "bb_pct_b")} | {"dollar_volume": 2, "volume_avg_20d": 4, "volatility_30d": 3, "volatility_90d": 3, "volume_ratio_20d": 5} | {c: 6 for c in ("bb_upper", "bb_lower", "rel_strength_3m", "rel_strength_6m", "rel_strength_12m")} | {"sma_200": 7}
+_WIDTHS = {c: 4 for c in ("ema_12", "ema_26", "macd", "macd_signal", "macd_hist", "rsi_14", "atr_14", "bb_pct_b")} | {"dollar_volume": 2, "volume_avg_20d": 4, "volatility_30d": 3, "volatility_90d": 3, "volume_ratio_20d": 5} | {c: 6 for c in ("bb_upper", "bb_lower", "rel_strength_3m", "rel_strength_6m", "rel_strength_12m")} | {"sma_200": 10}
 _COLUMNS = {
     **{n: n for n in _RETURNS}, "volatility_30d": "volatility_30d", "volatility_90d": "volatility_90d", "dollar_volume": "dollar_volume", "volume_avg_20d": "volume_avg_20d", "volume_ratio_20d": "v / nullif(volume_avg_20d, 0)",
     "high_52w": "high_52w", "low_52w": "low_52w", "pct_off_52w_high": "(x - high_52w) / nullif(high_52w, 0)", "pct_off_52w_low": "(x - low_52w) / nullif(low_52w, 0)", "drawdown_from_52w_high": "(x - high_52w) / nullif(high_52w, 0)",

@@ -86,6 +86,25 @@ def fundamentals_wide(income: DataFrame, balance: DataFrame, cash: DataFrame, ea
     return wide.withColumns(latest | {"eps_cagr_as_of": as_of}).drop("_eps_5y", "_eps_3y")
 
 
+def analyst_ratios() -> dict[str, Column]:
+    """Liquidity and investment beside the ratios of the wide table; missing cash counts as 0 only if the other part is there."""
+    cash, invested = _zero("cash_and_equivalents", "short_term_investments")
+    held = F.coalesce("cash_and_equivalents", "short_term_investments").isNotNull()
+    return {
+        "current_ratio": ratio("current_assets", "current_liabilities"),
+        "cash_and_investments": F.when(held, cash + invested),
+        "capex_pct_of_revenue": ratio(F.abs("capex") * 100.0, F.col("total_revenue")),
+        "fcf_pct_of_revenue": ratio(F.col("free_cash_flow") * 100.0, F.col("total_revenue")),
+    }
+
+
+def insider_label(large: Column, cluster: Column) -> Column:
+    """A label of a transaction (executive_title, bought, usd): the last rule that holds, and a mark if three or more bought within the month."""
+    chief, buys = F.coalesce("executive_title", F.lit("")).rlike(CHIEFS), F.col("bought")
+    label = F.when(buys & chief, "chief buys").when(buys & (F.col("usd") >= large), "large buy").when(~buys & (F.col("usd") >= large), "large sale")
+    return F.when(label.isNotNull(), F.concat(label, F.when(buys & cluster, " + cluster buy").otherwise("")))
+
+
 # prices ---------------------------------------------------------------------------------------------
 
 

@@ -32,9 +32,10 @@ def fundamentals(spark: SparkSession, d: str) -> DataFrame:
     return latest_by(table(spark, d, "fact_fundamentals_wide"), ["symbol", "fiscal_date_ending", "period_type"], [F.desc("pull_date"), F.desc("gold_built_utc")], cluster=["symbol"])
 
 
-def daily(spark: SparkSession, d: str, cluster: bool = False) -> DataFrame:
+def daily(spark: SparkSession, d: str) -> DataFrame:
+    """The last pull of each day; re-pulls are dropped before the exchange, so a symbol that holds many of them doesn't travel whole."""
     df = table(spark, d, "fact_daily_prices").where("symbol is not null and trade_date is not null")
-    return latest_by(df, ["symbol", "trade_date"], [F.desc("pull_date"), F.desc("row_id")], cluster=["symbol"] if cluster else ())
+    return latest_by(df, ["symbol", "trade_date"], [F.desc("pull_date"), F.desc("row_id")])
 
 
 def _w():
@@ -105,11 +106,11 @@ _CLEAN = """c as (select symbol, trade_date, adjusted_close::double x, high h, l
 
 def _ohlc(spark, d):
     ok = " and ".join(f"{c} > 0 and not isnan({c})" for c in ("adjusted_close", "high", "low", "close"))
-    return daily(spark, d, cluster=True).where(f"{ok} and adjusted_close < 100000").select("symbol", "trade_date", "adjusted_close", "high", "low", "close")
+    return daily(spark, d).where(f"{ok} and adjusted_close < 100000").select("symbol", "trade_date", "adjusted_close", "high", "low", "close")
 
 
 def _indicators(spark, d, *names):
-    out = ts.with_indicators(_ohlc(spark, d), "symbol", "trade_date", "close", "high", "low", "adjusted_close")
+    out = ts.with_indicators(_ohlc(spark, d), "symbol", "trade_date", "close", "high", "low", "adjusted_close", names=names)
     return out.select("symbol", "trade_date", *[F.round(n, 4).alias(n) for n in names])
 
 

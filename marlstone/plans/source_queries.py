@@ -7,14 +7,18 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marlstone.functions import clean
+from marlstone.operators import cross_section as cs
 from marlstone.operators import relational as rel
+from marlstone.operators import series as ts
 from marlstone.plans import composites as cp
 from marlstone.plans.registry import Registry
-from marlstone.plans.series_queries import BENCHMARK
+from marlstone.plans.series_queries import BENCHMARK, DP
 from marlstone.plans.table_queries import DIM, companies, coverage_audit
 from marlstone.plans.table_queries import query as tables
 from marlstone.quality import checks
+from marlstone.session import fresh_path
 from marlstone.sources import documents as docs
+from marlstone.sources import storage
 from marlstone.sources.tables import register_views, table
 
 query = Registry()
@@ -163,3 +167,154 @@ def peer_fallback(spark, d):
     first = m.where("sector is not null").orderBy("symbol").limit(1)
     none = spark.createDataFrame([], "symbol string, peer_symbol string, peer_rank long")
     return cp.peers_or_fallback(first, m, none)
+
+
+# sinks ----------------------------------------------------------------------------------------------
+
+_DAY_KEYS = ["symbol", "trade_date"]
+
+
+def _rows(spark, d):
+    return table(spark, d, "fact_daily_prices").where("symbol is not null and trade_date is not null").select("row_id", "symbol", "trade_date", "pull_date", F.year("trade_date").alias("year"))
+
+
+def _order():
+    return [F.desc("pull_date"), F.desc("row_id")]
+
+
+_LAST_ROWS = f"with {DP} select row_id, symbol, trade_date, pull_date, year(trade_date)::int as year from dp"
+
+
+@query(_LAST_ROWS)
+def sink_upsert(spark, d):
+    """A table written once, then met by a second batch, given twice."""
+    path, rows = fresh_path(spark, "sink"), _rows(spark, d)
+    rel.upsert_parquet(rows.where("row_id % 2 = 0"), path, _DAY_KEYS, _order())
+    for _ in range(2):
+        rel.upsert_parquet(rows.where("row_id % 2 = 1"), path, _DAY_KEYS, _order())
+    return spark.read.parquet(path)
+
+
+@query(_LAST_ROWS)
+def sink_upsert_partitions(spark, d):
+    """The same by year, where only the years of the second batch are read and rewritten."""
+    path, rows = fresh_path(spark, "sink"), _rows(spark, d)
+    rel.overwrite_partitions(rel.upsert(None, rows.where("row_id % 3 > 0"), _DAY_KEYS, _order()), path, "year")
+    rel.upsert_partitions(rows.where("row_id % 3 = 0"), path, _DAY_KEYS, _order(), "year")
+    return spark.read.parquet(path)
+
+
+@query(f"{_LAST_ROWS} union all select row_id, symbol, trade_date, pull_date, 1999 from dp where year(trade_date) = 2024")
+def sink_overwrite(spark, d):
+    """A whole table replaced by year folders, of which one is then replaced and one added."""
+    path, rows = fresh_path(spark, "sink"), rel.upsert(None, _rows(spark, d), _DAY_KEYS, _order())
+    rel.overwrite(rows.withColumn("row_id", F.lit(0).cast("long")), path, "year")
+    rel.overwrite(rows.where("year != 2024").unionByName(rows.where("year = 2024").limit(1)), path, "year")
+    late = rows.where("year = 2024")
+    rel.overwrite_partitions(late.unionByName(late.withColumn("year", F.lit(1999))), path, "year")
+    return spark.read.parquet(path)
+
+
+@query(_LAST_ROWS)
+def sink_dedup_rewrite(spark, d):
+    path = fresh_path(spark, "sink")
+    _rows(spark, d).write.parquet(path)
+    before, after = rel.dedup_rewrite(spark, path, _DAY_KEYS, _order())
+    if rel.dedup_rewrite(spark, path, _DAY_KEYS, _order()) != (after, after) or before < after:
+        raise AssertionError("a second rewrite changed the table")
+    return spark.read.parquet(path)
+
+
+@query("select distinct upper(trim(symbol)) as symbol from dim_company where lower(trim(listing_status)) = 'active' and trim(symbol) <> ''")
+def sink_csv(spark, d):
+    """Two CSV folders with different columns, read back as one table of text; the active symbols of it."""
+    paths, rows = [fresh_path(spark, "csv") for _ in range(2)], table(spark, d, "dim_company").select("symbol", F.trim("name").alias("name"), (F.lower(F.trim("listing_status")) == "active").cast("string").alias("active"), F.pmod("load_id", F.lit(2)).alias("side"))
+    storage.write_csv(rows.where("side = 0").select("symbol", "name", "active"), paths[0])
+    storage.write_csv(rows.where("side = 1").select("active", "symbol"), paths[1])
+    return docs.active_symbols(docs.read_csv(spark, *paths))
+
+
+# classification -------------------------------------------------------------------------------------
+
+
+@query(
+    f"""with {DIM}, p as (select distinct upper(trim(symbol)) symbol from fact_daily_prices where symbol is not null)
+select p.symbol, case when dim.key is null then 'not_in_listing' when coalesce(asset_type, '') <> 'Stock' then 'non_stock' when lower(trim(listing_status)) = 'delisted' then 'delisted' else 'keep' end as verdict from p left join dim on dim.key = p.symbol"""
+)
+def reconcile_universe(spark, d):
+    held = table(spark, d, "fact_daily_prices").where("symbol is not null").select(F.upper(F.trim("symbol")).alias("symbol")).distinct()
+    listed = companies(spark, d).select(F.col("key").alias("symbol"), "asset_type", "listing_status", F.lit(True).alias("known"))
+    verdict = F.when(F.col("known").isNull(), "not_in_listing").when(F.coalesce("asset_type", F.lit("")) != "Stock", "non_stock").when(F.lower(F.trim("listing_status")) == "delisted", "delisted").otherwise("keep")
+    return held.join(listed, "symbol", "left").select("symbol", verdict.alias("verdict"))
+
+
+_BALANCE_SQL = "select symbol, fiscal_date_ending, period_type, pull_date, gold_built_utc, total_revenue, free_cash_flow, operating_cashflow - free_cash_flow as capex, total_assets - total_equity as current_liabilities, floor(total_assets / 3.0) as current_assets, case when month(fiscal_date_ending) <> 3 then floor(total_assets / 10.0) end as cash_and_equivalents, case when month(fiscal_date_ending) = 6 then floor(total_assets / 25.0) end as short_term_investments from {0}"
+
+
+@query(
+    f"""with b as ({_BALANCE_SQL.format('fact_fundamentals_wide')}) select symbol, fiscal_date_ending, period_type, pull_date, gold_built_utc, round(current_assets / nullif(current_liabilities, 0), 6) as current_ratio,
+ (coalesce(cash_and_equivalents, short_term_investments) + case when cash_and_equivalents is not null then coalesce(short_term_investments, 0) else 0 end)::double as cash_and_investments, round(abs(capex) * 100.0 / nullif(total_revenue, 0), 6) as capex_pct_of_revenue, round(free_cash_flow * 100.0 / nullif(total_revenue, 0), 6) as fcf_pct_of_revenue from b"""
+)
+def analyst_ratios(spark, d):
+    table(spark, d, "fact_fundamentals_wide").createOrReplaceTempView("_wide_rows")
+    b = spark.sql(_BALANCE_SQL.format("_wide_rows"))
+    r = cp.analyst_ratios()
+    return b.select("symbol", "fiscal_date_ending", "period_type", "pull_date", "gold_built_utc", *[F.round(r[n], 6).alias(n) for n in ("current_ratio", "capex_pct_of_revenue", "fcf_pct_of_revenue")], r["cash_and_investments"].cast("double").alias("cash_and_investments"))
+
+
+_TITLED = "case l_partkey % 5 when 0 then 'Chief Executive Officer' when 1 then 'Director' when 2 then null when 3 then 'CFO' else 'PACEOX' end"
+
+
+@query(
+    f"""with t as (select l_suppkey k, l_orderkey, l_linenumber, l_partkey who, l_shipdate::date as day, l_extendedprice usd, l_returnflag = 'A' bought, {_TITLED} title from lineitem where l_returnflag <> 'N'),
+ q as (select quantile_cont(usd, 0.9) big from t), b as (select distinct k, day, who from t where bought),
+ c as (select k, day, count(distinct who) >= 3 cluster from (select x.k, x.day, y.who from (select distinct k, day from b) x join b y on y.k = x.k and y.day between x.day - 30 and x.day) group by 1, 2),
+ l as (select t.*, coalesce(cluster, false) cluster, case when bought and regexp_matches(coalesce(title, ''), '\\b(CEO|CFO|chief executive officer|chief financial officer)\\b', 'i') then 'chief buys' when bought and usd >= big then 'large buy' when not bought and usd >= big then 'large sale' end label from t, q left join c on c.k = t.k and c.day = t.day)
+select l_orderkey, l_linenumber, k as supplier, day, usd, label || case when bought and cluster then ' + cluster buy' else '' end as label from l where label is not null"""
+)
+def insider_labels(spark, d):
+    """Transactions labelled by title and size, with a mark where three or more bought in the month up to it."""
+    t = table(spark, d, "lineitem").where("l_returnflag != 'N'").select(
+        F.col("l_suppkey").alias("k"), "l_orderkey", "l_linenumber", F.col("l_partkey").alias("who"), F.to_date("l_shipdate").alias("day"), F.col("l_extendedprice").alias("usd"), (F.col("l_returnflag") == "A").alias("bought"), F.expr(_TITLED).alias("executive_title")
+    )
+    big = cs.exact_quantiles(t.select(F.lit(1).alias("g"), "usd"), ["g"], F.col("usd"), {"big": 0.9}).select("big")
+    buyers = t.where("bought").groupBy("k", "day").agg(F.collect_set("who").alias("who"))
+    month = F.size(F.array_distinct(F.flatten(F.collect_list("who").over(ts.days_before("k", "day", 31)))))
+    marks = buyers.select("k", "day", (month >= 3).alias("cluster"))
+    out = t.join(marks, ["k", "day"], "left").crossJoin(F.broadcast(big))  # one row
+    out = out.withColumn("label", cp.insider_label(F.col("big"), F.coalesce("cluster", F.lit(False)))).where("label is not null")
+    return out.select("l_orderkey", "l_linenumber", F.col("k").alias("supplier"), "day", "usd", "label")
+
+
+@query(r"with f as (select file_id, file_path, regexp_extract(file_path, '(\d{4}-\d{2}-\d{2})', 1) stamp from bronze_price_files) select file_id, file_path from f where stamp = (select max(stamp) from f)")
+def latest_files_of_all(spark, d):
+    """The files of the last date that any of them carries."""
+    files = table(spark, d, "bronze_price_files").withColumn("stamp", F.regexp_extract("file_path", r"(\d{4}-\d{2}-\d{2})", 1))
+    return docs.latest_of_all(files).select("file_id", "file_path")
+
+
+@query(
+    "with a as (" + tables.sql["coverage_audit"] + """), f as (select upper(trim(symbol)) symbol, count(*) files, max(pull_date) last_pull, sum(size_bytes)::bigint bytes, count(*) filter (body is null or trim(body) = '') empty_files from bronze_price_files group by 1)
+select a.symbol, a.cause, coalesce(files, 0) as files, last_pull, coalesce(bytes, 0) as bytes, case when a.cause = 'covered' then 'none' when files is null then 'never pulled' when empty_files = files then 'only empty files' else 'pulled, not held' end as root_cause from a left join f using (symbol)"""
+)
+def coverage_diagnostics(spark, d):
+    """Why a series is short: what was audited, beside the metadata of the raw files."""
+    f = table(spark, d, "bronze_price_files").groupBy(F.upper(F.trim("symbol")).alias("symbol")).agg(F.count(F.lit(1)).alias("files"), F.max("pull_date").alias("last_pull"), F.sum("size_bytes").alias("bytes"), F.count_if(F.col("body").isNull() | (F.trim("body") == "")).alias("empty"))
+    a = coverage_audit(spark, d).select("symbol", "cause").join(f, "symbol", "left")
+    root = F.when(F.col("cause") == "covered", "none").when(F.col("files").isNull(), "never pulled").when(F.col("empty") == F.col("files"), "only empty files").otherwise("pulled, not held")
+    zero = F.lit(0).cast("long")
+    return a.select("symbol", "cause", F.coalesce("files", zero).alias("files"), "last_pull", F.coalesce("bytes", zero).alias("bytes"), root.alias("root_cause"))
+
+
+@query(
+    """select doc_id, strftime(published_at, '%Y%m%dT%H%M') as compact, date_trunc('minute', published_at) as minute, round(ln(1 + n_chars), 8) as log_size, least(greatest(n_chars, 100), 2000) as clipped,
+ case when n_chars >= 1000 then printf('%.1fK', n_chars / 1000.0) else printf('%.1f', n_chars / 1.0) end as short, to_json({'id': doc_id, 'lang': lang}) as packed from documents where n_chars is not null and n_chars % 100 <> 50"""
+)
+def scalar_formats(spark, d):
+    """Compact times written and parsed, logarithm, clipping, short numbers, JSON texts."""
+    compact = F.date_format("published_at", "yyyyMMdd'T'HHmm")
+    n = F.col("n_chars")
+    return table(spark, d, "documents").where("n_chars is not null and n_chars % 100 <> 50").select(
+        "doc_id", compact.alias("compact"), clean.compact_timestamp(compact).cast("timestamp_ntz").alias("minute"), F.round(F.log1p(n), 8).alias("log_size"), F.least(F.greatest(n, F.lit(100)), F.lit(2000)).alias("clipped"),
+        clean.short_number(n.cast("double")).alias("short"), F.to_json(F.struct(F.col("doc_id").alias("id"), "lang"), {"ignoreNullFields": "false"}).alias("packed"),
+    )

@@ -11,6 +11,7 @@ from marlstone.operators import cross_section as cs
 from marlstone.operators import relational as rel
 from marlstone.plans.registry import Registry
 from marlstone.plans.series_queries import DP, FW, PX, fundamentals, prices
+from marlstone.session import materialise
 from marlstone.sources.tables import table
 
 query = Registry()
@@ -278,7 +279,8 @@ where (f = 'R' and usd >= q.t) or (f = 'A' and p_type ilike '%brass%' and usd >
 def event_labels(spark, d):
     """Ordered rules, the last one winning, with a threshold taken from the data itself."""
     t = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_linenumber", "l_suppkey", F.to_date("l_shipdate").alias("day"), F.col("l_extendedprice").alias("usd"), F.col("l_returnflag").alias("f"), "p_type")
-    top = table(spark, d, "lineitem").join(table(spark, d, "part").select("p_partkey"), F.col("l_partkey") == F.col("p_partkey"), "left_semi").where("l_returnflag = 'R'").agg(F.percentile("l_extendedprice", F.lit(0.75)).alias("t"))
+    top = table(spark, d, "lineitem").join(table(spark, d, "part").select("p_partkey"), F.col("l_partkey") == F.col("p_partkey"), "left_semi").where("l_returnflag = 'R'")
+    top = cs.exact_quantiles(top.select(F.lit(1).alias("g"), "l_extendedprice"), ["g"], F.col("l_extendedprice"), {"t": 0.75}).select("t")
     label = F.when((F.col("f") == "R") & (F.col("usd") >= F.col("t")), "large return").when((F.col("f") == "A") & F.col("p_type").ilike("%brass%") & (F.col("usd") > 0), "brass")
     return t.crossJoin(F.broadcast(top)).withColumn("label", label).where("label is not null").select("l_orderkey", "l_linenumber", "l_suppkey", "day", "usd", "label")
 
@@ -379,7 +381,9 @@ def coverage_audit(spark, d):
 
 @query("select cause, count(*) as symbols, quantile_cont(observed, 0.5) as p50, quantile_cont(observed, 0.95) as p95, sum(observed)::bigint as rows from (" + query.sql["coverage_audit"] + ") group by 1")
 def coverage_summary(spark, d):
-    return coverage_audit(spark, d).groupBy("cause").agg(F.count(F.lit(1)).alias("symbols"), F.percentile("observed", F.lit(0.5)).alias("p50"), F.percentile("observed", F.lit(0.95)).alias("p95"), F.sum("observed").alias("rows"))
+    audit = materialise(coverage_audit(spark, d).select("cause", "observed"), "audit")
+    middle = cs.exact_quantiles(audit, ["cause"], F.col("observed"), {"p50": 0.5, "p95": 0.95}).select("cause", "p50", "p95")
+    return audit.groupBy("cause").agg(F.count(F.lit(1)).alias("symbols"), F.sum("observed").alias("rows")).join(middle, "cause")
 
 
 @query("select symbol, start_gap, row_number() over (order by start_gap desc nulls last, symbol) as place from (" + query.sql["coverage_audit"] + ") qualify place <= 25")

@@ -49,7 +49,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A path of its own in the application's part of the shared folder."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def discard(spark: SparkSession) -> None:
+    """Remove all that this application wrote in between. Frames that read it can't be used any more."""
+    from marlstone.sources.storage import delete
+
+    delete(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+
+
+def object_store(endpoint: str, key: str, secret: str, path_style: bool = True) -> dict[str, str]:
+    """Settings for a session that reads and writes s3a:// paths of a store at `endpoint`."""
+    return {
+        "spark.hadoop.fs.s3a.endpoint": endpoint, "spark.hadoop.fs.s3a.access.key": key, "spark.hadoop.fs.s3a.secret.key": secret,
+        "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(), "spark.hadoop.fs.s3a.connection.ssl.enabled": str(endpoint.startswith("https")).lower(),
+    }
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -62,7 +78,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df over at least one partition per core, for work that is heavy by row: a small file is one
+    """df, a scan, over at least one partition per core, for work that is heavy by row: a small file is one
     split otherwise. Inputs of a cluster's size have more splits than cores and stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -147,6 +147,12 @@ def latest_documents(files: DataFrame) -> DataFrame:
     return latest_by(files, ["symbol"], [F.desc("stamp"), F.desc("file_path")])
 
 
+def latest_of_all(files: DataFrame) -> DataFrame:
+    """The files of the last stamp that any symbol has."""
+    top = files.agg(F.max("stamp").alias("stamp"))  # one row
+    return files.join(F.broadcast(top), "stamp", "left_semi")
+
+
 def _get(record: Column, v: Value) -> Column:
     cast = KINDS[v.kind]
     return F.coalesce(*[cast(record.getField(k)) for k in v.keys]).alias(v.column)
