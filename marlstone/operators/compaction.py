@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from marlstone.session import fresh_path
+from marlstone.session import fresh_path, observed
 from marlstone.sources.storage import delete, file_system, rename_into_place
 
 TARGET_BYTES = 128 << 20
@@ -76,7 +76,7 @@ def compact(df: DataFrame, path: str | None = None, by: Sequence[str] = (), sort
         out = out.sortWithinPartitions(*sort)
     out.write.parquet(staged)
     now = multiset_checksum(spark.read.schema(df.schema).parquet(staged))
-    was = tuple(int(seen.get[k]) for k in ("n", "a", "b"))
+    was = tuple(int(x) for x in observed(seen).values())
     if was != now and (was := multiset_checksum(df)) != now:
         delete(spark, staged)
         raise ChecksumMismatch(f"read {was}, wrote {now}; nothing was published")

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marlstone.session import fresh_path
+from marlstone.session import fresh_path, observed
 from marlstone.sources.storage import recover, rename_into_place
 from marlstone.sources.tables import table_exists
 
@@ -74,7 +74,7 @@ def upsert_partitions(new: DataFrame, path: str, keys: Sequence[str], order: Seq
     merged = upsert(old, new, keys, order)
     staged = fresh_path(spark, "upsert")
     merged.write.partitionBy(partition).parquet(staged)
-    overwrite_partitions(spark.read.parquet(staged), path, partition)
+    overwrite_partitions(spark.read.schema(merged.schema).parquet(staged), path, partition)
     return touched
 
 
@@ -87,7 +87,7 @@ def dedup_rewrite(spark: SparkSession, path: str, keys: Sequence[str], order: Se
     latest_by(old.observe(seen, F.count(F.lit(1)).alias("n")), keys, order).write.parquet(staged)
     after = spark.read.parquet(staged).count()
     rename_into_place(spark, staged, path)
-    return int(seen.get["n"]), after
+    return int(observed(seen).get("n", 0)), after
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:

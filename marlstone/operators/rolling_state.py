@@ -33,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from marlstone.session import fresh_path, sized
+from marlstone.session import fresh_path, observed, sized
 
 KEYS = ["entity", "day"]
 
@@ -261,7 +261,7 @@ def maintain(df: DataFrame, entity: str, day: str, measures: Sequence[Measure],
     book = book.select("*", *delta)
     book = book.withColumn("changed", ~F.col("had") | _moved(measures))
     book.write.parquet(f"{path}/ledger")
-    last = seen.get["last"]
+    last = observed(seen).get("last")
     book = spark.read.schema(book.schema).parquet(f"{path}/ledger")
     in_time = book.select(*KEYS, *[F.col(f"before_{c}_{m.name}").alias(f"{c}_{m.name}") for m in measures for c in _columns(m)], F.col("before_version").alias("version"), "changed")
     if last is None:

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from marlstone.session import materialise, sized
+from marlstone.session import materialise, observed, sized
 
 FANOUT_BITS = 5
 ROWS_PER_LEAF = 16
@@ -84,11 +84,12 @@ def digest(rows: DataFrame, depth: int | None = None, earlier: Digested | None =
     """Hashes and trees of `normalised` rows. With `earlier`, whose depth it takes, those are kept as they are."""
     seen = Observation()
     written = materialise(rows.observe(seen, F.count(F.lit(1)).alias("n"), F.collect_set("snapshot").alias("names")), "snapshot-rows")
-    names = sorted(seen.get["names"] or [])
+    counted = observed(seen)
+    names = sorted(counted.get("names") or [])
     if earlier is not None:
         depth = earlier.depth
     elif depth is None:
-        depth = depth_for(seen.get["n"] // max(1, len(names)))
+        depth = depth_for(counted.get("n", 0) // max(1, len(names)))
     nodes = materialise(trees(written, depth), "snapshot-trees")
     if earlier is None:
         return Digested(written, nodes, depth, tuple(names))

@@ -192,7 +192,7 @@ def sink_upsert(spark, d):
     rel.upsert_parquet(rows.where("row_id % 2 = 0"), path, _DAY_KEYS, _order())
     for _ in range(2):
         rel.upsert_parquet(rows.where("row_id % 2 = 1"), path, _DAY_KEYS, _order())
-    return spark.read.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 @query(_LAST_ROWS)
@@ -201,7 +201,7 @@ def sink_upsert_partitions(spark, d):
     path, rows = fresh_path(spark, "sink"), _rows(spark, d)
     rel.overwrite_partitions(rel.upsert(None, rows.where("row_id % 3 > 0"), _DAY_KEYS, _order()), path, "year")
     rel.upsert_partitions(rows.where("row_id % 3 = 0"), path, _DAY_KEYS, _order(), "year")
-    return spark.read.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 @query(f"{_LAST_ROWS} union all select row_id, symbol, trade_date, pull_date, 1999 from dp where year(trade_date) = 2024")
@@ -212,17 +212,17 @@ def sink_overwrite(spark, d):
     rel.overwrite(rows.where("year != 2024").unionByName(rows.where("year = 2024").limit(1)), path, "year")
     late = rows.where("year = 2024")
     rel.overwrite_partitions(late.unionByName(late.withColumn("year", F.lit(1999))), path, "year")
-    return spark.read.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 @query(_LAST_ROWS)
 def sink_dedup_rewrite(spark, d):
-    path = fresh_path(spark, "sink")
-    _rows(spark, d).write.parquet(path)
+    path, rows = fresh_path(spark, "sink"), _rows(spark, d)
+    rows.write.parquet(path)
     before, after = rel.dedup_rewrite(spark, path, _DAY_KEYS, _order())
     if rel.dedup_rewrite(spark, path, _DAY_KEYS, _order()) != (after, after) or before < after:
         raise AssertionError("a second rewrite changed the table")
-    return spark.read.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 @query("select distinct upper(trim(symbol)) as symbol from dim_company where lower(trim(listing_status)) = 'active' and trim(symbol) <> ''")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -77,6 +78,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def observed(seen: Observation) -> dict:
+    """What was observed while a frame was written; nothing, if the plan was found to be empty before it ran."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df, a scan, over at least one partition per core, for work that is heavy by row: a small file is one
     split otherwise. Inputs of a cluster's size have more splits than cores and stay as they are."""
