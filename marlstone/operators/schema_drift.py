@@ -115,11 +115,14 @@ def fingerprints(files: DataFrame, keep: Sequence[str], body: str, path: str) ->
     return out.withColumn("fingerprint", F.xxhash64("fields"))
 
 
-def registry(schemas: DataFrame, targets: Sequence[Field]) -> DataFrame:
+def registry(schemas: DataFrame, targets: Sequence[Field], kept: DataFrame | None = None) -> DataFrame:
     """fingerprint, steps (rename and cast), defaults (field, rules of each target): every distinct fingerprint, compiled once.
 
+    kept is the registry of earlier loads: its fingerprints keep their steps, only new ones are compiled.
     Fingerprints are few bytes and costly to compile, so they are dealt out over all tasks.
     """
+    if kept is not None:
+        return kept.unionByName(registry(schemas.join(kept.select("fingerprint"), "fingerprint", "left_anti"), targets))
     tasks = int(schemas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     known = schemas.where(F.size("fields") > 0).select("fingerprint", "fields").groupBy("fingerprint").agg(F.min("fields").alias("fields"))
     known = known.repartition(tasks, F.xxhash64("fingerprint")).select("fingerprint", _tagged(F.col("fields"), targets).alias("_tagged"))
@@ -173,6 +176,15 @@ def changes(schemas: DataFrame, known: DataFrame, file_id: str, series: str, pos
     return both.join(met, ["fingerprint", "prev_fingerprint"]).select(file_id, "field", "change", "key", "prev_key", "type", "prev_type")
 
 
+def suggested_names(found: DataFrame, targets: Sequence[Field]) -> DataFrame:
+    """field, key, files: keys without a field that came with the values' type in files in which a target went missing, by how many
+    files; the next names to add to that field. found is what `changes` gives. Nothing is renamed by it."""
+    names = [t.name for t in targets]
+    gone = found.where((F.col("change") == "removed") & F.col("field").isin(names)).select("file_id", "field", F.col("prev_type").alias("type"))
+    came = found.where((F.col("change") == "added") & ~F.col("field").isin(names)).select("file_id", "key", "type")
+    return gone.join(came, ["file_id", "type"]).groupBy("field", "key").agg(F.count_distinct("file_id").alias("files"))
+
+
 def versions(schemas: DataFrame, file_id: str, series: str, position: str) -> DataFrame:
     """file_id, fingerprint, schema_version: 1 for a series' first file, one more at each change."""
     both = previous(schemas.select(file_id, series, position, "fingerprint"), series, position, ["fingerprint"])

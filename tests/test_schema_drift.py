@@ -97,3 +97,13 @@ def test_defaults_are_steps_of_the_registry(spark):
 def test_two_keys_for_one_field(spark):
     rows = route(schemas(spark, [body({"Name": "x", "name": "y", "holder": "z"}), body({"Holder Name": "h", "holder": "z"}), body({"NAME": "n", "Name": "m"})])).orderBy("id").collect()
     assert [r.name for r in rows] == ["y", "z", "n"]
+
+
+def test_kept_registry_and_suggestions(spark):
+    one = schemas(spark, [body({"name": "a", "shares": 1}), body({"name": "b", "shares": 2})])
+    kept = sd.registry(one, TARGETS).withColumn("defaults", F.expr("filter(defaults, d -> false)"))  # marked as of before
+    both = schemas(spark, [body({"name": "a", "shares": 1}), body({"name": "b", "units": 2}), body({"name": "b", "units": 3, "flag": True})])
+    known = sd.registry(both, TARGETS, kept)
+    assert sorted(len(r.defaults) for r in known.collect()) == [0, 3, 3]
+    found = sd.changes(both, known, "id", "s", "no").withColumnRenamed("id", "file_id")
+    assert [tuple(r) for r in sd.suggested_names(found, TARGETS).collect()] == [("shares", "units", 1)]

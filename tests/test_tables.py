@@ -119,7 +119,7 @@ def prices(n=120, seed=3):
 def test_indicators_equal_pandas(spark):
     data = prices()
     df = spark.createDataFrame(data, "s string, d date, c double, h double, l double")
-    got = {(r.s, r.d): r for r in ts.indicators(df, "s", "d", "c", "h", "l", "c").collect()}
+    got = {(r.s, r.d): r for r in ts.with_indicators(df, "s", "d", "c", "h", "l", "c").collect()}
     x = pd.Series([p[2] for p in data if p[0] == "A"])
     e12 = x.ewm(span=12, adjust=False, min_periods=12).mean()
     e26 = x.ewm(span=26, adjust=False, min_periods=26).mean()
