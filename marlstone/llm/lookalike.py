@@ -162,16 +162,17 @@ class Normaliser:
         return self._token.sub(lambda m: m[0] if m[0].isascii() else self.spelling(m[0]), text) if self._other(text) else text
 
     def kind(self, token: str) -> str:
-        """mixed: its letters share no script. whole: not Latin, but all letters look Latin. Else single."""
+        """mixed: its letters of SCRIPTS share none of these; other scripts beside them, as in Japanese, are no disguise.
+        whole: not Latin, but all letters look Latin. Else single."""
         if not self._ready:
             self._prepare()
         base = unicodedata.normalize("NFD", token)
         own = EVERY
         for c in base:
             if not unicodedata.combining(c):
-                own &= self._scripts(c)
+                own &= self._scripts(c) or EVERY
         if not own:
-            return "mixed" if any(c in self._sets for c in base) else "single"
+            return "mixed"
         return "single" if own & LATIN or not self._resolved(base) & LATIN else "whole"
 
     def kinds(self, text: str) -> tuple[int, int]:

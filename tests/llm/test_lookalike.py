@@ -26,7 +26,7 @@ def test_resolution():
     assert N.spelling("tоne") == "tone" and N.spelling("Кoмпaния") == "Компания"
     assert N.spelling("сор") == "cop"  # wholly of look-alikes
     assert N.spelling("жzо") == "жzo"  # truly mixed
-    assert N.kind("tоne") == "mixed" and N.kind("сор") == "whole" and N.kind("tone") == N.kind("Компания") == "single" and N.kinds("tоne сор é") == (1, 1)
+    assert N.kind("tоne") == "mixed" and N.kind("сор") == "whole" and N.kind("tone") == N.kind("Компания") == "single" and N.kinds("tоne сор é AB社") == (1, 1)
 
 
 def test_any_disguise_has_the_same_form():
