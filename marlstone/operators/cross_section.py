@@ -116,16 +116,3 @@ def lookback(spine: DataFrame, facts: DataFrame, key: str, at: str, when: str, d
     on = (F.col(key) == F.col("_fkey")) & (F.col("_block") == F.col("_fblock")) & age.between(0, days)
     # each spine row meets many facts: a merge join spreads that work by key and block, whatever the sides' sizes
     return s.join(f.hint("merge"), on, "left").withColumn("age", age).withColumnRenamed("_fwhen", when).drop("_fblock", "_fkey").withColumnRenamed("_block", "block")
-
-
-def lookback_months(facts: DataFrame, key: str, when: str, days: int, at: str = "at") -> DataFrame:
-    """facts with each first of a month, `at`, whose look-back [at - days, at] holds them, and their age in days then.
-
-    The dates a fact counts for follow from its own, so nothing is joined: aggregations by key and `at` sum up before
-    their one exchange, and a spine is met afterwards by one row per key and date.
-    """
-    month = F.trunc(F.col(when), "month")
-    first = F.when(F.col(when) == month, month).otherwise(F.add_months(month, 1))
-    last = F.trunc(F.date_add(F.col(when), days), "month")
-    dates = F.when(first <= last, F.sequence(first, last, F.expr("interval 1 month")))
-    return facts.withColumn(at, F.explode(dates)).withColumn("age", F.datediff(F.col(at), F.col(when)))

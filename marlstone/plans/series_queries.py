@@ -287,7 +287,7 @@ def asof_valuation(spark, d):
     w = ts.series("symbol", "fiscal_date_ending")
     q = fundamentals(spark, d).where("period_type = 'quarterly'").select("symbol", F.coalesce("report_date", F.date_add("fiscal_date_ending", 60)).alias("eff"), F.col("fiscal_date_ending").alias("known_period"), ts.rolling(F.sum, F.col("total_revenue"), w, 4, 4).alias("revenue_ttm"))
     q = latest_by(q, ["symbol", "eff"], [F.desc("known_period")])
-    out = asof_join(prices(spark, d).select("symbol", "trade_date", "close"), q, ["symbol"], "trade_date", "eff", ["known_period", "revenue_ttm"])
+    out = asof_join(prices(spark, d).select("symbol", "trade_date", "close"), q, ["symbol"], "trade_date", "eff", ["known_period", "revenue_ttm"], block_days=None)
     return out.select("symbol", "trade_date", "known_period", "revenue_ttm", F.round(ratio_if_positive(F.col("close") * 1e6, F.col("revenue_ttm")), 8).alias("price_to_revenue"))
 
 

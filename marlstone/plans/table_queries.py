@@ -35,17 +35,15 @@ def lookback_signals(spark, d):
         F.when(buy, F.col("l_quantity")).otherwise(-F.col("l_quantity")).alias("q"), F.when(buy, F.col("l_extendedprice")).otherwise(-F.col("l_extendedprice")).alias("usd"),
     )
     spine = t.select("k", F.trunc("d", "month").alias("at")).distinct()
+    j = cs.lookback(spine, t, "k", "at", "d", 180)
     # per actor first: distinct actors are then a count of flags, with no row copied for each distinct
     def near(c: str, n: int):
         return F.sum(F.when(F.col("age") <= n, F.col(c)).otherwise(0.0)).alias(f"{c}_{n}")
     sums = [(c, n) for c in ("q", "usd") for n in (30, 90, 180)]
-    who = cs.lookback_months(t, "k", "d", 180).groupBy("k", "at", "who").agg(*[near(c, n) for c, n in sums], F.max(F.col("q") > 0).alias("b"), F.max(F.col("q") < 0).alias("s"), F.max((F.col("age") <= 30) & (F.col("q") > 0)).alias("b30"))
-    found = who.groupBy("k", "at").agg(*[F.sum(f"{c}_{n}").alias(f"{c}_{n}") for c, n in sums], *[F.count_if(f).alias(f) for f in ("b", "s", "b30")])
-    zero = F.lit(0).cast("long")
-    return spine.join(found, ["k", "at"], "left").select(
-        F.col("k").alias("supplier"), F.col("at").alias("as_of_date"), *[F.round(F.coalesce(f"{c}_{n}", F.lit(0.0)), 2).alias(f"net_{c}_{n}d") for c, n in sums],
-        F.coalesce("b", zero).alias("buyers_180d"), F.coalesce("s", zero).alias("sellers_180d"), (F.coalesce("b30", zero) >= 3).alias("cluster_30d"),
-    )
+    who = j.groupBy("k", "block", "at", "who").agg(*[near(c, n) for c, n in sums], F.max(F.col("q") > 0).alias("b"), F.max(F.col("q") < 0).alias("s"), F.max((F.col("age") <= 30) & (F.col("q") > 0)).alias("b30"))
+    return who.groupBy("k", "block", "at").agg(
+        *[F.round(F.sum(f"{c}_{n}"), 2).alias(f"net_{c}_{n}d") for c, n in sums], F.count_if("b").alias("buyers_180d"), F.count_if("s").alias("sellers_180d"), (F.count_if("b30") >= 3).alias("cluster_30d")
+    ).withColumnsRenamed({"k": "supplier", "at": "as_of_date"}).drop("block")
 
 
 DIM = """dim as (select * from (select *, upper(trim(symbol)) key from dim_company) where key is not null and key not in ('', 'NONE', 'NULL')
@@ -133,7 +131,7 @@ def _long(spark, d) -> DataFrame:
  from (select unnest(['sector', 'industry']) level, unnest([sector, industry]) val, metric, value from long) where val is not null group by 1, 2, 3"""
 )
 def sector_percentiles(spark, d):
-    out = cs.percentiles_by_level(_long(spark, d), ["sector", "industry"], {"p25": 0.25, "median": 0.5, "p75": 0.75})
+    out = cs.percentiles_by_level(materialise(_long(spark, d), "long"), ["sector", "industry"], {"p25": 0.25, "median": 0.5, "p75": 0.75})
     return out.select("grouping_level", "group_value", "metric", "n", *[F.round(c, 9).alias(c) for c in ("mean", "p25", "median", "p75")])
 
 

@@ -182,12 +182,3 @@ def test_sample_is_reproducible(spark):
     df = spark.range(1000)
     a, b = (sorted(r.id for r in rel.sample_rows(x, ["id"], 20, 7).collect()) for x in (df, df.repartition(13)))
     assert a == b and len(a) == 20 and a != sorted(r.id for r in rel.sample_rows(df, ["id"], 20, 8).collect())
-
-
-def test_lookback_months(spark):
-    r = random.Random(9)
-    base = dt.date(2023, 11, 15)
-    facts = [(r.choice("AB"), base + dt.timedelta(days=r.randrange(200)), i) for i in range(80)] + [("A", dt.date(2024, 2, 1), 900), ("A", None, 901)]
-    got = {(x.k, x.at, x.i, x.age) for x in cs.lookback_months(spark.createDataFrame(facts, "k string, d date, i int"), "k", "d", 60).collect()}
-    firsts = [dt.date(2023 + m // 12, m % 12 + 1, 1) for m in range(8, 24)]
-    assert got == {(k, at, i, (at - d).days) for k, d, i in facts if d for at in firsts if 0 <= (at - d).days <= 60}
