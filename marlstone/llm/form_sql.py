@@ -7,6 +7,7 @@ equal forms there exactly if they have here. Joiners within emoji sequences, whi
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
 from marlstone.llm.leakage import LENGTH, WITHIN
 from marlstone.llm.lookalike import LOOKALIKES, folds
@@ -22,6 +23,7 @@ def _translate(x: str, table: dict[str, str]) -> str:
     return f"translate({x}, {_quote(''.join(a for a, _ in pairs))}, {_quote(''.join(b for _, b in pairs))})"
 
 
+@cache
 def _letters() -> dict[str, str]:
     """Every look-alike, bare or composed with marks, and its Latin letter with them."""
     bare = {c: row[0] for row in LOOKALIKES for c in row[1:]}
@@ -35,6 +37,7 @@ def _letters() -> dict[str, str]:
     return out
 
 
+@cache
 def plain(x: str) -> str:
     """Folded and composed, letters as they are."""
     table = {chr(c): to or "" for c, to in folds().items()}
