@@ -194,8 +194,8 @@ def company_enriched(spark, d):
 
 
 _SNAPSHOT = f"""vd as (select * from val where trade_date = (select max(trade_date) from val)), fl as (select * from wide where period_type = 'quarterly' qualify row_number() over (partition by symbol order by fiscal_date_ending desc) = 1),
- long as (select symbol, metric, value::double as value from (select symbol, {', '.join(f'{c}::double {c}' for c in cp.VALUATION_METRICS)} from vd) unpivot (value for metric in ({', '.join(cp.VALUATION_METRICS)})) where not isnan(value)
-   union all select symbol, metric, value::double from (select symbol, {', '.join(f'{c}::double {c}' for c in cp.FUNDAMENTAL_METRICS)} from fl) unpivot (value for metric in ({', '.join(cp.FUNDAMENTAL_METRICS)})) where not isnan(value)),
+ long as (select symbol, metric, value::double as value from (select symbol, {', '.join(f'{c}::double {c}' for c in cp.PRICED_METRICS)} from vd) unpivot (value for metric in ({', '.join(cp.PRICED_METRICS)})) where not isnan(value)
+   union all select symbol, metric, value::double from (select symbol, {', '.join(f'{c}::double {c}' for c in cp.REPORTED_METRICS)} from fl) unpivot (value for metric in ({', '.join(cp.REPORTED_METRICS)})) where not isnan(value)),
  snap as (select (select max(trade_date) from val) as_of_date, long.symbol, co.sector, co.industry, metric, value from long left join co using (symbol))"""
 
 

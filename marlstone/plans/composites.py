@@ -24,8 +24,8 @@ PERIOD = ["symbol", "fiscal_date_ending", "period_type"]
 # Names of columns, and the numbers of periods and days, that results share with existing tables.
 FLOWS = ("total_revenue", "net_income", "operating_income", "ebitda", "free_cash_flow", "operating_cashflow", "reported_eps", "capex", "dividend_payout")
 GROWTHS = {"revenue_growth_yoy": "total_revenue", "net_income_growth_yoy": "net_income", "eps_growth_yoy": "reported_eps", "fcf_growth_yoy": "free_cash_flow", "operating_cf_growth_yoy": "operating_cashflow"}
-VALUATION_METRICS = ("pe_ttm", "ps_ttm", "pb", "ev_ebitda_ttm", "fcf_yield_ttm", "dividend_yield_ttm")
-FUNDAMENTAL_METRICS = ("revenue_growth_yoy", "eps_growth_yoy", "gross_margin", "operating_margin", "net_margin", "roe", "roic")
+PRICED_METRICS = ("pe_ttm", "ps_ttm", "pb", "ev_ebitda_ttm", "fcf_yield_ttm", "dividend_yield_ttm")
+REPORTED_METRICS = ("revenue_growth_yoy", "eps_growth_yoy", "gross_margin", "operating_margin", "net_margin", "roe", "roic")
 RETURN_DAYS = (1, 5, 21, 63, 126, 252)
 STRENGTH = {"3m": 63, "6m": 126, "12m": 252}
 YEARS_BACK = {"1y": 252, "3y": 756, "5y": 1260}
@@ -206,7 +206,7 @@ def metric_snapshot(valuation: DataFrame, wide: DataFrame, companies: DataFrame)
     newest = valuation.agg(F.max("trade_date").alias("trade_date"))  # one row, so the broadcast is of proven size
     v = rel.latest_by(valuation.join(F.broadcast(newest), "trade_date"), ["symbol"], [F.desc("trade_date")])
     f = rel.latest_by(wide.where("period_type = 'quarterly'"), ["symbol"], [F.desc("fiscal_date_ending")])
-    long = cs.melt(v, ["symbol"], VALUATION_METRICS).unionByName(cs.melt(f, ["symbol"], FUNDAMENTAL_METRICS))
+    long = cs.melt(v, ["symbol"], PRICED_METRICS).unionByName(cs.melt(f, ["symbol"], REPORTED_METRICS))
     groups = companies.select("symbol", "sector", "industry")
     return long.join(groups, "symbol", "left").crossJoin(F.broadcast(newest.withColumnRenamed("trade_date", "as_of_date"))).where("as_of_date is not null")
 
