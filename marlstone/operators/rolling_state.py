@@ -159,27 +159,30 @@ def build(book: DataFrame, measures: Sequence[Measure], through: Column | None =
     return dense.select("*", *flows).select(*KEYS, "live", F.max("_v").over(running).alias("version"), *totals, *reached)
 
 
-def advance(state: DataFrame, book: DataFrame, day: Column, measures: Sequence[Measure]) -> DataFrame:
+def advance(state: DataFrame, book: DataFrame, day: Column, measures: Sequence[Measure], stale: Column | None = None) -> DataFrame:
     """The state of one day from that of the day before.
 
     Joins yesterday's totals with the day's arrivals and, for each window, with
     the amounts of the day that expires. Entities seen first today start at zero; live tells those
-    with a row today, so days of a gap are not live until `correct` learns that it ended.
+    with a row today, so days of a gap are not live until `correct` learns that it ended. stale is as in `build`.
     """
     today = day.cast("date")
     windows = sorted({w for m in measures for w in m.windows})
     arrives = F.col("day") == today
     def net(m: Measure, w: int, c: Column) -> Column:
         return F.sum(F.when(arrives, c).when(F.col("day") == F.date_sub(today, w), -c)).cast(m.kind("sum"))
-    moves = book.where(F.col("day").isin(today, *[F.date_sub(today, w) for w in windows])).groupBy("entity").agg(
-        F.max(arrives).alias("_has"), F.max(F.when(arrives, F.col("version"))).alias("_new"),
+    near = F.col("day").between(F.date_sub(today, _reach(measures) - 1), today)
+    marks = [] if stale is None else [F.max(near & stale).alias("_stale")]
+    needed = F.col("day").isin(today, *[F.date_sub(today, w) for w in windows])
+    moves = book.where(needed if stale is None else needed | (near & stale)).groupBy("entity").agg(
+        *marks, F.max(arrives).alias("_has"), F.max(F.when(arrives, F.col("version"))).alias("_new"),
         *[net(m, w, c).alias(f"net_{p}_{m.name}_{w}") for m in measures for w in m.windows for p, c in _parts(m)],
     )
     yesterday = state.where(F.col("day") == F.date_sub(today, 1)).select("entity", F.col("version").alias("_old"), *state_columns(measures))
     out = yesterday.join(moves, "entity", "full_outer")
     out = out.where(F.col("_old").isNotNull() | F.coalesce("_has", F.lit(False)) | F.coalesce(*[F.col(c) for c in state_columns(measures)]).isNotNull())
     totals = [(F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col(f"net_{c}"), F.lit(0))).cast(m.kind(p)).alias(c) for m, _, p, c in _totals(measures)]
-    return out.select("entity", today.alias("day"), F.coalesce("_has", F.lit(False)).alias("live"), F.coalesce(F.greatest("_old", "_new"), "_old", "_new").alias("version"), *totals)
+    return out.select("entity", today.alias("day"), F.coalesce("_has", F.lit(False)).alias("live"), F.coalesce(F.greatest("_old", "_new"), "_old", "_new").alias("version"), *totals, *[F.coalesce("_stale", F.lit(False)).alias("stale") for _ in marks])
 
 
 def _effects(change: DataFrame, measures: Sequence[Measure]) -> DataFrame:
@@ -271,8 +274,7 @@ def maintain(df: DataFrame, entity: str, day: str, measures: Sequence[Measure],
     first = build(in_time, measures, F.date_sub(today, 1), F.col("changed"))
     first.write.parquet(rows)
     stored = spark.read.schema(first.schema).parquet(rows)
-    reached = book.where(F.col("changed") & (F.col("day") > F.date_sub(today, _reach(measures)))).select("entity", F.lit(True).alias("stale")).distinct()
-    step = advance(stored, in_time, today, measures).join(reached, "entity", "left").withColumn("stale", F.coalesce("stale", F.lit(False)))
+    step = advance(stored, in_time, today, measures, F.col("changed"))
     step.select(*first.columns).write.mode("append").parquet(rows)
     effects = _effects(book.where("changed"), measures)
     cols = [*KEYS, "live", "version", *state_columns(measures)]
