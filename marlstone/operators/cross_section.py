@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marlstone.operators import peer_tiles
 from marlstone.operators.column_profile import bucket
-from marlstone.session import materialise
+from marlstone.session import materialise, sized
+
+#: Members and candidates of a tile of `peers`, about; a pair of tiles fits one Python worker.
+TILE = 4096
 
 
 def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -62,32 +67,43 @@ def peers(members: DataFrame, series: DataFrame, key: str, time: str, value: str
     """(key, peer, rank, narrow_match, log_ratio, correlation, score): the most similar members.
 
     Candidates share the narrow group and are of like size; a member whose narrow group offers fewer than
-    `most` takes those of the wide one instead, matches in the narrow group first. Both joins are on the group and a
-    band of size, and only members that need it are joined by the wide group. Correlations are taken over common times of candidate
-    pairs only: no wide matrix is built. Members without a positive size or a wide group have no peers and are none.
+    `most` takes those of the wide one instead, matches in the narrow group first. Members have one row a key, series one value a key and
+    time. Groups fall into tiles of at most some TILE members and as many candidates, each with its packed series; all pairs of a tile
+    are compared within its task (`peer_tiles`), and only each member's best leave it. Members without a positive size or a wide group
+    have no peers and are none.
     """
     wide, narrow = groups
-    a = members.select(F.col(key).alias("key"), F.col(wide).alias("w"), F.col(narrow).alias("n"), F.col(size).alias("s")).where("s > 0 and w is not null")
-    a = a.withColumn("_band", F.floor(F.log10("s") / max_log_ratio))
-    b = a.select(F.col("key").alias("peer"), F.col("w").alias("pw"), F.col("n").alias("pn"), F.col("s").alias("ps"), F.explode(F.array(F.col("_band") - 1, F.col("_band"), F.col("_band") + 1)).alias("_pband"))
-    def candidates(of: DataFrame, group: str, other: str) -> DataFrame:
-        met = of.join(b, (F.col(group) == F.col(other)) & (F.col("_band") == F.col("_pband"))).where("key != peer")
-        met = met.withColumn("log_ratio", F.log10(F.col("ps") / F.col("s"))).where(F.abs("log_ratio") <= max_log_ratio)
-        return met.select("key", "peer", "log_ratio", F.coalesce(F.col("n") == F.col("pn"), F.lit(False)).alias("narrow_match"))
-    close = candidates(a, "n", "pn").withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy("key"))).where(F.col("_k") >= most).drop("_k")
-    close = materialise(close, "close-candidates")
-    thin = a.join(close.select("key").distinct(), "key", "left_anti")
-    pairs = materialise(close.unionByName(candidates(thin, "w", "pw")), "candidates")
-    x = series.select(F.col(key).alias("key"), F.col(time).alias("t"), F.col(value).alias("x"))
-    y = x.select(F.col("key").alias("peer"), "t", F.col("x").alias("y"))
-    # a symmetric measure: each unordered pair once
-    once = pairs.select(F.least("key", "peer").alias("key"), F.greatest("key", "peer").alias("peer")).distinct()
-    corr = once.join(x, "key").join(y, ["peer", "t"]).where("x is not null and y is not null").groupBy("key", "peer").agg(F.count(F.lit(1)).alias("k"), F.corr("x", "y").alias("c")).where(F.col("k") >= least_overlap)
-    both = corr.select("key", "peer", "c").unionByName(corr.select(F.col("peer").alias("key"), F.col("key").alias("peer"), "c"))
-    score = weights[0] * (1 - F.abs("log_ratio") / max_log_ratio) + weights[1] * F.coalesce("c", F.lit(0.0))
-    out = pairs.join(both, ["key", "peer"], "left").withColumn("score", score)
-    w = Window.partitionBy("key").orderBy(F.desc("narrow_match"), F.desc(F.round("score", 9)), "peer")
-    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most).select("key", "peer", "rank", "narrow_match", "log_ratio", F.col("c").alias("correlation"), "score")
+    a = members.select(F.col(key).alias("key"), F.col(wide).alias("w"), F.col(narrow).alias("n"), F.col(size).cast("double").alias("s")).where("s > 0 and w is not null")
+    x = series.select(F.col(key).alias("key"), F.col(time).alias("t"), F.col(value).cast("double").alias("x")).where("key is not null and t is not null and x is not null")
+    a = materialise(a.join(x.groupBy("key").agg(F.collect_list("t").alias("ts"), F.collect_list("x").alias("xs")), "key", "left"), "members")
+    by_key = Window.partitionBy("key")
+    def ranked(of: DataFrame, group: str) -> DataFrame:
+        met = _tiles(of, a, group, most, max_log_ratio, least_overlap, weights)
+        place = F.row_number().over(by_key.orderBy(F.desc("narrow_match"), F.desc(F.round("score", 9)), "peer"))
+        return met.withColumns({"rank": place, "_k": F.count(F.lit(1)).over(by_key)}).where(F.col("rank") <= most)
+    close = materialise(ranked(a, "n").where(F.col("_k") >= most), "close-peers")
+    thin = a.join(sized(close.where("rank = 1").select("key")), "key", "left_anti")
+    return close.unionByName(ranked(thin, "w")).select("key", "peer", "rank", "narrow_match", "log_ratio", F.col("c").alias("correlation"), "score")
+
+
+def _tiles(of: DataFrame, others: DataFrame, group: str, most: int, max_log_ratio: float, least: int, weights: tuple[float, float]) -> DataFrame:
+    """(key, peer, narrow_match, log_ratio, c, score): the best candidates of each member of `of`, from each tile of its group. A row of
+    either side is copied once for each part that its group has on the other side."""
+    def parts(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(F.col(group).alias("g")).agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias(name)).where("g is not null")
+    counts = sized(materialise(parts(of, "_of").join(parts(others, "_others"), "g"), "tiles"))
+    def dealt(df: DataFrame, mine: str, theirs: str) -> DataFrame:
+        own = F.pmod(F.xxhash64("key"), F.col(mine)).cast("int").alias(f"{mine}_at")
+        named = [F.col(c).alias(c) for c in ("g", "key", "n", "s", "ts", "xs")]  # columns of their own, as both sides can be one frame
+        return df.withColumn("g", F.col(group)).join(counts, "g").select(*named, own, F.explode(F.sequence(F.lit(0), F.col(theirs) - 1)).alias(f"{theirs}_at"))
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if left.num_rows and right.num_rows:
+            return pa.table(peer_tiles.best(left, right, most, max_log_ratio, least, weights))
+        kind = (left if left.num_rows else right).schema.field("key").type
+        return pa.table({"key": pa.array([], kind), "peer": pa.array([], kind), "narrow_match": pa.array([], pa.bool_()), **{c: pa.array([], pa.float64()) for c in ("log_ratio", "c", "score")}})
+    tile = ("g", "_of_at", "_others_at")
+    kind = dict(of.dtypes)["key"]
+    return dealt(of, "_of", "_others").groupBy(*tile).cogroup(dealt(others, "_others", "_of").groupBy(*tile)).applyInArrow(run, f"key {kind}, peer {kind}, narrow_match boolean, log_ratio double, c double, score double")
 
 
 def top_share(df: DataFrame, by: Sequence[str], value: str, tops: Sequence[int], tie: Sequence[Column]) -> DataFrame:
