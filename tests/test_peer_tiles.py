@@ -88,3 +88,31 @@ def test_flat_series_correlate_as_in_sql(spark):
     x = spark.createDataFrame([(k, t, 2.0 if k == "flat" else float(t * t if k == "one" else t)) for k in ("flat", "one", "two") for t in range(10)], "k string, t int, x double")
     got = [r for r in found(m, x) if r[0] == "one"]
     assert [r[2] for r in got] == ["flat", "two"] and math.isnan(got[0][4]) and got[1][5] > 0.9
+
+
+def test_suppliers_of_one_nation_as_in_sql_without_stored_pairs(spark, monkeypatch, tmp_path):
+    """peer_sets_topk over 150 suppliers of one nation, and some of small ones: the answer of its SQL, and never more rows written than suppliers times five."""
+    import duckdb
+
+    from marlstone.plans.table_queries import query
+
+    c = duckdb.connect()
+    nation = "case when i < 150 then 0 else i % 24 + 1 end"
+    made = {
+        "region": "select i r_regionkey, 'R' || i r_name from range(5) t(i)", "nation": "select i n_nationkey, 'N' || i n_name, i % 5 n_regionkey from range(25) t(i)",
+        "supplier": f"select i s_suppkey, {nation} s_nationkey, case when i % 17 = 0 then -5.0 else round(10 + (hash(i) % 90000) / 10.0, 2) end s_acctbal from range(200) t(i)",
+        "lineitem": "select k l_suppkey, timestamp '2020-01-15' + to_months(m::int) l_shipdate, round((hash(k, m) % 100000) / 10.0, 2) l_extendedprice from range(200) s(k), range(40) t(m) where hash(m, k) % 5 > 0",
+    }
+    for name, sql in made.items():
+        c.sql(f"copy ({sql}) to '{tmp_path}/{name}.parquet' (format parquet)")
+        c.sql(f"create view {name} as from '{tmp_path}/{name}.parquet'")
+    stored, plain = [], cs.materialise
+    def counted(df, name):
+        out = plain(df, name)
+        stored.append(out.count())
+        return out
+    monkeypatch.setattr(cs, "materialise", counted)
+    got = [tuple(r) for r in query.queries["peer_sets_topk"](spark, str(tmp_path)).collect()]
+    want = c.sql(query.sql["peer_sets_topk"]).fetchall()
+    assert sorted(got, key=lambda r: (r[0], r[2])) == sorted(want, key=lambda r: (r[0], r[2])) and len(got) > 900 and {r[3] for r in got} == {True, False}
+    assert max(stored) <= 200 * 5
