@@ -13,7 +13,7 @@ from marlstone.operators.column_profile import bucket
 from marlstone.session import materialise, sized
 
 #: Members and candidates of a tile of `peers`, about; a pair of tiles fits one Python worker.
-TILE = 4096
+TILE = 3072
 
 
 def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str]) -> DataFrame:

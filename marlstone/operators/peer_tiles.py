@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-STRIP, TIMES = 128, 256
+STRIP, TIMES = 128, 128
 #: Where the variance is a smaller part of the sum of squares, the difference of sums is too coarse and the pair is worked out by itself.
 COARSE = 1e-3
 
@@ -24,7 +24,7 @@ class Side:
 
     def __init__(self, rows: np.ndarray, times: np.ndarray, x: np.ndarray, n: int) -> None:
         order = np.lexsort((rows, times))
-        self.n, self.rows, self.times, self.raw = n, rows[order], times[order], x[order]
+        self.n, self.rows, self.times, self.raw = n, rows[order].astype(np.int32), times[order].astype(np.int32), x[order]
         self.odd = ~np.isfinite(self.raw)
         fine = np.where(self.odd, 0.0, self.raw)
         by_value = np.lexsort((fine, self.odd, self.rows))
@@ -36,16 +36,25 @@ class Side:
         top = np.zeros(n)
         np.maximum.at(top, self.rows, np.abs(self.x))
         self.x /= np.where(top > 1e100, top, 1.0)[self.rows]  # squares stay finite
-        self.by_row = np.argsort(self.rows, kind="stable")
+        self.by_row = np.argsort(self.rows, kind="stable").astype(np.int32)
         self.start = np.append(start, len(rows))
         self.block = lru_cache(maxsize=1)(self._block)
 
     def _block(self, at: int) -> tuple[np.ndarray, ...]:
-        """(mask, values, squares, values that are not finite), rows by times, of the block's times."""
         a, b = np.searchsorted(self.times, [at, at + TIMES])
-        cell = self.rows[a:b], self.times[a:b] - at
-        out = [np.zeros((self.n, TIMES)) for _ in range(4)]
-        for m, v in zip(out, (1.0, self.x[a:b], self.x[a:b] ** 2, self.odd[a:b]), strict=True):
+        return self._dense(slice(a, b), at, 0, self.n)
+
+    def strip(self, at: int, rows: slice) -> tuple[np.ndarray, ...]:
+        mine = self.by_row[self.start[rows.start] : self.start[rows.stop]]
+        times = self.times[mine]
+        return self._dense(mine[(times >= at) & (times < at + TIMES)], at, rows.start, rows.stop)
+
+    def _dense(self, entries: slice | np.ndarray, at: int, first: int, end: int) -> tuple[np.ndarray, ...]:
+        """(mask, values, squares, values that are not finite), rows by times, of the block's times."""
+        cell = self.rows[entries] - first, self.times[entries] - at
+        x = self.x[entries]
+        out = [np.zeros((end - first, TIMES)) for _ in range(4)]
+        for m, v in zip(out, (1.0, x, x * x, self.odd[entries]), strict=True):
             m[cell] = v
         return tuple(out)
 
@@ -90,7 +99,7 @@ def correlations(a: Side, b: Side, times: int, rows: slice, near: np.ndarray, le
     size = rows.stop - rows.start
     n, sx, sxx, sy, syy, sxy, odd = (np.zeros((size, b.n)) for _ in range(7))
     for at in range(0, times, TIMES):
-        m, x, xx, o = (t[rows] for t in a.block(at))
+        m, x, xx, o = a.strip(at, rows)
         bm, y, yy, bo = b.block(at)
         n += m @ bm.T
         sx += x @ bm.T
